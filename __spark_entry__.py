@@ -16,13 +16,15 @@ from ledgerlens.functions.measures import rounded  # noqa: E402
 from ledgerlens.functions.risk import policy_action, policy_tier  # noqa: E402
 from ledgerlens.operators import quality  # noqa: E402
 from ledgerlens.plans import (  # noqa: E402
-    features, gold, insights, kpis, model, network, rules, scorecard, silver,
+    explain, features, gold, insights, kpis, model, network, rules, scorecard, silver,
 )
 from ledgerlens.plans.batch import Warehouse, run_batch  # noqa: E402
 from ledgerlens.profiles import BATCH, DECLARATIVE, Profile  # noqa: E402
 from ledgerlens.session import configure, shared_folder  # noqa: E402
 from ledgerlens.sources.given_tables import GivenTables  # noqa: E402
 from ledgerlens.sources.layout import Layout  # noqa: E402
+from ledgerlens.streaming import alerts as alert_streams  # noqa: E402
+from ledgerlens.streaming import ingest, transactions, velocity  # noqa: E402
 
 AS_OF = "2024-02-01"
 
@@ -31,8 +33,12 @@ STRUCTURING = rules.Structuring(
     deposit_types=("Cash Deposit", "ACH", "Refund"), withdrawal_types=("ATM Withdrawal", "Wire Transfer"),
     deposit_below=10_000, withdrawal_from=3_000, deposits=2, channels=2)
 
+# The check trains a shorter ensemble than the library's default of 300 rounds, on all training rows.
+BOOSTING = model.Boosting(rounds=20)
+
 Query = Callable[[SparkSession, str], DataFrame]
 
+_models: dict[tuple[str, str], tuple[model.PipelineModel, str]] = {}
 _warehouses: dict[tuple[str, str], Warehouse] = {}
 
 
@@ -49,6 +55,17 @@ def _warehouse(spark: SparkSession, folder: str) -> Warehouse:
     return _warehouses[key]
 
 
+def _model(spark: SparkSession, folder: str) -> tuple[model.PipelineModel, str]:
+    """The trained, saved and reloaded model over one folder, trained on first use in a session."""
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _models:
+        rows = model.split(model.matrix(_warehouse(spark, folder).gold("ml_features")))
+        path = shared_folder(spark, "model")
+        model.save(model.train(rows, BOOSTING), path)
+        _models[key] = (model.load(path), path)
+    return _models[key]
+
+
 def _silver(spark: SparkSession, folder: str, profile: Profile) -> dict[str, DataFrame]:
     """Silver straight from the given tables, without the load stamp, which differs by run."""
     layer = silver.silver_layer(_raw(spark, folder).all(), profile, AS_OF)
@@ -181,6 +198,10 @@ def _model_queries() -> dict[str, Query]:
         "classification_metrics": lambda spark, d: scorecard.classification_report(
             scorecard.rule_probability(built(spark, d))),
         "roc_auc": lambda spark, d: scorecard.roc_auc(scorecard.rule_probability(built(spark, d))),
+        "model_scores": lambda spark, d: model.model_predictions(_model(spark, d)[0], rows(spark, d)),
+        "model_evaluation": lambda spark, d: model.evaluate(
+            _model(spark, d)[0], model.split(rows(spark, d)))[0],
+        "shap_explanations": lambda spark, d: explain.explanations(spark, *_model(spark, d), rows(spark, d)),
     }
 
 
@@ -238,6 +259,52 @@ def _insight_queries() -> dict[str, Query]:
     }
 
 
+def _stream_queries() -> dict[str, Query]:
+    """Each runs to the end of the available input into tables of its own and returns what landed."""
+
+    def landed(spark: SparkSession, stream: DataFrame) -> DataFrame:
+        root = shared_folder(spark, "stream")
+        ingest.finish([ingest.land(stream, f"{root}/table", f"{root}/checkpoint")])
+        return spark.read.schema(stream.schema).parquet(f"{root}/table")
+
+    def cleaned(spark: SparkSession, d: str) -> DataFrame:
+        return transactions.clean(ingest.open_stream(spark, _warehouse(spark, d).layout, "transactions"))
+
+    def enriched(spark: SparkSession, d: str) -> DataFrame:
+        static = {name: _unstamped(df) for name, df in _warehouse(spark, d).silver().items()}
+        return transactions.enrich(cleaned(spark, d), static)
+
+    def bronze(spark: SparkSession, d: str) -> DataFrame:
+        root = shared_folder(spark, "stream")
+        source = _warehouse(spark, d).layout
+        paths = ingest.ingest(spark, source, Layout(root), f"{root}/checkpoints")
+        return insights.row_counts({"bronze": {
+            t: spark.read.schema(schemas.BRONZE[t]).parquet(p) for t, p in paths.items()}})
+
+    def exact(spark: SparkSession, d: str) -> DataFrame:
+        root = shared_folder(spark, "stream")
+        silver_stream = cleaned(spark, d)
+        ingest.finish([ingest.land(silver_stream, f"{root}/silver", f"{root}/checkpoint")])
+        frames = landed(spark, velocity.exact(ingest.follow(spark, f"{root}/silver", silver_stream.schema)))
+        return _with_rounded(frames, "amount_avg_7d", "amount_stddev_7d")
+
+    def alerts(spark: SparkSession, d: str) -> DataFrame:
+        root = shared_folder(spark, "stream")
+        inputs = alert_streams.row_inputs(enriched(spark, d), _warehouse(spark, d).raw()["merchants"])
+        ingest.finish([alert_streams.alert_stream(inputs, f"{root}/alerts", f"{root}/checkpoint")])
+        return spark.read.parquet(f"{root}/alerts").drop("batch_id")
+
+    return {
+        "stream_bronze_ingest": bronze,
+        "stream_silver_transactions": lambda spark, d: landed(spark, cleaned(spark, d)).drop("event_time"),
+        "stream_enriched": lambda spark, d: landed(spark, enriched(spark, d)).drop("event_time"),
+        "stream_velocity": lambda spark, d: landed(spark, velocity.windowed(cleaned(spark, d))),
+        "stream_velocity_daily": lambda spark, d: landed(spark, velocity.windowed(cleaned(spark, d), "1 day", None)),
+        "stream_velocity_exact": exact,
+        "stream_alerts": alerts,
+    }
+
+
 # ------------------------------------------------------------------------------- the contract
 
 
@@ -258,7 +325,7 @@ def queries() -> dict[str, Query]:
     """Every registered query by name."""
     out: dict[str, Query] = {}
     for group in (_raw_queries, _silver_queries, _gold_queries, _quality_queries, _feature_queries, _rule_queries,
-                  _model_queries, _kpi_queries, _insight_queries):
+                  _model_queries, _kpi_queries, _insight_queries, _stream_queries):
         out |= group()
     return out
 

@@ -105,17 +105,29 @@ def _features() -> dict[str, str]:
     }
 
 
+def _rule(rule_id: str, kind: str, severity: str, score: str, where: str) -> str:
+    return (f"SELECT '{rule_id}' AS rule_id, '{kind}' AS alert_type, '{severity}' AS severity, "
+            f"CAST({score} AS DECIMAL(6,4)) AS score, transaction_id, account_id, txn_datetime FROM hist WHERE {where}")
+
+
+def _fired(hist: str, rules: str) -> str:
+    return f"""SELECT * FROM (WITH {hist} SELECT rule_id || '-' || transaction_id AS alert_id, transaction_id,
+        account_id, rule_id, alert_type, severity, CAST(score AS DOUBLE) AS score, txn_datetime AS created_datetime,
+        'Triggered by ' || alert_type || ' rule; score ' || CAST(score AS VARCHAR) || ' exceeded threshold'
+          AS explanation FROM ({rules}))"""
+
+
+_BLACKLISTED = "merchant_id IN (SELECT merchant_id FROM b_merchants WHERE is_blacklisted)"
+
+
 def _rules() -> dict[str, str]:
-    def rule(rule_id: str, kind: str, severity: str, score: str, where: str) -> str:
-        return (f"SELECT '{rule_id}' AS rule_id, '{kind}' AS alert_type, '{severity}' AS severity, "
-                f"CAST({score} AS DECIMAL(6,4)) AS score, transaction_id, account_id, txn_datetime FROM hist WHERE {where}")
+    rule = _rule
     rules = " UNION ALL ".join([
         rule("R100", "Velocity Check", "High", "0.80", "is_high_velocity = 1"),
         rule("R101", "Amount Threshold", "Medium", "least(0.99, 0.65 + amount / 1000000)", "amount > 10000"),
         rule("R102", "Geo Anomaly", "Medium", "0.70", "is_international AND is_odd_hour"),
         rule("R103", "Device Anomaly", "Low", "0.55", "device_seen = 1 AND account_seen > 1"),
-        rule("R104", "Blacklist Match", "Critical", "0.95",
-             "merchant_id IN (SELECT merchant_id FROM b_merchants WHERE is_blacklisted)"),
+        rule("R104", "Blacklist Match", "Critical", "0.95", _BLACKLISTED),
         rule("R105", "Dormant Account Activity", "High", "0.75", "account_status = 'Dormant' OR gap > 30 * 86400"),
         rule("R106", "Round Amount", "Low", "0.50", "is_round_amount = 1"),
         rule("R107", "Night Transaction", "Low", "0.52", "is_odd_hour"),
@@ -129,10 +141,7 @@ def _rules() -> dict[str, str]:
         txn_ts_unix - lag(txn_ts_unix) OVER (PARTITION BY account_id ORDER BY txn_ts_unix, transaction_id) AS gap,
         count(CASE WHEN is_declined THEN 1 END) OVER (PARTITION BY account_id ORDER BY txn_ts_unix
           RANGE BETWEEN 86400 PRECEDING AND CURRENT ROW) AS declines FROM features)"""
-    alerts = f"""SELECT * FROM (WITH {hist} SELECT rule_id || '-' || transaction_id AS alert_id, transaction_id,
-        account_id, rule_id, alert_type, severity, CAST(score AS DOUBLE) AS score, txn_datetime AS created_datetime,
-        'Triggered by ' || alert_type || ' rule; score ' || CAST(score AS VARCHAR) || ' exceeded threshold'
-          AS explanation FROM ({rules}))"""
+    alerts = _fired(hist, rules)
 
     def structuring(deposit: str, withdrawal: str, n: int) -> str:
         return f"""(SELECT transaction_id, account_id, txn_datetime, amount, deposits, deposit_total, channels
@@ -368,8 +377,49 @@ def _insights() -> dict[str, str]:
     }
 
 
+def _streams() -> dict[str, str]:
+    """What the streams must have landed when they run to the end of their input in one go."""
+    counts = " UNION ALL ".join(f"SELECT 'bronze' AS layer, '{t}' AS table_name, count(*) AS row_count FROM b_{t}"
+                                for t in s.TABLES)
+
+    def closed(width: int, slide: int) -> str:
+        """Windows whose end the watermark, two hours behind the latest event, has passed."""
+        return f"""SELECT account_id, make_timestamp(first * 1000000) AS window_start,
+            make_timestamp((first + {width}) * 1000000) AS window_end, count(*) AS txn_count,
+            CAST(sum(CAST(amount AS DECIMAL(18,2))) AS DOUBLE) AS amount_sum
+          FROM (SELECT account_id, amount, sec - sec % {slide} - {slide} * i AS first
+                FROM (SELECT *, CAST(epoch(txn_datetime) AS BIGINT) AS sec FROM s_transactions),
+                  range({width // slide}) AS r(i))
+          WHERE first + {width} <= (SELECT CAST(epoch(max(CAST(txn_datetime AS TIMESTAMP))) AS BIGINT) - 7200
+                                    FROM b_transactions)
+          GROUP BY account_id, first"""
+
+    rules = " UNION ALL ".join([
+        _rule("R101", "Amount Threshold", "Medium", "least(0.99, 0.65 + amount / 1000000)", "amount > 10000"),
+        _rule("R102", "Geo Anomaly", "Medium", "0.70", "is_international AND is_odd_hour"),
+        _rule("R104", "Blacklist Match", "Critical", "0.95", _BLACKLISTED),
+        _rule("R105", "Dormant Account Activity", "High", "0.75", "account_status = 'Dormant'"),
+        _rule("R106", "Round Amount", "Low", "0.50", "amount % 100 = 0 AND amount > 500"),
+        _rule("R107", "Night Transaction", "Low", "0.52", "is_odd_hour"),
+        _rule("R109", "Cross-Border High Value", "High", "0.85", "is_international AND amount > 5000"),
+    ])
+    return {
+        "stream_bronze_ingest": query(f"""SELECT * FROM (WITH c AS ({counts}) SELECT * FROM c UNION ALL
+            SELECT layer, 'TOTAL', CAST(sum(row_count) AS BIGINT) FROM c GROUP BY layer)""",
+                                      *[f"b_{t}" for t in s.TABLES]),
+        "stream_silver_transactions": query("SELECT * FROM s_transactions", "s_transactions"),
+        "stream_enriched": query("SELECT * FROM s_enriched", "s_enriched"),
+        "stream_velocity": query(closed(3600, 300), "s_transactions", "b_transactions"),
+        "stream_velocity_daily": query(closed(86400, 86400), "s_transactions", "b_transactions"),
+        "stream_velocity_exact": query(f"""SELECT DISTINCT account_id, txn_ts_unix AS second, txn_count_1h,
+            txn_count_24h, txn_count_7d, amount_sum_1h, amount_sum_24h, {r('amount_avg_7d', 4)} AS amount_avg_7d,
+            {r('amount_stddev_7d', 4)} AS amount_stddev_7d FROM velocity""", "velocity"),
+        "stream_alerts": query(_fired("hist AS (SELECT * FROM s_enriched)", rules), "s_enriched", "b_merchants"),
+    }
+
+
 def all_sql() -> dict[str, str]:
     out: dict[str, str] = {}
-    for group in (_raw, _silver, _gold, _quality, _features, _rules, _model, _kpis, _insights):
+    for group in (_raw, _silver, _gold, _quality, _features, _rules, _model, _kpis, _insights, _streams):
         out |= group()
     return out
