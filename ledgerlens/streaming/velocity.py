@@ -25,78 +25,74 @@ def windowed(cleaned: DataFrame, length: str = "1 hour", slide: str | None = "5
              "txn_count", (F.col("cents") / 100).alias("amount_sum"))
 
 
-def exact(landed: DataFrame, lateness_seconds: int = 2 * HOUR) -> DataFrame:
+def exact(landed: DataFrame, lateness_seconds: int = DAY) -> DataFrame:
     """Trailing one-hour, one-day and one-week figures of every (account, second) as it arrives.
 
-    ``landed`` is a stream over landed silver transactions (deduplicated by the query that lands them,
-    so this one starts its own watermark).
+    ``landed`` is a stream over landed silver transactions (the query that lands them deduplicates).
 
     Rows are first combined per account and second within each Arrow batch, so a hot account does not
-    cross the shuffle row by row. The state of an account is one entry per second with traffic in the
-    last week (bounded by the clock, not by the rows) and ends a week after its last transaction. A
-    late transaction yields figures for its own second; seconds already emitted are not emitted again.
+    cross the shuffle row by row. The state of an account is one entry per second with traffic in its
+    last week of traffic plus ``lateness_seconds``: bounded by the clock, not by the rows. No row is
+    dropped: a late one yields the figures of its own second as known then; seconds already emitted
+    are not emitted again. (An event-time timeout would drop late rows unseen, hence none is set; an
+    idle account keeps its last week.)
     """
-    timed = landed.select(
-        "account_id", F.col("txn_datetime").alias("event_time"), F.unix_timestamp("txn_datetime").alias("second"),
-        F.round(F.col("amount") * 100).cast("long").alias("cents"))
+    timed = landed.select("account_id", F.unix_timestamp("txn_datetime").alias("second"),
+                          F.round(F.col("amount") * 100).cast("long").alias("cents"))
+    parts = ["second", "n", "cents", "squares_high", "squares_low"]
 
     def combine(batches: Iterator):
         import pandas as pd
 
         for batch in batches:
-            rows = batch[["account_id", "event_time", "second"]].copy()
+            rows = batch[["account_id", "second"]].copy()
             rows["n"] = 1
             rows["cents"] = batch["cents"].fillna(0).astype("int64")
             squares = [int(c) * int(c) for c in rows["cents"]]
             # squares in two parts, so that sums of large amounts stay within 64 bits
             rows["squares_high"] = pd.Series([s >> 31 for s in squares], index=rows.index, dtype="int64")
             rows["squares_low"] = pd.Series([s & 0x7FFFFFFF for s in squares], index=rows.index, dtype="int64")
-            yield rows.groupby(["account_id", "event_time", "second"], as_index=False, sort=False).sum()[
-                ["account_id", "event_time", "second", "n", "cents", "squares_high", "squares_low"]]
-
-    parts = ["second", "n", "cents", "squares_high", "squares_low"]
+            yield rows.groupby(["account_id", "second"], as_index=False, sort=False).sum()[["account_id", *parts]]
 
     def update(key: tuple, chunks: Iterator, state: GroupState) -> Iterator:
         import numpy as np
         import pandas as pd
 
-        if state.hasTimedOut:
-            state.remove()
-            return
-        arrived = pd.concat([c[parts] for c in chunks]).groupby("second", as_index=False).sum()
-        known = pd.DataFrame(dict(zip(parts, state.get))) if state.exists else arrived.iloc[:0]
-        merged = pd.concat([known, arrived]).astype("int64").groupby("second", as_index=False).sum()
-        at = merged["second"].to_numpy()
+        arrived = None
+        for chunk in chunks:  # folded chunk by chunk: never more than one row per second is held
+            folded = chunk[parts] if arrived is None else pd.concat([arrived, chunk[parts]])
+            arrived = folded.groupby("second", as_index=False).sum()
+        merged = arrived
+        if state.exists:
+            known = pd.DataFrame(dict(zip(parts, state.get)))
+            merged = pd.concat([known, arrived]).groupby("second", as_index=False).sum()
+        at, asked = merged["second"].to_numpy(), arrived["second"].to_numpy()
         running = {c: np.concatenate([[0], np.cumsum(merged[c].to_numpy())]) for c in parts[1:]}
-        upto = np.searchsorted(at, arrived["second"].to_numpy(), side="right")
+        upto = np.searchsorted(at, asked, side="right")
 
         def over(column: str, seconds: int):
-            since = np.searchsorted(at, arrived["second"].to_numpy() - seconds, side="left")
-            return running[column][upto] - running[column][since]
+            return running[column][upto] - running[column][np.searchsorted(at, asked - seconds, side="left")]
 
         n, total = over("n", WEEK), over("cents", WEEK)
         squares = [(int(h) << 31) + int(low) for h, low in zip(over("squares_high", WEEK), over("squares_low", WEEK))]
         spread = [int(a) * q - int(s) * int(s) for a, q, s in zip(n, squares, total)]
         yield pd.DataFrame({
             "account_id": key[0],
-            "second": arrived["second"].to_numpy(),
+            "second": asked,
             "txn_count_1h": over("n", HOUR), "txn_count_24h": over("n", DAY), "txn_count_7d": n,
             "amount_sum_1h": over("cents", HOUR) / 100, "amount_sum_24h": over("cents", DAY) / 100,
             "amount_avg_7d": total / 100 / n,
             "amount_stddev_7d": [None if a < 2 else (v / (int(a) * (int(a) - 1))) ** 0.5 / 100
                                  for a, v in zip(n, spread)],
         })
-        watermark = state.getCurrentWatermarkMs() // 1000
-        kept = merged[at >= watermark - WEEK] if watermark > 0 else merged
+        kept = merged[at >= at[-1] - WEEK - lateness_seconds]
         state.update(tuple([int(v) for v in kept[c]] for c in parts))
-        state.setTimeoutTimestamp(max((int(at[-1]) + WEEK + lateness_seconds) * 1000, watermark * 1000 + 1))
 
     longs = ", ".join(f"{c} array<bigint>" for c in parts)
     combined = timed.mapInPandas(
-        combine, "account_id string, event_time timestamp, second bigint, n bigint, cents bigint, "
-                 "squares_high bigint, squares_low bigint").withWatermark("event_time", f"{lateness_seconds} seconds")
+        combine, "account_id string, second bigint, n bigint, cents bigint, squares_high bigint, squares_low bigint")
     return combined.groupBy("account_id").applyInPandasWithState(
         update,
         "account_id string, second bigint, txn_count_1h bigint, txn_count_24h bigint, txn_count_7d bigint, "
         "amount_sum_1h double, amount_sum_24h double, amount_avg_7d double, amount_stddev_7d double",
-        longs, "append", GroupStateTimeout.EventTimeTimeout)
+        longs, "append", GroupStateTimeout.NoTimeout)
