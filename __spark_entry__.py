@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import os
 import sys
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -66,10 +66,25 @@ def _model(spark: SparkSession, folder: str) -> tuple[model.PipelineModel, str]:
     return _models[key]
 
 
-def _silver(spark: SparkSession, folder: str, profile: Profile) -> dict[str, DataFrame]:
-    """Silver straight from the given tables, without the load stamp, which differs by run."""
-    layer = silver.silver_layer(_raw(spark, folder).all(), profile, AS_OF)
-    return {name: df.drop(silver.LOAD_STAMP) for name, df in layer.items()}
+class _SilverLayer(Mapping):
+    """Silver straight from the given tables, planned table by table on demand, without the load
+    stamp, which differs by run."""
+
+    def __init__(self, raw: GivenTables, profile: Profile):
+        self._raw, self._profile = raw, profile
+
+    def __getitem__(self, name: str) -> DataFrame:
+        return _unstamped(silver.refine(name, self._raw.table(name), self._profile, AS_OF))
+
+    def __iter__(self):
+        return iter(schemas.TABLES)
+
+    def __len__(self) -> int:
+        return len(schemas.TABLES)
+
+
+def _silver(spark: SparkSession, folder: str, profile: Profile) -> Mapping[str, DataFrame]:
+    return _SilverLayer(_raw(spark, folder), profile)
 
 
 def _unstamped(df: DataFrame) -> DataFrame:
@@ -98,7 +113,7 @@ def _silver_queries() -> dict[str, Query]:
 
 
 def _gold_queries() -> dict[str, Query]:
-    builders: dict[str, Callable[[dict[str, DataFrame], Profile], DataFrame]] = {
+    builders: dict[str, Callable[[Mapping[str, DataFrame], Profile], DataFrame]] = {
         "gold_customer_360": gold.customer_360,
         "gold_transactions_enriched": gold.transactions_enriched,
         "gold_daily_fraud_summary": lambda s, p: gold.daily_fraud_summary(gold.transactions_enriched(s, p), p),
