@@ -10,39 +10,40 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
+_GROUP = "_group"  # the columns of a group as one struct: never NULL itself, NULL fields are equal
+
+
 def running_totals(df: DataFrame, keys: Sequence[str], levels: Sequence[str], measures: Sequence[str],
                    inclusive: bool = True) -> DataFrame:
     """Replace each measure by its running total along ``levels`` within ``keys``.
 
-    Rows equal in all levels are peers: all get the same total, over all of them (``inclusive``) or
-    none of them. Measures must be exact (integers, decimals), so that totals do not depend on order.
+    Inclusive totals take in all peers, the rows equal in all levels. Exclusive ones stop before the
+    row and need rows without peers. Measures must be exact (integers, decimals), so that totals do
+    not depend on the order in which they are formed.
+
+    The window and the join with the carried-in totals share one partitioning by group.
     """
     *outer, last = levels
-    group = list(keys) + outer
-    frame = Window.partitionBy(*group).orderBy(last).rangeBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    own = {m: F.sum(m).over(frame) for m in measures}
-    if not inclusive:
-        peers = Window.partitionBy(*group, last)
-        own = {m: F.sum(m).over(frame) - F.sum(m).over(peers) for m in measures}
-    local = df.withColumns(own)
+    group = [*keys, *outer]
+    grouped = df.withColumn(_GROUP, F.struct(*group))
+    order = Window.partitionBy(_GROUP).orderBy(last)
+    if inclusive:
+        frame = order.rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    else:
+        frame = order.rowsBetween(Window.unboundedPreceding, -1)
+    local = grouped.withColumns({m: F.coalesce(F.sum(m).over(frame), F.lit(0)) for m in measures})
     if not outer:
-        return local
-    per_group = df.groupBy(*group).agg(*[F.sum(m).alias(m) for m in measures])
-    before = running_totals(per_group, keys, outer, measures, inclusive=False).selectExpr(
-        *[f"{g} as _g_{g}" for g in group], *[f"{m} as _before_{m}" for m in measures])
+        return local.drop(_GROUP)
+    per_group = grouped.groupBy(_GROUP).agg(*[F.sum(m).alias(m) for m in measures])
+    before = running_totals(per_group.select(f"{_GROUP}.*", *measures), keys, outer, measures, inclusive=False)
+    before = before.select(F.struct(*group).alias(_GROUP), *[F.col(m).alias(f"_before_{m}") for m in measures])
     kept = [c for c in df.columns if c not in measures]
-    return local.join(before, _same(group), "left").selectExpr(
-        *kept, *[f"coalesce({m}, 0) + coalesce(_before_{m}, 0) as {m}" for m in measures])
-
-
-def _same(group: Sequence[str]) -> Column:
-    """Equality of the group columns with their ``_g_`` copies, NULL equal to NULL."""
-    return F.expr(" and ".join(f"{g} <=> _g_{g}" for g in group))
+    return local.join(before, _GROUP, "left").selectExpr(
+        *kept, *[f"{m} + coalesce(_before_{m}, 0) as {m}" for m in measures])
 
 
 def positions(df: DataFrame, keys: Sequence[str], levels: Sequence[str], tie_break: str,
@@ -51,13 +52,13 @@ def positions(df: DataFrame, keys: Sequence[str], levels: Sequence[str], tie_bre
 
     Only rows equal in all levels are sorted together; everything before them is a carried-in count.
     """
-    group = list(keys) + list(levels)
-    counts = df.groupBy(*group).agg(F.count(F.lit(1)).alias("_ahead"))
-    ahead = running_totals(counts, keys, levels, ["_ahead"], inclusive=False)
-    ahead = ahead.selectExpr(*[f"{g} as _g_{g}" for g in group], "_ahead")
-    inside = F.row_number().over(Window.partitionBy(*group).orderBy(tie_break))
+    group = [*keys, *levels]
+    grouped = df.withColumn(_GROUP, F.struct(*group))
+    counts = grouped.groupBy(_GROUP).agg(F.count(F.lit(1)).alias("_ahead")).select(f"{_GROUP}.*", "_ahead")
+    ahead = running_totals(counts, keys, levels, ["_ahead"], inclusive=False).select(
+        F.struct(*group).alias(_GROUP), "_ahead")
+    inside = F.row_number().over(Window.partitionBy(_GROUP).orderBy(tie_break))
     return (
-        df.withColumn("_inside", inside).join(ahead, _same(group), "left")
-        .withColumn(name, F.col("_ahead") + F.col("_inside"))
-        .drop("_inside", "_ahead", *[f"_g_{g}" for g in group])
+        grouped.withColumn("_inside", inside).join(ahead, _GROUP, "left")
+        .withColumn(name, F.col("_ahead") + F.col("_inside")).drop("_inside", "_ahead", _GROUP)
     )

@@ -120,6 +120,19 @@ def test_large_sides_are_not_broadcast(spark, folder):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert "Broadcast" not in text and text.count("SortMergeJoin") >= 5
+    # rows without account, customer or merchant are spread by a made-up key that the optimizer keeps
+    assert text.count("SortMergeJoin [_key#") == 3
+
+
+def test_frames_move_compacted_rows_once(spark, folder):
+    """One window exchange for all frames, shared by the join with the carried-in totals; the
+    per-second rows are computed once and reused."""
+    df = entry_point.queries()["velocity_features"](spark, folder)
+    df.collect()
+    final = plan(df).split("== Initial Plan")[0]
+    assert "ReusedExchange" in final
+    assert final.count("Window [") == 2  # within days, and over the days of an account
+    assert final.count("FileScan parquet") == 2  # the wide rows, and account + second + amount
 
 
 def test_batch_run_counts_rows_while_writing(spark, folder):
