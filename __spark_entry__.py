@@ -336,11 +336,22 @@ def entry(spark: SparkSession) -> DataFrame:
         F.count(F.lit(1)).alias("alerts"), F.countDistinct("transaction_id").alias("transactions"))
 
 
+try:  # the training-data operators are an add-on; without them everything else works
+    import corpus_pipeline
+    from ledgerlens.llm import queries as _llm
+except ImportError:
+    _llm = corpus_pipeline = None
+
+
+def _llm_queries() -> dict[str, Query]:
+    return {} if _llm is None else {"pipeline": corpus_pipeline.run, **_llm.QUERIES}
+
+
 def queries() -> dict[str, Query]:
     """Every registered query by name."""
     out: dict[str, Query] = {}
     for group in (_raw_queries, _silver_queries, _gold_queries, _quality_queries, _feature_queries, _rule_queries,
-                  _model_queries, _kpi_queries, _insight_queries, _stream_queries):
+                  _model_queries, _kpi_queries, _insight_queries, _stream_queries, _llm_queries):
         out |= group()
     return out
 
@@ -349,4 +360,7 @@ def oracle_sql() -> dict[str, str]:
     """DuckDB SQL for every query that SQL can express."""
     from oracle.queries import all_sql
 
-    return {name: sql for name, sql in all_sql().items() if name in queries()}
+    sql = all_sql()
+    if _llm is not None:
+        sql |= _llm.ORACLE_SQL | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
+    return {name: text for name, text in sql.items() if name in queries()}
