@@ -1,7 +1,8 @@
 """Language identification by compression with per-language dictionaries.
 
 Each language gets a raw-content dictionary of lower-cased sample text. A text belongs to the language whose dictionary
-lets zstandard write it in the fewest bytes. ``score`` is the saving of the best over the second best, as a share of
+lets zstandard write it in the fewest bytes. Only letters are looked at, lower-cased, with single spaces between
+words. A fast level decides; where its margin is narrow, a thorough level decides instead. ``score`` is the saving of the best over the second best, as a share of
 the second best, and ``accepted`` is false where that margin is narrow.
 
 The model is fitted on a bounded sample: at most ``bytes_per_language`` bytes from at most ``texts_per_language`` texts
@@ -17,6 +18,7 @@ from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -43,7 +45,7 @@ def fit(labelled: DataFrame, bytes_per_language: int = 96 << 10, texts_per_langu
     share = F.create_map(*[F.lit(x) for pair in want.items() for x in pair])
     place = (F.xxhash64("text") / F.lit(2.0 ** 64)) + F.lit(0.5)
     picked = rows.where(place < share[F.col("lang")])
-    part = F.lower(F.substring("text", 1, bytes_per_language))
+    part = F.regexp_replace(F.lower(F.substring("text", 1, bytes_per_language)), r"[^\p{L}\p{M}]+", " ")
     texts = picked.select("lang", place.alias("place"), part.alias("text")).distinct()
     out: dict[str, bytes] = {}
     for lang in sorted(want):
@@ -64,23 +66,34 @@ def _compressors(dictionaries: tuple[tuple[str, bytes], ...], level: int) -> lis
     return out
 
 
-def predict(docs: DataFrame, dictionaries: dict[str, bytes], margin: float = 0.02, level: int = 3,
-            text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """``doc_id, lang_pred, score, accepted`` of each row; nothing but the text decides."""
+def letters_only(texts: pa.Array) -> list[str | None]:
+    """Lower-cased letters with one space for what stands between them."""
+    return pc.replace_substring_regex(pc.utf8_lower(texts), r"[^\pL\pM]+", " ").to_pylist()
+
+
+def classify(raw: bytes, compressors: list[tuple[str, object]]) -> tuple[str, float]:
+    """The language that writes ``raw`` shortest and its saving over the second."""
+    sizes = sorted((len(c.compress(raw)), lang) for lang, c in compressors)
+    return sizes[0][1], (sizes[1][0] - sizes[0][0]) / sizes[1][0] if len(sizes) > 1 else 1.0
+
+
+def predict(docs: DataFrame, dictionaries: dict[str, bytes], margin: float = 0.02, levels: tuple[int, int] = (3, 12),
+            look_again: float = 0.05, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """``doc_id, lang_pred, score, accepted`` of each row; nothing but the text decides. Texts with a margin below
+    ``look_again`` at the first level are compressed anew at the second."""
     shared = tuple(sorted(dictionaries.items()))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        compressors = _compressors(shared, level)
+        fast, thorough = _compressors(shared, levels[0]), _compressors(shared, levels[1])
         for batch in slices(batches):
             out: list[list] = [[], [], []]
-            for value in batch.column("text").to_pylist():
-                if value is None or not compressors or not LETTER.search(value):
-                    best, score = UNDETERMINED, 0.0
-                else:
-                    raw = value.lower().encode()
-                    sizes = sorted((len(c.compress(raw)), lang) for lang, c in compressors)
-                    best = sizes[0][1]
-                    score = (sizes[1][0] - sizes[0][0]) / sizes[1][0] if len(sizes) > 1 else 1.0
+            for value in letters_only(batch.column("text")):
+                best, score = UNDETERMINED, 0.0
+                if value is not None and fast and LETTER.search(value):
+                    raw = value.encode()
+                    best, score = classify(raw, fast)
+                    if score < look_again:
+                        best, score = classify(raw, thorough)
                 for column, x in zip(out, (best, score, best != UNDETERMINED and score >= margin)):
                     column.append(x)
             yield pa.RecordBatch.from_arrays(

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import language, pieces, quality_rules, secret_scan, surrogates, token_store
+from ledgerlens.llm import language, near_duplicates, pieces, quality_rules, secret_scan, surrogates, token_store
 from ledgerlens.session import configure, shared_folder
 
 SURROGATE_KEY = "surrogates-1"
@@ -37,6 +37,10 @@ def op2_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.encode_decode(documents(spark, folder), model, with_outputs=False)
 
 
+def op3_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates.group(documents(spark, folder))
+
+
 def op4_surrogates(spark: SparkSession, folder: str) -> DataFrame:
     docs = documents(spark, folder)
     shared_folder(spark, "surrogates")  # sets the checkpoint folder
@@ -68,5 +72,5 @@ def op10_language(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_sentencepiece, op4_surrogates, op6_quality_rules, op7_token_store, op9_secret_scan, op10_language)}
+    op2_sentencepiece, op3_near_duplicates, op4_surrogates, op6_quality_rules, op7_token_store, op9_secret_scan, op10_language)}
 ORACLE_SQL: dict[str, str] = {}
