@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import language, near_duplicates, pieces, quality_rules, secret_scan, surrogates, token_store
+from ledgerlens.llm import decontaminate, language, near_duplicates, pieces, quality_rules, secret_scan, surrogates, token_store
 from ledgerlens.session import configure, shared_folder
 
 SURROGATE_KEY = "surrogates-1"
@@ -47,6 +47,10 @@ def op4_surrogates(spark: SparkSession, folder: str) -> DataFrame:
     return surrogates.replace(docs, SURROGATE_KEY)
 
 
+def op5_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.leaks(spark, documents(spark, folder), table(spark, folder, "benchmark"))
+
+
 def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.judge(documents(spark, folder))
 
@@ -72,5 +76,6 @@ def op10_language(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_sentencepiece, op3_near_duplicates, op4_surrogates, op6_quality_rules, op7_token_store, op9_secret_scan, op10_language)}
+    op2_sentencepiece, op3_near_duplicates, op4_surrogates, op5_decontamination, op6_quality_rules, op7_token_store,
+    op9_secret_scan, op10_language)}
 ORACLE_SQL: dict[str, str] = {}
