@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import decontaminate, language, near_duplicates, pieces, quality_rules, secret_scan, surrogates, token_store
+from ledgerlens.llm import decontaminate, language, markov_model, near_duplicates, pieces, quality_rules, secret_scan, surrogates, token_store
 from ledgerlens.session import configure, shared_folder
 
 SURROGATE_KEY = "surrogates-1"
@@ -64,6 +64,11 @@ def op7_token_store(spark: SparkSession, folder: str) -> DataFrame:
     return token_store.read(spark, f"{root}/store", with_ids=False)
 
 
+def op8_markov_model(spark: SparkSession, folder: str) -> DataFrame:
+    root = shared_folder(spark, "markov-model")
+    return markov_model.fit_and_score(documents(spark, folder), remainder(7) == 2, root)
+
+
 def op9_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return secret_scan.scan(documents(spark, folder))
 
@@ -77,5 +82,5 @@ def op10_language(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op2_sentencepiece, op3_near_duplicates, op4_surrogates, op5_decontamination, op6_quality_rules, op7_token_store,
-    op9_secret_scan, op10_language)}
+    op8_markov_model, op9_secret_scan, op10_language)}
 ORACLE_SQL: dict[str, str] = {}
