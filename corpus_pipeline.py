@@ -9,7 +9,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlens.llm import pieces, quality_rules, secret_scan
+from ledgerlens.llm import decontaminate, near_duplicates, pieces, quality_rules, secret_scan
 from ledgerlens.session import configure, shared_folder
 
 
@@ -17,6 +17,14 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_rules.keep_good(docs)
 
 
+def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return near_duplicates.keep_one(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontaminate.without_leaks(spark, docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return secret_scan.without_secrets(docs)
 
@@ -25,7 +33,13 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return pieces.encode_decode(docs, public_tokenizers.path("piece_bpe_32k.model"), with_outputs=False)
 
 
-STAGES = [("quality rules", quality), ("secret scans", secrets), ("sentencepiece", tokens)]
+STAGES = [
+    ("quality rules", quality),
+    ("near-duplicates", near_duplicate),
+    ("benchmark decontamination", decontamination),
+    ("secret scans", secrets),
+    ("sentencepiece", tokens),
+]
 
 ORACLE_SQL = None  # SQL can express neither the repeats, the signatures nor the token ids
 

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import decontaminate, language, markov_model, near_duplicates, pieces, quality_rules, secret_scan, surrogates, token_store
+from ledgerlens.llm import decontaminate, language, markov_model, near_duplicates, pieces, quality_rules, secret_scan, suffix_dedup, surrogates, token_store
 from ledgerlens.session import configure, shared_folder
 
 SURROGATE_KEY = "surrogates-1"
@@ -32,6 +32,11 @@ def remainder(divisor: int) -> Column:
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % divisor
 
 
+def op1_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    root = shared_folder(spark, "suffix-dedup")
+    return suffix_dedup.deduplicate(documents(spark, folder), root, with_text=False)
+
+
 def op2_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     model = public_tokenizers.path("piece_bpe_32k.model")
     return pieces.encode_decode(documents(spark, folder), model, with_outputs=False)
@@ -81,6 +86,6 @@ def op10_language(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_sentencepiece, op3_near_duplicates, op4_surrogates, op5_decontamination, op6_quality_rules, op7_token_store,
+    op1_suffix_dedup, op2_sentencepiece, op3_near_duplicates, op4_surrogates, op5_decontamination, op6_quality_rules, op7_token_store,
     op8_markov_model, op9_secret_scan, op10_language)}
 ORACLE_SQL: dict[str, str] = {}
