@@ -1,7 +1,8 @@
 """Money, ratio, rounding and time expressions.
 
-Money has two decimals, so sums go through DECIMAL: the result does not depend on the order in which
-partitions are merged, and a retried task cannot change it.
+Sums of money go through DECIMAL: the result does not depend on the order in which partitions are merged, and a
+retried task cannot change it. Four decimals and 24 digits before the point hold any amount; ``decimal_type`` says
+otherwise where a table needs it.
 """
 
 from __future__ import annotations
@@ -9,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MONEY = "decimal(18,2)"
+MONEY = "decimal(28,4)"
 
 
 def _col(c: Column | str) -> Column:
@@ -33,7 +34,7 @@ def ratio(numerator: Column | str, denominator: Column | str) -> Column:
 
 def rounded(c: Column | str, digits: int) -> Column:
     """Half-up rounding of the decimal value, free of binary tails such as 10.004999..."""
-    return F.round(_col(c).cast("decimal(28,8)"), digits).cast("double")
+    return F.round(_col(c).cast("decimal(38,8)"), digits).cast("double")
 
 
 def flag_sum(c: Column | str) -> Column:

@@ -17,6 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerlens.operators.joins import null_safe_left_join
 from ledgerlens.operators.prefix import running_totals
 
 DAY = 86_400
@@ -58,8 +59,17 @@ def _distinct_moves(df: DataFrame, key: str, second: str, name: str, frame: Trai
     one exit per unbroken presence, however often it recurs in between."""
     seen = df.select(F.col(key), F.col(second).alias("at"), frame.value.alias("value")).where(
         "value is not null").distinct()
-    order = Window.partitionBy(key, "value").orderBy("at")
-    before, after = F.lag("at").over(order), F.lead("at").over(order)
+    # Neighbours inside a day; a day's first and last second know those of the days next to it from a table with one
+    # row a day, so the largest group in a task is one key and value in one day, or its list of days.
+    seen = seen.withColumn("day", F.floor(F.col("at") / DAY))
+    order = Window.partitionBy(key, "value", "day").orderBy("at")
+    days = Window.partitionBy(key, "value").orderBy("day")
+    edges = seen.groupBy(key, "value", "day").agg(F.min("at").alias("first"), F.max("at").alias("last"))
+    edges = edges.select(key, "value", "day", F.lag("last").over(days).alias("last_before"),
+                         F.lead("first").over(days).alias("first_after"))
+    seen = null_safe_left_join(seen, edges, [key, "value", "day"])
+    before = F.coalesce(F.lag("at").over(order), F.col("last_before"))
+    after = F.coalesce(F.lead("at").over(order), F.col("first_after"))
     enters = before.isNull() | (F.col("at") - before > frame.seconds)
     leaves = after.isNull() | (after - F.col("at") > frame.seconds)
     moves = F.array_compact(F.array(
@@ -74,7 +84,12 @@ def _distinct_moves(df: DataFrame, key: str, second: str, name: str, frame: Trai
 
 def trailing_frames(df: DataFrame, key: str, second: str,
                     frames: Mapping[str, Trailing | TrailingDistinct]) -> DataFrame:
-    """One row per (``key``, ``second``) of ``df`` with the value of every frame there."""
+    """One row per (``key``, ``second``) of ``df`` with the value of every frame there. Rows without a second are peers
+    of each other: their frame holds them all and nothing else."""
+    peers = df.where(F.col(second).isNull()).groupBy(key).agg(*[
+        (F.coalesce(F.sum(f.value), F.lit(0)) if isinstance(f, Trailing) else F.countDistinct(f.value)).alias(n)
+        for n, f in frames.items()]).withColumn(second, F.lit(None).cast(df.schema[second].dataType))
+    df = df.where(F.col(second).isNotNull())
     sums = {n: f for n, f in frames.items() if isinstance(f, Trailing)}
     moves = _additive_moves(df, key, second, {"_rows": Trailing(F.lit(1).cast("long"), 0), **sums})
     for name, frame in frames.items():
@@ -84,15 +99,20 @@ def trailing_frames(df: DataFrame, key: str, second: str,
     moves = moves.selectExpr(key, "at", "is_row", f"floor(at / {DAY}) as day",
                              *[f"coalesce({n}, 0) as {n}" for n in names])
     totals = running_totals(moves, [key], ["day", "at"], names)
-    return totals.where("is_row").select(key, F.col("at").alias(second), *names)
+    timed = totals.where("is_row").select(key, F.col("at").alias(second), *names)
+    return timed.unionByName(peers.select(key, second, *[F.col(n).cast(timed.schema[n].dataType) for n in names]))
 
 
 def trailing_max(df: DataFrame, key: str, second: str, value: str, days: int, name: str) -> DataFrame:
     """Largest ``value`` in the trailing frame of ``days`` days, one row per (``key``, ``second``).
 
     A maximum cannot be undone, so the frame is cut at midnights: the rest of its first day from the
-    frame's start on, the whole days between (at most ``days - 1`` rows), and the current day so far.
+    frame's start on, the whole days between (at most ``days - 1`` rows), and the current day so far. Rows without a
+    second are peers of each other.
     """
+    peers = df.where(F.col(second).isNull()).groupBy(key).agg(F.max(value).alias(name)).select(
+        key, F.lit(None).cast(df.schema[second].dataType).alias(second), name)
+    df = df.where(F.col(second).isNotNull())
     per_second = df.groupBy(F.col(key), F.col(second).alias("at")).agg(F.max(value).alias("v")).withColumn(
         "day", F.floor(F.col("at") / DAY))
     so_far = F.max("v").over(Window.partitionBy(key, "day").orderBy("at").rangeBetween(
@@ -114,4 +134,5 @@ def trailing_max(df: DataFrame, key: str, second: str, value: str, days: int, na
         per_second.withColumn("so_far", so_far)
         .join(between, [key, "day"], "left").join(first_day, [key, "at"], "left")
         .select(key, F.col("at").alias(second), F.greatest("first", "between", "so_far").alias(name))
+        .unionByName(peers)
     )

@@ -45,13 +45,15 @@ def _sample_stddev(n: Column, total: Column, squares: Column) -> Column:
     return F.when(n > 1, F.sqrt(spread / (n * (n - 1)).cast("double")))
 
 
-def velocity(enriched: DataFrame) -> DataFrame:
+def velocity(enriched: DataFrame, digits: int = 4) -> DataFrame:
     """Counts, sums, mean and deviation of an account's payments over the last hour, day and week.
 
-    Amounts are summed in cents, so the frames are exact. Only account, second and amount take part
-    in the frames; the wide rows move once, to meet them.
+    Amounts are summed as whole units of their ``digits``-th decimal, so the frames are exact; an amount too large for
+    that (about 1e14 at four digits) counts as missing in sums, not in counts. Only account, second and amount take
+    part in the frames; the wide rows move once, to meet them.
     """
-    cents = F.round(_c("amount") * 100).cast("long")
+    unit = 10 ** digits
+    cents = F.round(_c("amount") * unit).try_cast("long")
     squared = (cents.cast("decimal(18,0)") * cents.cast("decimal(18,0)")).cast("decimal(38,0)")
     one = _c("transaction_id").isNotNull().cast("long")
     base = with_second(enriched)
@@ -68,10 +70,10 @@ def velocity(enriched: DataFrame) -> DataFrame:
     n, total = _c("amounts_7d"), _c("cents_7d")
     measured = frames.select(
         "account_id", SECOND, "txn_count_1h", "txn_count_24h", "txn_count_7d",
-        (_c("cents_1h") / 100).alias("amount_sum_1h"),
-        (_c("cents_24h") / 100).alias("amount_sum_24h"),
-        F.try_divide(total / 100, n.cast("double")).alias("amount_avg_7d"),
-        (_sample_stddev(n, total, _c("squares_7d")) / 100).alias("amount_stddev_7d"),
+        (_c("cents_1h") / unit).alias("amount_sum_1h"),
+        (_c("cents_24h") / unit).alias("amount_sum_24h"),
+        F.try_divide(total / unit, n.cast("double")).alias("amount_avg_7d"),
+        (_sample_stddev(n, total, _c("squares_7d")) / unit).alias("amount_stddev_7d"),
     )
     return null_safe_left_join(base, measured, ["account_id", SECOND])
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.measures import exact_avg, exact_sum, flag_count, flag_sum, ratio, rounded
+from ledgerlens.operators.dedup import keep_one
 from ledgerlens.operators.joins import lookup_join
 from ledgerlens.profiles import BATCH, Profile
 
@@ -17,10 +18,11 @@ HOURS = "decimal(28,10)"
 
 
 def account_stats(transactions: DataFrame, profile: Profile = BATCH) -> DataFrame:
-    """Activity per account."""
+    """Activity per account. The profile that keeps rows without an id counts rows, the other one ids."""
     flags = flag_count if profile.zero_when_absent else flag_sum
+    counted = F.lit(1) if profile.zero_when_absent else _c("transaction_id")
     return transactions.groupBy("account_id").agg(
-        F.count("transaction_id").alias("total_txns"),
+        F.count(counted).alias("total_txns"),
         exact_sum("amount").alias("total_amount"),
         exact_avg("amount").alias("avg_txn_amount"),
         F.max("amount").alias("max_txn_amount"),
@@ -87,27 +89,36 @@ def merchant_attributes(merchants: DataFrame) -> DataFrame:
     return merchants.select("merchant_id", "mcc_code", "mcc_description", "risk_level", "is_high_risk_merchant")
 
 
+def one_label(labels: DataFrame) -> DataFrame:
+    """The latest label of each transaction."""
+    return keep_one(labels, "transaction_id", ("detected_datetime",))
+
+
 def label_attributes(labels: DataFrame) -> DataFrame:
     return labels.select("transaction_id", "fraud_type", _c("fraud_status").alias("fraud_label_status"),
                          "loss_amount", "is_resolved")
 
 
 def transactions_enriched(silver: Mapping[str, DataFrame], profile: Profile = BATCH,
-                          confirmed_only: bool = False) -> DataFrame:
+                          confirmed_only: bool = False, unique_labels: bool = False) -> DataFrame:
     """Every transaction with account, customer, merchant, label and alert attributes.
 
-    Customers are folded into accounts first, so the transactions move once for both. Labels and
-    alerts share the transaction key, so they need one more move together. ``is_fraud`` is set for
-    every labelled transaction whatever became of the case; ``confirmed_only`` narrows it.
+    Labels and alerts come first: they share the transaction key, by which deduplication has left the rows.
+    Customers are folded into accounts, so the transactions move once for both. ``is_fraud`` is set for
+    every labelled transaction whatever became of the case; ``confirmed_only`` narrows it. Two labels of one
+    transaction make two rows, as in a plain join; ``unique_labels`` takes the latest.
     """
     txn = silver["transactions"]
+    labels = one_label(silver["fraud_labels"]) if unique_labels else silver["fraud_labels"]
+    cases, counts = label_attributes(labels), alerts_per_transaction(silver["alerts"], profile)
+    holders, merchants = account_holders(silver), merchant_attributes(silver["merchants"])
     enriched = (
-        lookup_join(txn, account_holders(silver), "account_id", spread_by="transaction_id")
-        .transform(lookup_join, merchant_attributes(silver["merchants"]), "merchant_id",
-                   spread_by="transaction_id")
-        .join(label_attributes(silver["fraud_labels"]), "transaction_id", "left")
-        .join(alerts_per_transaction(silver["alerts"], profile), "transaction_id", "left")
-    )
+        txn.join(cases, "transaction_id", "left").join(counts, "transaction_id", "left")
+        .transform(lookup_join, holders, "account_id", spread_by="transaction_id")
+        .transform(lookup_join, merchants, "merchant_id", spread_by="transaction_id")
+    ).select("transaction_id", *[c for df, key in (
+        (txn, "transaction_id"), (holders, "account_id"), (merchants, "merchant_id"), (cases, "transaction_id"),
+        (counts, "transaction_id")) for c in df.columns if c != key or (df is txn and c != "transaction_id")])
     labelled = _c("fraud_type").isNotNull()
     if confirmed_only:
         labelled = labelled & _c("is_resolved")
@@ -141,9 +152,11 @@ def daily_fraud_summary(enriched: DataFrame, profile: Profile = BATCH) -> DataFr
     )
 
 
-def alert_rule_performance(silver: Mapping[str, DataFrame], profile: Profile = BATCH) -> DataFrame:
-    """How each alert rule fares against the labels."""
-    labels = silver["fraud_labels"].select("transaction_id", "fraud_id", "fraud_type")
+def alert_rule_performance(silver: Mapping[str, DataFrame], profile: Profile = BATCH,
+                           unique_labels: bool = False) -> DataFrame:
+    """How each alert rule fares against the labels; ``unique_labels`` as in ``transactions_enriched``."""
+    labels = one_label(silver["fraud_labels"]) if unique_labels else silver["fraud_labels"]
+    labels = labels.select("transaction_id", "fraud_id", "fraud_type")
     confirmed = _c("fraud_type" if profile.flags_as_int else "fraud_id").isNotNull()
     flags = flag_sum if profile.flags_as_int else flag_count
     rate = ratio("false_positives", "total_alerts")

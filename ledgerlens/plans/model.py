@@ -70,15 +70,15 @@ def split_exact(rows: DataFrame, seed: int = SEED, train_percent: int = TRAIN_PE
     sorts a whole class.
     """
     hashed = rows.withColumns({
-        "_digest": _digest(seed), "_prefix": F.substring(_digest(seed), 1, 3)})
-    placed = positions(hashed, [TARGET], ["_prefix", "_digest"], "transaction_id", "_place")
+        "_digest": _digest(seed), "_prefix": F.substring(_digest(seed), 1, 3), "_longer": F.substring(_digest(seed), 1, 6)})
+    placed = positions(hashed, [TARGET], ["_prefix", "_longer", "_digest"], "transaction_id", "_place")
     # one row per class
     sizes = rows.groupBy(_c(TARGET).alias("_class")).agg(F.count(F.lit(1)).alias("_n"))
     return (
         placed.join(F.broadcast(sizes), _c(TARGET).eqNullSafe(_c("_class")))
         .withColumn("split", F.when(_c("_place") <= F.floor(_c("_n") * (train_percent / 100)), "train")
                     .otherwise("test"))
-        .drop("_digest", "_prefix", "_place", "_n", "_class")
+        .drop("_digest", "_prefix", "_longer", "_place", "_n", "_class")
     )
 
 

@@ -109,8 +109,8 @@ def rule_alerts(inputs: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
         F.concat_ws("-", "rule_id", "transaction_id").alias("alert_id"),
         "transaction_id", "account_id", "rule_id", "alert_type", "severity",
         _c("score").cast("double").alias("score"), _c("txn_datetime").alias("created_datetime"),
-        F.concat(F.lit("Triggered by "), "alert_type", F.lit(" rule; score "), _c("score").cast("string"),
-                 F.lit(" exceeded threshold")).alias("explanation"),
+        F.concat("rule_id", F.lit(" ("), "alert_type", F.lit(") fired with "), _c("score").cast("string"),
+                 F.lit(" points")).alias("explanation"),
     )
 
 
@@ -165,10 +165,9 @@ def alert_reasons(features: DataFrame, structuring: DataFrame) -> DataFrame:
 
     reasons = {
         "structuring": F.when(_c("completes_structuring"), text(
-            "Multiple deposits under reporting threshold followed by consolidation withdrawal")),
+            "A large withdrawal follows several small deposits")),
         "amount": F.when(_c("amount_zscore") >= 2, text(
-            "Transaction amount $", number("amount", 2), " is ", number("amount_zscore", 1),
-            " standard deviations above account average")),
+            "Amount ", number("amount", 2), ", z-score ", number("amount_zscore", 1), " within the account")),
         "velocity": F.when(_c("is_high_velocity") == 1, text(
             _c("txn_count_1h").cast("string"), " transactions in last hour, ",
             _c("txn_count_24h").cast("string"), " in last 24 hours")),

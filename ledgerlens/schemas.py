@@ -69,20 +69,15 @@ CURRENCIES = ["USD", "EUR", "GBP", "INR", "SGD", "AED", "CAD", "AUD"]
 MCC_CODES = ["5411", "5912", "5812", "7011", "4111", "5999", "6011", "7372", "5944", "4812"]
 MCC_LABELS = ["Grocery", "Pharmacy", "Restaurant", "Hotel", "Transit", "Misc Retail",
               "ATM", "Software", "Jewelry", "Telecom"]
-RISK_LEVELS = ["Low", "Medium", "High", "Very High"]
 TRANSACTION_TYPES = ["Purchase", "ATM Withdrawal", "Wire Transfer", "ACH", "Bill Payment",
                      "Refund", "P2P Transfer", "FX Conversion", "Loan Payment", "Cash Deposit"]
-CHANNELS = ["Mobile", "Web", "Branch", "ATM", "POS", "API"]
-TRANSACTION_STATUSES = ["Completed", "Pending", "Declined", "Reversed"]
 RESPONSE_CODES = ["00", "05", "51", "54", "57"]
 FRAUD_TYPES = ["Card Cloning", "Account Takeover", "Identity Theft", "Money Laundering",
                "Phishing", "Synthetic Identity", "Bust-Out", "Card Not Present", "Insider Fraud"]
-FRAUD_STATUSES = ["Confirmed", "Under Investigation", "False Positive", "Resolved"]
 REPORTERS = ["System", "Customer", "Branch", "AML Team", "Regulator", "Partner Bank"]
 ALERT_TYPES = ["Velocity Check", "Amount Threshold", "Geo Anomaly", "Device Anomaly",
                "Blacklist Match", "Dormant Account Activity", "Round Amount", "Night Transaction",
                "Multiple Declines", "Cross-Border High Value"]
-SEVERITIES = ["Low", "Medium", "High", "Critical"]
 ENTITY_TYPES = ["Customer", "Account", "Transaction", "Alert"]
 AUDIT_ACTIONS = ["Login", "Logout", "Password Change", "Profile Update", "Large Transfer Approved",
                  "Account Suspended", "KYC Update", "Fraud Case Opened", "Alert Escalated",

@@ -21,16 +21,9 @@ CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings to an existing session.
-
-    A cluster's number of shuffle partitions is left alone. On a single machine that still has Spark's
-    default of 200, streams would open 200 state stores per operator for a handful of cores.
-    """
+    """Apply the runtime settings to an existing session. The number of shuffle partitions is the caller's."""
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
-    context = spark.sparkContext
-    if context.master.startswith("local") and spark.conf.get("spark.sql.shuffle.partitions") == "200":
-        spark.conf.set("spark.sql.shuffle.partitions", str(context.defaultParallelism))
     return spark
 
 

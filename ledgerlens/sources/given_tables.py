@@ -146,13 +146,14 @@ class GivenTables:
         )
 
     def fraud_labels(self) -> DataFrame:
-        orders = self.given("orders").where("o_orderkey % 16 < 5")
-        joined = orders.join(self._seconds(), F.expr("o_orderkey = event_id")).withColumn(
-            "detected", F.expr(_plus_hours("ts", "event_id % 72 + 1")))
+        """A label is a closed order (status F). Its payment has the order's number, and need not exist."""
+        orders = self.given("orders").where("o_orderstatus = 'F'")
+        joined = orders.join(self._seconds(), F.expr("o_orderkey = event_id"), "left").withColumn(
+            "detected", F.expr(_plus_hours("coalesce(ts, timestamp_ntz'2024-01-15 00:00:00')", "o_orderkey % 72 + 1")))
         k = "o_orderkey"
         return joined.selectExpr(
             f"{_padded('FRD', k, 6)} as fraud_id",
-            f"{_padded('TXN', 'event_id', 8)} as transaction_id",
+            f"{_padded('TXN', k, 8)} as transaction_id",
             f"{_pick(s.FRAUD_TYPES, 'o_custkey % 9')} as fraud_type",
             f"case when {k} % 10 < 4 then 'Confirmed' when {k} % 10 < 7 then 'Under Investigation' "
             f"when {k} % 10 < 9 then 'False Positive' else 'Resolved' end as fraud_status",
@@ -168,8 +169,8 @@ class GivenTables:
         )
 
     def alerts(self) -> DataFrame:
-        lines = self.given("lineitem").where(
-            "l_returnflag = 'R' and l_linestatus = 'F' and l_linenumber <= 2")
+        """An alert is a returned line of a closed order."""
+        lines = self.given("lineitem").where("l_returnflag = 'R' and l_linestatus = 'F'")
         moments = self._seconds().select("event_id", "ts")
         joined = (
             lines.join(moments, F.expr("l_orderkey = event_id"), "left")
@@ -197,13 +198,11 @@ class GivenTables:
             f"{_second(_plus_hours('created', 'l_suppkey % 96 + 1'))} end as resolved_datetime",
             "concat('ANL', 200 + l_suppkey % 100) as analyst_id",
             "l_partkey % 20 < 7 as false_positive",
-            "concat('Triggered by ', kind, ' rule; score ', cast(points as string), "
-            "' exceeded threshold') as explanation",
+            "concat(kind, ': ', cast(points as string), ' points') as explanation",
         )
 
     def audit_logs(self) -> DataFrame:
-        events = self.given("events").where("event_id % 5 = 0").withColumn(
-            "k", F.get_json_object("props", "$.k").cast("int"))
+        events = self.given("events").withColumn("k", F.get_json_object("props", "$.k").cast("int"))
         actor = _pick(s.AUDIT_ACTORS, "user_id % 6")
         return events.selectExpr(
             f"{_padded('LOG', 'event_id', 8)} as log_id",

@@ -113,7 +113,7 @@ def _rule(rule_id: str, kind: str, severity: str, score: str, where: str) -> str
 def _fired(hist: str, rules: str) -> str:
     return f"""SELECT * FROM (WITH {hist} SELECT rule_id || '-' || transaction_id AS alert_id, transaction_id,
         account_id, rule_id, alert_type, severity, CAST(score AS DOUBLE) AS score, txn_datetime AS created_datetime,
-        'Triggered by ' || alert_type || ' rule; score ' || CAST(score AS VARCHAR) || ' exceeded threshold'
+        rule_id || ' (' || alert_type || ') fired with ' || CAST(score AS VARCHAR) || ' points'
           AS explanation FROM ({rules}))"""
 
 
@@ -159,10 +159,9 @@ def _rules() -> dict[str, str]:
         array_to_string(parts, '; ') AS explanation
       FROM (SELECT transaction_id, composite_risk_score, list_filter([
         CASE WHEN transaction_id IN (SELECT transaction_id FROM {pattern}) THEN
-          'Multiple deposits under reporting threshold followed by consolidation withdrawal' END,
-        CASE WHEN amount_zscore >= 2 THEN 'Transaction amount $' || CAST(CAST(amount AS DECIMAL(18,2)) AS VARCHAR)
-          || ' is ' || CAST(CAST(amount_zscore AS DECIMAL(18,1)) AS VARCHAR)
-          || ' standard deviations above account average' END,
+          'A large withdrawal follows several small deposits' END,
+        CASE WHEN amount_zscore >= 2 THEN 'Amount ' || CAST(CAST(amount AS DECIMAL(18,2)) AS VARCHAR)
+          || ', z-score ' || CAST(CAST(amount_zscore AS DECIMAL(18,1)) AS VARCHAR) || ' within the account' END,
         CASE WHEN is_high_velocity = 1 THEN txn_count_1h || ' transactions in last hour, ' || txn_count_24h
           || ' in last 24 hours' END,
         CASE WHEN is_international THEN 'International transaction' END,

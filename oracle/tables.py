@@ -131,19 +131,20 @@ SELECT printf('TXN%08d', event_id) AS transaction_id,
 FROM (SELECT * FROM ev UNION ALL SELECT * FROM ev WHERE event_id % 53 = 0)""", "ev")
 
 block("b_fraud_labels", f"""
-SELECT printf('FRD%06d', o_orderkey) AS fraud_id, printf('TXN%08d', event_id) AS transaction_id,
+SELECT printf('FRD%06d', o_orderkey) AS fraud_id, printf('TXN%08d', o_orderkey) AS transaction_id,
   {listed(s.FRAUD_TYPES, 'o_custkey % 9')} AS fraud_type,
   CASE WHEN o_orderkey % 10 < 4 THEN 'Confirmed' WHEN o_orderkey % 10 < 7 THEN 'Under Investigation'
        WHEN o_orderkey % 10 < 9 THEN 'False Positive' ELSE 'Resolved' END AS fraud_status,
   {listed(s.REPORTERS, 'o_custkey % 6')} AS reported_by,
-  {TS.format("ts + to_hours(CAST(event_id % 72 + 1 AS INT))")} AS detected_datetime,
-  {TS.format("ts + to_hours(CAST(event_id % 72 + 1 + o_custkey % 72 + 1 AS INT))")} AS confirmed_datetime,
+  {TS.format("moment + to_hours(CAST(o_orderkey % 72 + 1 AS INT))")} AS detected_datetime,
+  {TS.format("moment + to_hours(CAST(o_orderkey % 72 + 1 + o_custkey % 72 + 1 AS INT))")} AS confirmed_datetime,
   CASE WHEN o_orderkey % 199 = 0 THEN 0.0::DOUBLE
        ELSE CAST(CAST(CAST(o_totalprice AS DECIMAL(12,2)) * 0.1 AS DECIMAL(12,2)) AS DOUBLE) END AS loss_amount,
   CAST(CAST(CAST(o_totalprice AS DECIMAL(12,2)) * 0.001 * CAST(o_orderkey % 40 AS DECIMAL(4,0)) AS DECIMAL(12,2))
        AS DOUBLE) AS recovered_amount,
   'INV' || (100 + o_custkey % 100) AS investigator_id, 'rule R' || (100 + o_orderkey % 900) AS notes
-FROM orders JOIN ev ON o_orderkey = event_id WHERE o_orderkey % 16 < 5""", "ev")
+FROM (SELECT orders.*, coalesce(ts, TIMESTAMP '2024-01-15 00:00:00') AS moment
+      FROM orders LEFT JOIN ev ON o_orderkey = event_id WHERE o_orderstatus = 'F')""", "ev")
 
 block("b_alerts", f"""
 SELECT printf('ALT%07d', l_orderkey * 10 + l_linenumber) AS alert_id, printf('TXN%08d', l_orderkey) AS transaction_id,
@@ -157,12 +158,12 @@ SELECT printf('ALT%07d', l_orderkey * 10 + l_linenumber) AS alert_id, printf('TX
   CASE WHEN l_partkey % 5 = 0 THEN NULL
        ELSE {TS.format('created + to_hours(CAST(l_suppkey % 96 + 1 AS INT))')} END AS resolved_datetime,
   'ANL' || (200 + l_suppkey % 100) AS analyst_id, l_partkey % 20 < 7 AS false_positive,
-  'Triggered by ' || kind || ' rule; score ' || CAST(points AS VARCHAR) || ' exceeded threshold' AS explanation
+  kind || ': ' || CAST(points AS VARCHAR) || ' points' AS explanation
 FROM (SELECT lineitem.*, {listed(s.ALERT_TYPES, 'l_partkey % 10')} AS kind,
         CAST(0.5 + CAST(l_discount AS DECIMAL(12,2)) * 5 AS DECIMAL(6,4)) AS points,
         coalesce(ts, TIMESTAMP '2024-01-15 00:00:00') + to_hours(l_linenumber) AS created
       FROM lineitem LEFT JOIN ev ON l_orderkey = event_id
-      WHERE l_returnflag = 'R' AND l_linestatus = 'F' AND l_linenumber <= 2)""", "ev")
+      WHERE l_returnflag = 'R' AND l_linestatus = 'F')""", "ev")
 
 block("b_audit_logs", f"""
 SELECT printf('LOG%08d', event_id) AS log_id, {listed(s.ENTITY_TYPES, 'event_id % 4')} AS entity_type,
@@ -173,7 +174,7 @@ SELECT printf('LOG%08d', event_id) AS log_id, {listed(s.ENTITY_TYPES, 'event_id
   CASE WHEN k % 20 < 17 THEN 'Success' WHEN k % 20 < 19 THEN 'Failure' ELSE 'Warning' END AS status,
   'Field updated by ' || {listed(s.AUDIT_ACTORS, 'user_id % 6')} || ' on ' || strftime(ts, '%Y-%m-%d')
     AS change_summary, k % 100 < 8 AS compliance_flag
-FROM ev WHERE event_id % 5 = 0""", "ev")
+FROM ev""", "ev")
 
 # ---------------------------------------------------------------- silver, both profiles
 for _table, _prefer in {
