@@ -63,9 +63,9 @@ def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 def op7_token_store(spark: SparkSession, folder: str) -> DataFrame:
     docs = documents(spark, folder)
     root = shared_folder(spark, "token-store")
-    ids = token_store.token_ids(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+    ids = token_store.token_ids(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=2, width=2)
     ids.write.option("compression", "zstd").parquet(f"{root}/ids")
-    token_store.write(spark.read.parquet(f"{root}/ids"), f"{root}/store")
+    token_store.write(spark.read.parquet(f"{root}/ids"), f"{root}/store", width=2)
     return token_store.read(spark, f"{root}/store", with_ids=False)
 
 

@@ -132,19 +132,31 @@ def chunk_tokens(path: str) -> ChunkTokens:
     return ChunkTokens(Tokenizer.from_file(path))
 
 
-def token_ids(docs: DataFrame, vocabulary: str, end_id: int | None = None) -> DataFrame:
-    """``doc_id, ids``: token ids of whole texts as little-endian unsigned 32-bit bytes, closed by ``end_id``."""
+def token_ids(docs: DataFrame, vocabulary: str, end_id: int | None = None, width: int = 4) -> DataFrame:
+    """``doc_id, ids``: token ids of whole texts as little-endian unsigned numbers of ``width`` bytes (2 will do for
+    vocabularies of up to 65,536 entries), closed by ``end_id``."""
     close = b"" if end_id is None else struct.pack("<I", end_id)
 
     def encode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = chunk_tokens(vocabulary)
-        for batch in slices(batches, limit=8 << 20):
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), cache.of(batch.column("text"), close)], ["doc_id", "ids"])
+        for batch in slices(batches):
+            ids = cache.of(batch.column("text"), close)
+            if width == 2:
+                ids = narrow(ids)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), ids], ["doc_id", "ids"])
 
     return plain(docs).mapInArrow(encode, "doc_id long, ids binary")
 
 
+def narrow(ids: pa.Array) -> pa.Array:
+    """Id strings of 32-bit numbers as such of 16-bit numbers; larger ids raise."""
+    items = np.frombuffer(b"".join(ids.to_pylist()), dtype="<u4")
+    if len(items) and items.max() > 0xFFFF:
+        raise ValueError("ids do not fit into two bytes")
+    counts = pc.binary_length(ids).to_numpy(zero_copy_only=False).astype(np.int64) // 4
+    return binaries(items.astype("<u2"), counts)
+
+
 # ------------------------------------------------------------------------------------------------ shared table
 
 
@@ -181,14 +193,14 @@ class Table:
         return zlib.crc32(self.frequency.astype("<u8").tobytes() + bytes([self.bits]))
 
 
-def symbol_counts(ids: DataFrame) -> DataFrame:
+def symbol_counts(ids: DataFrame, width: int = 4) -> DataFrame:
     """``symbol, count`` over all id strings; each task sends one row a symbol it has seen."""
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1, dtype=np.int64)
         for batch in batches:
             for value in batch.column("ids"):
-                found = np.bincount(np.frombuffer(value.as_buffer(), dtype="<u4")) if value.is_valid else total[:0]
+                found = np.bincount(np.frombuffer(value.as_buffer(), f"<u{width}")) if value.is_valid else total[:0]
                 if len(found) > len(total):
                     total = np.concatenate([total, np.zeros(len(found) - len(total), dtype=np.int64)])
                 total[: len(found)] += found
@@ -317,11 +329,11 @@ BLOCKS = "part int, number int, first long, docs int, tokens long, block binary"
 
 
 def write(ids: DataFrame, folder: str, lanes: int = 64, interval: int = 512, block_tokens: int = 1 << 17,
-          batch_tokens: int = 1 << 22) -> None:
-    """Write ``doc_id, ids`` as a store, in ascending order of ``doc_id`` (nulls first; repeated numbers in the order
+          batch_tokens: int = 1 << 22, width: int = 4) -> None:
+    """Write ``doc_id, ids`` (numbers of ``width`` bytes) as a store, in ascending order of ``doc_id`` (nulls first; repeated numbers in the order
     of their ids). ``ids`` is read three times, so pass a written table. An empty table gives an empty store."""
     spark = ids.sparkSession
-    counts = symbol_counts(ids)
+    counts = symbol_counts(ids, width)
     found = counts.toPandas()  # at most one row a symbol of the vocabulary
     table = Table.of(found["symbol"].to_numpy(), found["count"].to_numpy())
     bits, share = table.bits, table.frequency
@@ -332,7 +344,7 @@ def write(ids: DataFrame, folder: str, lanes: int = 64, interval: int = 512, blo
 
     def encode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, part, number, first = shared.value, TaskContext.get().partitionId(), 0, 0
-        for blocks in _batches(_blocks(batches, block_tokens), batch_tokens):
+        for blocks in _batches(_blocks(batches, block_tokens, width), batch_tokens):
             tokens = [np.concatenate(b[1]) for b in blocks]
             out = []
             for (docs, parts), t, coded in zip(blocks, tokens, encode_blocks(tokens, table, lanes, interval)):
@@ -350,12 +362,12 @@ def write(ids: DataFrame, folder: str, lanes: int = 64, interval: int = 512, blo
      .mapInArrow(encode, BLOCKS).write.parquet(f"{folder}/blocks"))
 
 
-def _blocks(batches: Iterable[pa.RecordBatch], size: int) -> Iterator[tuple[list, list]]:
+def _blocks(batches: Iterable[pa.RecordBatch], size: int, width: int) -> Iterator[tuple[list, list]]:
     """Runs of whole documents with about ``size`` tokens."""
     docs, parts, held = [], [], 0
     for batch in batches:
         for doc, value in zip(batch.column("doc_id").to_pylist(), batch.column("ids")):
-            tokens = np.frombuffer(value.as_py() or b"", dtype="<u4")
+            tokens = np.frombuffer(value.as_py() or b"", dtype=f"<u{width}")
             if docs and held + len(tokens) > size:
                 yield docs, parts
                 docs, parts, held = [], [], 0
