@@ -372,5 +372,5 @@ def without_leaks(spark: SparkSession, docs: DataFrame, benchmark: DataFrame,
                   settings: Settings = Settings()) -> DataFrame:
     """The rows of documents without a benchmark passage, with the columns they came with. A document number that
     occurs more than once goes with all its rows if one of them holds a passage."""
-    bad = leaks(spark, docs, benchmark, settings).select(F.col("doc_id").alias("_leaky")).distinct()
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("_leaky")), "left_anti")
+    bad = leaks(spark, docs, benchmark, settings).select("doc_id").distinct()
+    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["doc_id"]), "left_anti")

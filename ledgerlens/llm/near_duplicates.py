@@ -273,5 +273,5 @@ def group(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
 
 def keep_one(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """The rows of the documents that are kept, with the columns they came with."""
-    kept = group(docs, settings).where("kept").select(F.col("doc_id").alias("_kept_id")).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept_id")), "left_semi")
+    kept = group(docs, settings).where("kept").select("doc_id").distinct()
+    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi")

@@ -115,7 +115,10 @@ def without_secrets(docs: DataFrame, example_owners: int = 3, mask: str = "[SECR
     """The rows with every value that few owners hold replaced by ``mask``; values that many owners hold are copied
     examples and stay. All columns stay; a text without secrets is not touched."""
     names = docs.columns
-    rows = candidates(docs).withColumn("_key", F.xxhash64("text"))
+    own = [f"_c{k}" for k in range(len(names))]  # the columns under names that cannot clash
+    at = lambda name: F.col(own[names.index(name)]).alias(name)
+    rows = docs.toDF(*own).select(*own, at("doc_id"), at("source"), at("text"))
+    rows = candidates(rows).withColumn("_key", F.xxhash64("text"))
     spans = F.concat("_base", "_more")
     values = rows.where(F.size(spans) > 0).select(
         F.col("doc_id").alias("repository"), F.col("source").cast("string").alias("owner"), "_key",
@@ -130,4 +133,4 @@ def without_secrets(docs: DataFrame, example_owners: int = 3, mask: str = "[SECR
                        lambda text, value: F.replace(text, value, F.lit(mask)))
     masked = F.when(F.col("_live").isNull(), F.col("text")).otherwise(hide)
     return joined.withColumn("_masked", masked).select(
-        *[F.col("_masked").alias("text") if n == "text" else F.col(n) for n in names])
+        *[(F.col("_masked") if n == "text" else F.col(c)).alias(n) for n, c in zip(names, own)])
