@@ -10,7 +10,7 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerlens import schemas
-from ledgerlens.plans import features, gold
+from ledgerlens.plans import explain, features, gold, model
 from ledgerlens.plans.silver import refine
 from ledgerlens.profiles import BATCH, Profile
 from ledgerlens.sources.layout import Layout
@@ -54,6 +54,17 @@ class Warehouse:
         return self.table("gold", f"gold_{name}")
 
 
+def run_model(w: Warehouse, model_path: str, params: model.Boosting = model.Boosting()) -> model.PipelineModel:
+    """Train on the feature table, save, reload, and write the prediction and explanation tables of all rows."""
+    rows = model.split(model.matrix(w.gold("ml_features")))
+    model.save(model.train(rows, params), model_path)
+    fitted = model.load(model_path)
+    model.check_inputs(w.spark, model_path, rows)
+    w.save("gold", "gold_fraud_predictions", model.model_predictions(fitted, rows))
+    w.save("gold", "gold_shap_explanations", explain.explanations(w.spark, fitted, model_path, rows))
+    return fitted
+
+
 def run_batch(spark: SparkSession, raw: Mapping[str, DataFrame], layout: Layout, profile: Profile = BATCH,
               as_of: date | str | None = None, land_raw: bool = True) -> Warehouse:
     """Build every layer up to the feature table; ``Warehouse.rows`` holds the row counts.

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.text import contributions, driver_text
-from ledgerlens.operators.treeshap import attribute, read_leaves
+from ledgerlens.operators.treeshap import attribute, baseline, read_leaves
 from ledgerlens.plans.model import FEATURES, score
 from ledgerlens.plans.scorecard import THRESHOLD
 
@@ -29,3 +29,12 @@ def explanations(spark: SparkSession, model: PipelineModel, model_path: str, row
         *FEATURES, "transaction_id", _c("fraud_probability").alias("predicted_fraud_prob"),
         (_c("fraud_probability") >= THRESHOLD).cast("int").alias("predicted_label"),
         driver_text(contributions(FEATURES), top).alias("top_fraud_drivers"))
+
+
+def additivity(spark: SparkSession, model: PipelineModel, model_path: str, explained: DataFrame,
+               tolerance: float = 1e-6) -> DataFrame:
+    """Rows of the explanation table, and how many of them do not add up to the log-odds of their probability."""
+    total = sum((_c(f) for f in FEATURES), F.lit(baseline(read_leaves(spark, model, model_path))))
+    p = _c("predicted_fraud_prob")
+    off = F.abs(total - F.log(p / (1 - p))) > tolerance
+    return explained.agg(F.count(F.lit(1)).alias("explained"), F.count_if(off | off.isNull()).alias("off"))

@@ -8,7 +8,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.measures import ratio, rounded
@@ -106,8 +106,26 @@ def train(rows: DataFrame, params: Boosting = Boosting()) -> PipelineModel:
     return Pipeline(stages=[assembler, trees]).fit(weighted)
 
 
+def signature() -> dict[str, str]:
+    """Names and types of what the model takes and gives."""
+    return {**{f: "double" for f in FEATURES}, "fraud_probability": "double"}
+
+
 def save(model: PipelineModel, path: str) -> None:
+    """The model and, beside it, its signature as a table."""
     model.write().overwrite().save(path)
+    spark = SparkSession.active()
+    spark.createDataFrame(list(signature().items()), "name string, type string").coalesce(1).write.mode(
+        "overwrite").parquet(f"{path}-signature")
+
+
+def check_inputs(spark: SparkSession, path: str, rows: DataFrame) -> None:
+    """Raise if rows lack an input of the saved model or have it in another type."""
+    types = dict(rows.dtypes)
+    wanted = {r["name"]: r["type"] for r in spark.read.parquet(f"{path}-signature").collect()}  # a row an input
+    wrong = [n for n, t in wanted.items() if n in FEATURES and types.get(n) != t]
+    if wrong:
+        raise ValueError(f"inputs missing or of another type: {', '.join(sorted(wrong))}")
 
 
 def load(path: str) -> PipelineModel:

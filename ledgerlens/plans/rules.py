@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens.functions.risk import policy_action, policy_tier
 from ledgerlens.functions.text import sentence
-from ledgerlens.operators.joins import lookup_join
+from ledgerlens.operators.joins import lookup_join, null_safe_left_join
 from ledgerlens.operators.prefix import positions
 from ledgerlens.operators.sweep import Trailing, TrailingDistinct, trailing_frames
 from ledgerlens.plans.features import DAY, SECOND, with_second
@@ -73,7 +73,7 @@ def declines_24h(features: DataFrame) -> DataFrame:
     declined = features.where("is_declined").select("transaction_id", "account_id", SECOND)
     frames = trailing_frames(declined, "account_id", SECOND, {
         "declines_24h": Trailing(F.lit(1).cast("long"), DAY)})
-    return declined.join(frames, ["account_id", SECOND]).select("transaction_id", "declines_24h")
+    return null_safe_left_join(declined, frames, ["account_id", SECOND]).select("transaction_id", "declines_24h")
 
 
 def rule_inputs(features: DataFrame, merchants_raw: DataFrame) -> DataFrame:

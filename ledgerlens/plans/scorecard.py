@@ -98,15 +98,15 @@ def classification_report(scored: DataFrame, probability: str = "fraud_probabili
 def roc_auc(scored: DataFrame, probability: str = "fraud_probability", label: str = "label") -> DataFrame:
     """Exact area under the ROC curve, ties counted half.
 
-    Rows shrink to one per distinct probability; the running count of negatives goes by probability
-    slice first, so no task orders all distinct probabilities.
+    Rows shrink to one per distinct probability; the running count of negatives goes by coarse, then fine
+    probability slices, so no task orders all distinct probabilities.
     """
     per_score = scored.select(F.coalesce(_c(probability), F.lit(0.0)).alias("p"), _c(label).alias("y")).groupBy(
-        F.floor(_c("p") * 1000).alias("slice"), "p").agg(
+        F.floor(_c("p") * 1000).alias("slice"), F.floor(_c("p") * 10_000_000).alias("part"), "p").agg(
         F.count_if(_c("y") == 1).alias("pos"), F.count_if(_c("y") == 0).alias("neg"))
     # constant key: the order is over all rows, one slice per task
     ordered = running_totals(
-        per_score.withColumns({"all": F.lit(0), "upto": _c("neg")}), ["all"], ["slice", "p"], ["upto"])
+        per_score.withColumns({"all": F.lit(0), "upto": _c("neg")}), ["all"], ["slice", "part", "p"], ["upto"])
     big = "decimal(19,0)"
     # twice the number of correctly ordered pairs, an exact integer
     twice = F.sum((_c("pos").cast(big) * (_c("upto") * 2 - _c("neg")).cast(big)).cast("decimal(38,0)"))
@@ -117,3 +117,13 @@ def roc_auc(scored: DataFrame, probability: str = "fraud_probability", label: st
         rounded(F.try_divide(_c("twice").cast("double"),
                              _c("positives").cast("double") * _c("negatives").cast("double") * 2), 8)
         .alias("roc_auc"))
+
+
+def prediction_invariants(predictions: DataFrame) -> DataFrame:
+    """What must hold for every prediction table: rows, distinct ids, and rows that break a rule of the table."""
+    p = _c("fraud_probability")
+    return predictions.agg(
+        F.count(F.lit(1)).alias("scored"), F.countDistinct("transaction_id").alias("ids"),
+        F.count_if(p.isNull() | (p < 0) | (p > 1)).alias("outside"),
+        F.count_if(_c("fraud_prediction") != (p >= THRESHOLD).cast("int")).alias("wrong_prediction"),
+        F.count_if(~_c("risk_tier").eqNullSafe(model_tier(p))).alias("wrong_tier"))

