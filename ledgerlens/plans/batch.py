@@ -53,6 +53,10 @@ class Warehouse:
     def gold(self, name: str) -> DataFrame:
         return self.table("gold", f"gold_{name}")
 
+    def register(self, prefix: str = "") -> None:
+        """Put every table written so far into the catalog; bronze tables are named as their silver ones are."""
+        self.layout.register(self.spark, [tuple(name.split(".", 1)) for name in sorted(self.rows)], prefix)
+
 
 def run_model(w: Warehouse, model_path: str, params: model.Boosting = model.Boosting()) -> model.PipelineModel:
     """Train on the feature table, save, reload, and write the prediction and explanation tables of all rows."""

@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.functions.measures import exact_avg, exact_sum, percent_true, rounded
+from ledgerlens.functions.measures import MONEY, exact_avg, exact_sum, percent_true, rounded
 
 _c = F.col
 MEASURE = "decimal(28,8)"
@@ -106,7 +106,7 @@ def merchant_heatmap(enriched: DataFrame, merchants: DataFrame) -> DataFrame:
     per_merchant = enriched.where("merchant_id is not null").groupBy("merchant_id").agg(
         F.count("transaction_id").alias("n"),
         F.sum(_c("is_fraud").cast("long")).alias("fraud"),
-        F.sum(_c("loss_amount").cast("decimal(18,2)")).alias("loss"),
+        F.sum(_c("loss_amount").cast(MONEY)).alias("loss"),
     )
     return (
         per_merchant.join(merchants.select("merchant_id", "mcc_description", "risk_level"), "merchant_id")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -55,7 +56,13 @@ class Layout:
            .partitionBy(partition_by).save(self.path(layer, table)))
         return counted.get["rows"]
 
-    def create_databases(self, spark: SparkSession, prefix: str = "") -> None:
-        """Catalog namespaces over the layer folders, for sessions that query by table name."""
-        for layer in LAYERS:
-            spark.sql(f"CREATE DATABASE IF NOT EXISTS {prefix}{layer} LOCATION '{self.root}/{layer}'")
+    def register(self, spark: SparkSession, tables: Iterable[tuple[str, str]], prefix: str = "") -> None:
+        """Catalog tables over the written folders, named ``<prefix><layer>.<table>``, for sessions that ask in SQL.
+        Registering again takes in new dates."""
+        for layer, table in tables:
+            name = f"`{prefix}{layer}`.`{table}`"
+            spark.sql(f"CREATE DATABASE IF NOT EXISTS `{prefix}{layer}`")
+            spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING {self.format} LOCATION '{self.path(layer, table)}'")
+            if spark.sql(f"DESCRIBE TABLE {name}").where("col_name = '# Partition Information'").count():
+                spark.sql(f"MSCK REPAIR TABLE {name}")
+            spark.catalog.refreshTable(name)
