@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ledgerlens.plans import gold
 from ledgerlens.plans.silver import LOAD_STAMP, refine
 from ledgerlens.profiles import BATCH, Profile
+from ledgerlens.streaming import ingest
 
 LATENESS = "2 hours"
 
@@ -19,7 +20,7 @@ def clean(raw: DataFrame, lateness: str = LATENESS, profile: Profile = BATCH) ->
 
     A copy is dropped if it arrives within ``lateness`` of the first; older keys leave the state, so it
     is bounded by the traffic of that time. Rows without a readable time cannot be placed on the time
-    line and are left to ``without_time``.
+    line; ``land_clean`` lands them in a table of their own (``without_time``).
     """
     timed = raw.withColumn("event_time", F.try_to_timestamp("txn_datetime")).where("event_time is not null")
     unique = timed.withWatermark("event_time", lateness).dropDuplicatesWithinWatermark(["transaction_id"])
@@ -31,6 +32,14 @@ def without_time(raw: DataFrame) -> DataFrame:
     return raw.where(F.try_to_timestamp("txn_datetime").isNull())
 
 
+def land_clean(raw: DataFrame, root: str, profile: Profile = BATCH) -> tuple[str, str]:
+    """Land the cleaned stream and, beside it, the rows without a readable time; returns both paths."""
+    paths = f"{root}/silver", f"{root}/without_time"
+    ingest.finish([ingest.land(df, path, f"{path}-checkpoint")
+                   for df, path in zip((clean(raw, profile=profile), without_time(raw)), paths)])
+    return paths
+
+
 def enrich(cleaned: DataFrame, silver: Mapping[str, DataFrame], profile: Profile = BATCH) -> DataFrame:
     """The enrichment of the batch, with the stream on its transaction side and static lookups."""
     return gold.transactions_enriched({**silver, "transactions": cleaned}, profile)

@@ -25,39 +25,48 @@ def windowed(cleaned: DataFrame, length: str = "1 hour", slide: str | None = "5
              "txn_count", (F.col("cents") / 100).alias("amount_sum"))
 
 
-def exact(landed: DataFrame, lateness_seconds: int = DAY) -> DataFrame:
+def squared(cents):
+    """Squares of 64-bit integers in two parts, ``high * 2**31 + low``, so that sums of large amounts stay in 64 bits."""
+    size = abs(cents)
+    top, rest = size >> 31, size & 0x7FFFFFFF
+    square = rest * rest
+    return (top * top << 31) + 2 * top * rest + (square >> 31), square & 0x7FFFFFFF
+
+
+def exact(landed: DataFrame, lateness_seconds: int = DAY, idle_seconds: int = WEEK + DAY) -> DataFrame:
     """Trailing one-hour, one-day and one-week figures of every (account, second) as it arrives.
 
     ``landed`` is a stream over landed silver transactions (the query that lands them deduplicates).
 
     Rows are first combined per account and second within each Arrow batch, so a hot account does not
     cross the shuffle row by row. The state of an account is one entry per second with traffic in its
-    last week of traffic plus ``lateness_seconds``: bounded by the clock, not by the rows. No row is
+    last week of traffic plus ``lateness_seconds``: bounded by the clock, not by the rows. Seconds more than a day ahead
+    of the present do not count as its latest, so a wrongly dated row cannot push the others out. No row is
     dropped: a late one yields the figures of its own second as known then; seconds already emitted
-    are not emitted again. (An event-time timeout would drop late rows unseen, hence none is set; an
-    idle account keeps its last week.)
+    are not emitted again. (An event-time timeout would drop late rows unseen; the state of an account without
+    traffic for ``idle_seconds`` of processing time is given up.)
     """
     timed = landed.select("account_id", F.unix_timestamp("txn_datetime").alias("second"),
                           F.round(F.col("amount") * 100).cast("long").alias("cents"))
     parts = ["second", "n", "cents", "squares_high", "squares_low"]
 
     def combine(batches: Iterator):
-        import pandas as pd
-
         for batch in batches:
             rows = batch[["account_id", "second"]].copy()
             rows["n"] = 1
             rows["cents"] = batch["cents"].fillna(0).astype("int64")
-            squares = [int(c) * int(c) for c in rows["cents"]]
-            # squares in two parts, so that sums of large amounts stay within 64 bits
-            rows["squares_high"] = pd.Series([s >> 31 for s in squares], index=rows.index, dtype="int64")
-            rows["squares_low"] = pd.Series([s & 0x7FFFFFFF for s in squares], index=rows.index, dtype="int64")
+            rows["squares_high"], rows["squares_low"] = squared(rows["cents"])
             yield rows.groupby(["account_id", "second"], as_index=False, sort=False).sum()[["account_id", *parts]]
 
     def update(key: tuple, chunks: Iterator, state: GroupState) -> Iterator:
+        import time
+
         import numpy as np
         import pandas as pd
 
+        if state.hasTimedOut:
+            state.remove()
+            return
         arrived = None
         for chunk in chunks:  # folded chunk by chunk: never more than one row per second is held
             folded = chunk[parts] if arrived is None else pd.concat([arrived, chunk[parts]])
@@ -85,8 +94,11 @@ def exact(landed: DataFrame, lateness_seconds: int = DAY) -> DataFrame:
             "amount_stddev_7d": [None if a < 2 else (v / (int(a) * (int(a) - 1))) ** 0.5 / 100
                                  for a, v in zip(n, spread)],
         })
-        kept = merged[at >= at[-1] - WEEK - lateness_seconds]
+        believable = at[at <= time.time() + DAY]
+        latest = believable[-1] if len(believable) else at[-1]
+        kept = merged[at >= latest - WEEK - lateness_seconds]
         state.update(tuple([int(v) for v in kept[c]] for c in parts))
+        state.setTimeoutDuration(idle_seconds * 1000)
 
     longs = ", ".join(f"{c} array<bigint>" for c in parts)
     combined = timed.mapInPandas(
@@ -95,4 +107,4 @@ def exact(landed: DataFrame, lateness_seconds: int = DAY) -> DataFrame:
         update,
         "account_id string, second bigint, txn_count_1h bigint, txn_count_24h bigint, txn_count_7d bigint, "
         "amount_sum_1h double, amount_sum_24h double, amount_avg_7d double, amount_stddev_7d double",
-        longs, "append", GroupStateTimeout.NoTimeout)
+        longs, "append", GroupStateTimeout.ProcessingTimeTimeout)

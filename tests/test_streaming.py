@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_point
+from ledgerlens import schemas
 from ledgerlens.plans.features import VELOCITY_COLUMNS
 from ledgerlens.plans.rules import rule_alerts
 from ledgerlens.session import shared_folder
@@ -108,3 +109,33 @@ def test_rows_without_a_time_are_set_aside(spark):
     raw = spark.createDataFrame([("T1", "2024-01-01 00:00:00"), ("T2", "soon"), ("T3", None)],
                                 "transaction_id string, txn_datetime string")
     assert sorted(r.transaction_id for r in transactions.without_time(raw).collect()) == ["T2", "T3"]
+
+
+def test_rows_without_a_time_land_in_their_own_table(spark):
+    path, root = shared_folder(spark, "raw"), shared_folder(spark, "landed")
+    schema = schemas.BRONZE["transactions"]
+    row = spark.range(3).selectExpr("concat('T', id) as transaction_id", "array('2024-01-01 00:00:00', 'soon', null)[id] as txn_datetime")
+    full = row.select(*[F.col(f.name) if f.name in row.columns else F.lit(None).cast(f.dataType).alias(f.name)
+                        for f in spark.createDataFrame([], schema).schema])
+    full.withColumns({"account_id": F.lit("A"), "amount": F.lit(5.0)}).write.parquet(path)
+    timed, untimed = transactions.land_clean(ingest.follow(spark, path, schema), root)
+    ids = lambda p: sorted(r.transaction_id for r in spark.read.parquet(p).collect())
+    assert ids(timed) == ["T0"] and ids(untimed) == ["T1", "T2"]
+
+
+def test_a_future_row_leaves_other_frames_alone(spark):
+    path = shared_folder(spark, "landed")
+    schema = "account_id string, txn_datetime timestamp, amount double"
+    for moments in (["2024-01-01 10:00:00"], ["2099-01-01 00:00:00"], ["2024-01-01 10:10:00"]):
+        spark.createDataFrame([("A", m, 5.0) for m in moments], "account_id string, m string, amount double").selectExpr(
+            "account_id", "timestamp(m) as txn_datetime", "amount").coalesce(1).write.mode("append").parquet(path)
+    frames, _ = land(spark, velocity.exact(ingest.follow(spark, path, schema, 1)))
+    assert sorted(r.txn_count_1h for r in frames.collect()) == [1, 1, 2]
+
+
+def test_squares_in_two_parts():
+    import numpy as np
+
+    values = np.array([0, 1, -7, 2 ** 31 - 1, 2 ** 31, -(2 ** 33) + 5, 10 ** 12])
+    high, low = velocity.squared(values)
+    assert [(int(h) << 31) + int(x) for h, x in zip(high, low)] == [int(v) ** 2 for v in values]
