@@ -9,10 +9,12 @@ with nothing. Documents link when the Jaccard similarity of their sets is at lea
    all its slots hold values below the next round: long documents after one round.
 2. Documents with equal sets form a class, represented by its smallest number. Only representatives go on.
 3. Banding: representatives that agree on all values of a band share a bucket. In each bucket the members are compared
-   with a leader, the member with the most company over all its buckets; then components are formed, and only members
-   still in different components are compared with each other (further leaders first while that is much, then all that
-   is left). So no links are lost in a bucket, and a group of thousands of copies costs a star, not all pairs.
-4. Every link is confirmed on the full sets.
+   with a leader, the member with the most company over all its buckets, and components are formed: a group of
+   thousands of copies costs a star, not all pairs.
+4. Members of a bucket that are still in different components meet in tasks, a large bucket as pairs of blocks. A task
+   compares a pair only if this is the first band the two share and nothing connects them yet, and puts out only links
+   that connect, fewer than it has members. So no link of a bucket is lost, and no pairs are written out.
+5. Every link is confirmed on the full sets.
 
 Shingles are told apart by 64-bit hashes. Rows without ``doc_id`` get the component of their class, or null; a repeated
 ``doc_id`` counts as one document with several texts. Null texts count as empty.
@@ -39,14 +41,14 @@ STEP = np.uint64(0x9E3779B97F4A7C15)
 
 @dataclass(frozen=True)
 class Settings:
-    """32 bands of 4 values find a pair of similarity 0.75 with probability 1 - 5e-6."""
+    """64 bands of 6 values find a pair of similarity 0.75 with probability 1 - 4e-6, one of 0.5 with 0.64."""
 
     shingle: int = 5
     similarity: int = 75  # percent
-    bands: int = 32
-    rows: int = 4
-    leaders: int = 6  # rounds of leaders before all that is left is compared
-    block: int = 512  # members of one bucket that meet in one task
+    bands: int = 64
+    rows: int = 6
+    block: int = 256  # members of one bucket that meet as many others in one task
+    at_once: int = 1 << 15  # elements whose permutations a task holds
 
 
 # ------------------------------------------------------------------------------------------------- sets and sketches
@@ -75,11 +77,24 @@ def shingle_sets(texts: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
     return elements[new], np.bincount(rows[new], minlength=len(texts)).astype(np.int64)
 
 
-def signatures(elements: np.ndarray, counts: np.ndarray, slots: int) -> np.ndarray:
+def signatures(elements: np.ndarray, counts: np.ndarray, slots: int, at_once: int = 1 << 15) -> np.ndarray:
     """SuperMinHash signatures, one row a text; texts without elements keep the largest value everywhere."""
     out = np.full((len(counts), slots), np.iinfo(np.uint64).max, dtype=np.uint64)
+    ends = np.cumsum(counts)
+    start = 0
+    while start < len(counts):  # some texts at a time: a permutation takes two bytes a slot and element
+        done = ends[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, done + at_once, "right")))
+        rows = np.repeat(np.arange(stop - start), counts[start:stop])
+        _offer(out[start:stop], elements[done: ends[stop - 1]], rows)
+        start = stop
+    return out
+
+
+def _offer(out: np.ndarray, elements: np.ndarray, rows: np.ndarray) -> None:
+    """Fill the signatures of some texts, round by round, as long as a text needs another round."""
+    slots = out.shape[1]
     flat = out.reshape(-1)
-    rows = np.repeat(np.arange(len(counts)), counts)
     order: np.ndarray | None = None  # permutation state of the elements still in play
     low = np.uint64(0xFFFFFFFF)
     for level in range(slots):
@@ -99,10 +114,9 @@ def signatures(elements: np.ndarray, counts: np.ndarray, slots: int) -> np.ndarr
         if order is None:
             order = np.tile(np.arange(slots, dtype=np.uint16), (int(stay.sum()), 1))
             order[np.arange(len(order)), pick[stay]] = 0
-        else:
+        elif not stay.all():
             order = order[stay]
         elements, rows = elements[stay], rows[stay]
-    return out
 
 
 def band_keys(signature: np.ndarray, bands: int, rows: int) -> np.ndarray:
@@ -119,8 +133,8 @@ def sketches(docs: DataFrame, settings: Settings) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             elements, counts = shingle_sets(batch.column("text"), settings.shingle)
-            keys = band_keys(signatures(elements, counts, settings.bands * settings.rows), settings.bands,
-                             settings.rows).view(np.int64)
+            keys = band_keys(signatures(elements, counts, settings.bands * settings.rows, settings.at_once),
+                             settings.bands, settings.rows).view(np.int64)
             ends = np.cumsum(counts)
             digests = [xxhash.xxh3_128_digest(elements[e - n: e].tobytes()) if n else None
                        for e, n in zip(ends.tolist(), counts.tolist())]
@@ -157,12 +171,8 @@ def confirmed(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "two"):
-            keep = []
-            for a, b in zip(batch.column("one"), batch.column("two")):
-                a, b = np.frombuffer(a.as_buffer(), np.uint64), np.frombuffer(b.as_buffer(), np.uint64)
-                at = np.searchsorted(b, a)
-                shared = int((b[np.minimum(at, len(b) - 1)] == a).sum())
-                keep.append(100 * shared >= similarity * (len(a) + len(b) - shared))
+            keep = [similar(np.frombuffer(a.as_buffer(), np.uint64), np.frombuffer(b.as_buffer(), np.uint64),
+                            similarity) for a, b in zip(batch.column("one"), batch.column("two"))]
             yield pa.RecordBatch.from_arrays([batch.column("u"), batch.column("v")], ["u", "v"]).filter(pa.array(keep))
 
     return pairs.join(one, "u").join(two, "v").select("u", "v", "one", "two").mapInArrow(run, "u long, v long")
@@ -173,33 +183,75 @@ def _sized(similarity: int):
     return 100 * F.least("n", "m") >= similarity * F.greatest("n", "m")
 
 
-def _with_leader(members: DataFrame, used: DataFrame | None) -> DataFrame:
-    """Each bucket's members with its next leader: the most company, then the smallest number."""
-    free = members if used is None else members.join(used, ["key", "node"], "left_anti")
-    leader = free.groupBy("key").agg(F.max(F.struct("company", (-F.col("node")).alias("less"), "n")).alias("l"))
-    leader = leader.select("key", (-F.col("l.less")).alias("leader"), F.col("l.n").alias("m"))
-    return members.join(leader, "key")
+def _stars(members: DataFrame, similarity: int) -> DataFrame:
+    """Each bucket's members with its leader: the most company, then the smallest number."""
+    leader = members.groupBy("key").agg(F.max(F.struct("company", (-F.col("node")).alias("less"), "n")).alias("l"))
+    leader = leader.select("key", (-F.col("l.less")).alias("v"), F.col("l.n").alias("m"))
+    pairs = members.select("key", F.col("node").alias("u"), "n").join(leader, "key")
+    return pairs.where((F.col("u") != F.col("v")) & _sized(similarity)).select(
+        F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
 
 
-def _open(members: DataFrame, labels: DataFrame | None) -> DataFrame:
+def _open(members: DataFrame, labels: DataFrame) -> DataFrame:
     """Members of buckets that still span more than one component, with their components."""
-    if labels is None:
-        return members.withColumn("component", F.col("node"))
     labelled = members.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     spread = labelled.groupBy("key").agg(F.min("component").alias("a"), F.max("component").alias("b"))
     return labelled.join(spread.where("a != b").select("key"), "key", "left_semi")
 
 
-def _all_left(members: DataFrame, settings: Settings) -> DataFrame:
-    """Pairs of members of one bucket in different components. A large bucket is dealt out as pairs of blocks."""
+def connecting(table: pa.Table, similarity: int) -> list[tuple[int, int]]:
+    """Links that connect members of two blocks of one bucket (or of one block, met by itself)."""
+    band, same = table.column("band")[0].as_py(), table.column("i")[0].as_py() == table.column("j")[0].as_py()
+    own = table.column("own").to_numpy()
+    nodes, sizes = table.column("node").to_pylist(), table.column("n").to_numpy()
+    bands = np.stack([x.values.to_numpy() for x in table.column("bands")])[:, :band]
+    sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in table.column("elements")]
+    parent = {c: c for c in table.column("component").to_pylist()}
+
+    def find(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    components, out = table.column("component").to_pylist(), []
+    for p in range(len(nodes) - 1):
+        rest = slice(p + 1, None)
+        meet = 100 * np.minimum(sizes[p], sizes[rest]) >= similarity * np.maximum(sizes[p], sizes[rest])
+        if not same:
+            meet &= own[rest] != own[p]
+        meet &= ~(bands[rest] == bands[p]).any(axis=1)  # else they have met in an earlier band
+        for q in (np.flatnonzero(meet) + p + 1).tolist():
+            a, b = find(components[p]), find(components[q])
+            if a != b and similar(sets[p], sets[q], similarity):
+                parent[max(a, b)] = min(a, b)
+                out.append((nodes[p], nodes[q]))
+    return out
+
+
+def similar(a: np.ndarray, b: np.ndarray, similarity: int) -> bool:
+    if len(a) > len(b):
+        a, b = b, a
+    at = np.searchsorted(b, a)
+    shared = int((b[np.minimum(at, len(b) - 1)] == a).sum())
+    return 100 * shared >= similarity * (len(a) + len(b) - shared)
+
+
+def _rest(members: DataFrame, represented: DataFrame, sets: DataFrame, settings: Settings) -> DataFrame:
+    """Links between members of one bucket in different components (columns of ``_open``)."""
     sizes = members.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / settings.block).cast("int").alias("blocks"))
     dealt = members.join(sizes, "key").withColumn("own", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
-    one = dealt.select("key", F.col("node").alias("u"), "n", F.col("component").alias("c"), F.col("own").alias("i"),
-                       F.explode(F.sequence("own", F.col("blocks") - 1)).alias("j"))
-    two = dealt.select("key", F.col("node").alias("v"), F.col("n").alias("m"), F.col("component").alias("d"),
-                       F.explode(F.sequence(F.lit(0), "own")).alias("i"), F.col("own").alias("j"))
-    apart = (F.col("c") != F.col("d")) & ((F.col("i") != F.col("j")) | (F.col("u") < F.col("v")))
-    return one.join(two, ["key", "i", "j"]).where(apart & _sized(settings.similarity))
+    dealt = dealt.select("key", "band", "node", "n", "component", "own", F.explode(
+        F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    known = members.select("node").distinct().join(sets, "node").join(represented.select("node", "bands"), "node")
+    met = dealt.withColumns({"i": F.least("own", "other"), "j": F.greatest("own", "other")}).drop("other").join(
+        known, "node")
+
+    def one(table: pa.Table) -> pa.Table:
+        found = connecting(table, settings.similarity)
+        return pa.table([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], names=["u", "v"])
+
+    return met.groupBy("key", "i", "j").applyInArrow(one, "u long, v long")
 
 
 def links(docs: DataFrame, sketch: DataFrame, folder: str, settings: Settings) -> DataFrame:
@@ -210,49 +262,25 @@ def links(docs: DataFrame, sketch: DataFrame, folder: str, settings: Settings) -
     own = sketch.select("set_key", "doc_id", "n_shingles", "bands")
     represented = classes.join(own, (classes.set_key == own.set_key) & (classes.node == own.doc_id)).select(
         "node", F.col("n_shingles").alias("n"), "bands").dropDuplicates(["node", "n"])
-    places = represented.select("node", "n", F.explode("bands").alias("key"))
+    places = represented.select("node", "n", F.posexplode("bands").alias("band", "key"))
     company = places.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     places.join(company, "key").write.parquet(f"{folder}/places")
     places = spark.read.parquet(f"{folder}/places")
     score = places.groupBy("node").agg(F.sum("size").alias("company"))
-    members = places.select("key", "node", "n").join(score, "node").checkpoint()
+    members = places.select("key", "band", "node", "n").join(score, "node")
 
-    wanted = members.select("node").distinct().join(classes, "node").select("set_key", "node")
+    wanted = places.select("node").distinct().join(classes, "node").select("set_key", "node")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(
         wanted.select(F.col("node").alias("doc_id")), "doc_id", "left_semi")
     full_sets(texts, settings).join(wanted, "set_key").dropDuplicates(["node"]).select("node", "elements") \
         .write.parquet(f"{folder}/sets")
     sets = spark.read.parquet(f"{folder}/sets")
 
-    labels, used, found, compared = None, None, None, None
-    for turn in range(settings.leaders + 1):
-        left = _open(members, labels).checkpoint()
-        per_key = left.groupBy("key", "component").agg(F.count(F.lit(1)).alias("k")).groupBy("key").agg(
-            F.sum("k").alias("all"), F.sum(F.col("k") * F.col("k")).alias("same"))
-        much, rows = per_key.agg(F.sum((F.col("all") * F.col("all") - F.col("same")) / 2), F.sum("all")).first()
-        if not rows:
-            break
-        last = turn and (turn == settings.leaders or much <= 4 * rows)
-        if last:
-            pairs = _all_left(left, settings).select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
-        else:
-            led = _with_leader(left, used).withColumnRenamed("leader", "v").withColumnRenamed("node", "u")
-            chosen = led.select("key", F.col("v").alias("node")).distinct()
-            used = chosen if used is None else used.union(chosen)
-            pairs = led.where((F.col("u") != F.col("v")) & _sized(settings.similarity)).select(
-                F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
-        pairs = pairs.distinct()
-        if compared is not None:
-            pairs = pairs.join(compared, ["u", "v"], "left_anti")
-        pairs = pairs.checkpoint()
-        compared = pairs if compared is None else compared.union(pairs)
-        new = confirmed(pairs, sets, settings.similarity).checkpoint()
-        found = new if found is None else found.union(new)
-        if turn == 0 or not new.isEmpty():
-            labels = components(found).checkpoint()
-        if last:
-            break
-    return labels if labels is not None else spark.createDataFrame([], "node long, component long")
+    stars = confirmed(_stars(members, settings.similarity), sets, settings.similarity).checkpoint()
+    labels = components(stars).checkpoint()
+    _open(places.select("key", "band", "node", "n"), labels).write.parquet(f"{folder}/open")
+    more = _rest(spark.read.parquet(f"{folder}/open"), represented, sets, settings).checkpoint()
+    return labels if more.isEmpty() else components(stars.union(more)).checkpoint()
 
 
 def group(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
