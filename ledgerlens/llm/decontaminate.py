@@ -37,9 +37,10 @@ EDGES = ".,;:!?\"'()[]{}#*$%&|<>«»¿¡"
 @dataclass(frozen=True)
 class Settings:
     passage: int = 64
-    common: float = 0.02  # words in more passages than this share do not steer retrieval
+    common: float = 0.005  # words in more passages than this share do not steer retrieval
     rarest: int = 8  # words of an item that steer retrieval however common they are
     extra_dims: int = 8
+    min_steering: float = 0.4  # a window has at least this share of the steering words of an item of its length
     min_cosine: float = 0.4
     min_lcs: float = 0.7
     answer_words: int = 4
@@ -272,27 +273,30 @@ def common_subsequence(item: np.ndarray, text: np.ndarray) -> tuple[int, int]:
     return bin(matched).count("1"), matched
 
 
-def _windows(doc: np.ndarray, place: np.ndarray, code: np.ndarray, space: Space, window: int) -> tuple:
-    """``document, first word, unit latent vector`` of the windows of four cells that hold two steering words."""
+def _windows(doc: np.ndarray, place: np.ndarray, code: np.ndarray, space: Space, window: int, least: int) -> tuple:
+    """``document, first word, unit latent vector`` of the windows of four cells that hold ``least`` steering words.
+    Sums of windows are differences of running sums over the words that lie in any of them."""
     stride = window // 4
     cell = _cells(doc, place, stride)
     top = int(place.max(initial=0)) // stride + 8
-    which, sums = _sums(space.vectors[code], cell)
-    counts = np.diff(np.append(np.flatnonzero(np.concatenate([[True], cell[1:] != cell[:-1]])), len(cell)))
+    which = cell[np.concatenate([[True], cell[1:] != cell[:-1]])]
     starts = np.unique((which[:, None] - np.arange(4)[None, :]).ravel())
-    total, held = np.zeros((len(starts), sums.shape[1]), dtype=np.float32), np.zeros(len(starts), dtype=np.int64)
-    for k in range(4):
-        at = np.minimum(np.searchsorted(which, starts + k), len(which) - 1)
-        there = which[at] == starts + k
-        total[there] += sums[at[there]]
-        held[there] += counts[at[there]]
-    some = held >= 2
-    starts, total = starts[some], total[some]
+    low, high = np.searchsorted(cell, starts), np.searchsorted(cell, starts + 4)
+    some = high - low >= least
+    starts, low, high = starts[some], low[some], high[some]
+    change = np.zeros(len(cell) + 1, dtype=np.int64)
+    np.add.at(change, low, 1)
+    np.add.at(change, high, -1)
+    inside = np.cumsum(change)[:-1] > 0
+    number = np.concatenate([[0], np.cumsum(inside)])
+    running = np.zeros((int(inside.sum()) + 1, space.vectors.shape[1]))
+    np.cumsum(space.vectors[code[inside]], axis=0, out=running[1:], dtype=np.float64)
+    total = (running[number[high]] - running[number[low]]).astype(np.float32)
     norm = np.linalg.norm(total, axis=1, keepdims=True)
     begin = starts % top
-    inside = begin < top - 4  # windows that begin before their document begin in the gap of the one before
-    owner = np.where(inside, starts // top, starts // top + 1)
-    return owner, np.where(inside, begin, begin - top) * stride, total / np.maximum(norm, 1e-12)
+    here = begin < top - 4  # windows that begin before their document begin in the gap of the one before
+    owner = np.where(here, starts // top, starts // top + 1)
+    return owner, np.where(here, begin, begin - top) * stride, total / np.maximum(norm, 1e-12)
 
 
 def search(places: DataFrame, items: list[Item], space: Space, settings: Settings) -> DataFrame:
@@ -302,6 +306,11 @@ def search(places: DataFrame, items: list[Item], space: Space, settings: Setting
         own = np.unique(item.words)
         rarest.append(item.answer if len(item.answer) else
                       own[np.argsort(-space.weight[own], kind="stable")[: settings.answer_words]])
+    least: dict[int, int] = {}
+    for item in items:
+        steering = int((space.weight[item.words] > 0).sum())
+        wanted = max(1, int(np.ceil(settings.min_steering * steering)))
+        least[item.window] = min(least.get(item.window, wanted), wanted)
     shared = places.sparkSession.sparkContext.broadcast((items, space, rarest))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -316,7 +325,8 @@ def search(places: DataFrame, items: list[Item], space: Space, settings: Setting
             if not use.any():
                 continue
             for window in sizes:
-                owner, begin, vectors = _windows(doc[use], place[use], code[use], space, window)
+                owner, begin, vectors = _windows(doc[use], place[use], code[use], space, window,
+                                                 least[window])
                 cosine = vectors @ space.items[of_size[window]].T
                 for at, k in zip(*np.nonzero(cosine >= settings.min_cosine)):
                     which, who = int(of_size[window][k]), int(owner[at])
