@@ -11,8 +11,8 @@ with nothing. Documents link when the Jaccard similarity of their sets is at lea
 3. Banding: representatives that agree on all values of a band share a bucket. In each bucket the members are compared
    with a leader, the member with the most company over all its buckets, and components are formed: a group of
    thousands of copies costs a star, not all pairs.
-4. Members of a bucket that are still in different components meet in tasks, a large bucket as pairs of blocks. A task
-   compares a pair only if this is the first band the two share and nothing connects them yet, and puts out only links
+4. Members of a bucket that are still in different components are compared two by two, drawn by hash, which connects
+   most of what can be. Those left meet in tasks, a large bucket as pairs of blocks. A task compares a pair only if this is the first band the two share and nothing connects them yet, and puts out only links
    that connect, fewer than it has members. So no link of a bucket is lost, and no pairs are written out.
 5. Every link is confirmed on the full sets.
 
@@ -199,6 +199,17 @@ def _open(members: DataFrame, labels: DataFrame) -> DataFrame:
     return labelled.join(spread.where("a != b").select("key"), "key", "left_semi")
 
 
+def _draws(members: DataFrame, similarity: int) -> DataFrame:
+    """Each bucket's members two by two, by hash: the smallest and the largest of about two that draw the same lot."""
+    sizes = members.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / 2).alias("lots"))
+    drawn = members.join(sizes, "key").withColumn("lot", F.pmod(F.xxhash64("node", "key"), "lots"))
+    entry = F.struct("node", "n", "component")
+    pairs = drawn.groupBy("key", "lot").agg(F.min(entry).alias("a"), F.max(entry).alias("b")).select(
+        F.col("a.node").alias("u"), F.col("b.node").alias("v"), F.col("a.n").alias("n"), F.col("b.n").alias("m"),
+        (F.col("a.component") != F.col("b.component")).alias("apart"))
+    return pairs.where(F.col("apart") & _sized(similarity)).select("u", "v").distinct()
+
+
 def connecting(table: pa.Table, similarity: int) -> list[tuple[int, int]]:
     """Links that connect members of two blocks of one bucket (or of one block, met by itself)."""
     band, same = table.column("band")[0].as_py(), table.column("i")[0].as_py() == table.column("j")[0].as_py()
@@ -278,6 +289,10 @@ def links(docs: DataFrame, sketch: DataFrame, folder: str, settings: Settings) -
 
     stars = confirmed(_stars(members, settings.similarity), sets, settings.similarity).checkpoint()
     labels = components(stars).checkpoint()
+    first = _open(places.select("key", "node", "n"), labels)
+    drawn = confirmed(_draws(first, settings.similarity), sets, settings.similarity).checkpoint()
+    stars = stars.union(drawn)
+    labels = components(stars).checkpoint()
     _open(places.select("key", "band", "node", "n"), labels).write.parquet(f"{folder}/open")
     more = _rest(spark.read.parquet(f"{folder}/open"), represented, sets, settings).checkpoint()
     return labels if more.isEmpty() else components(stars.union(more)).checkpoint()
