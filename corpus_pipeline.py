@@ -10,18 +10,22 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerlens.llm import decontaminate, near_duplicates, pieces, quality_rules, secret_scan
+from ledgerlens.llm.arrow import small_batches
 from ledgerlens.session import configure, shared_folder
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return quality_rules.keep_good(docs)
 
 
 def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return near_duplicates.keep_one(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return decontaminate.without_leaks(spark, docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
@@ -30,6 +34,7 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return pieces.encode_decode(docs, public_tokenizers.path("piece_bpe_32k.model"), with_outputs=False)
 
 

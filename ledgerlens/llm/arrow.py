@@ -8,11 +8,19 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Bytes of text that a task works on at a time. A single longer text is worked on alone.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
+# Rows in one Arrow batch: what the JVM and a Python worker hold at once.
+BATCH_ROWS = 2000
+
+
+def small_batches(spark: SparkSession) -> SparkSession:
+    """Bound the Arrow batches of a session to texts that fit beside each other."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    return spark
 
 
 def plain(docs: DataFrame, kind: str = "string", text: str = "text", doc_id: str = "doc_id") -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens.llm import decontaminate, language, markov_model, near_duplicates, pieces, quality_rules, secret_scan, suffix_dedup, surrogates, token_store
+from ledgerlens.llm.arrow import small_batches
 from ledgerlens.session import configure, shared_folder
 
 SURROGATE_KEY = "surrogates-1"
@@ -20,7 +21,7 @@ ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     # Python workers import this package; from a checkout they need its path. A cluster installs it.
     spark.sparkContext.environment.setdefault("PYTHONPATH", ROOT)
-    return configure(spark).read.parquet(f"{folder}/{name}.parquet")
+    return small_batches(configure(spark)).read.parquet(f"{folder}/{name}.parquet")
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
