@@ -5,8 +5,9 @@ lets zstandard write it in the fewest bytes. Only letters are looked at, lower-c
 words. A fast level decides; where its margin is narrow, a thorough level decides instead. ``score`` is the saving of the best over the second best, as a share of
 the second best, and ``accepted`` is false where that margin is narrow.
 
-The model is fitted on a bounded sample: at most ``bytes_per_language`` bytes from at most ``texts_per_language`` texts
-of each language, chosen by the hash of the text. Languages are labels, at most ``max_languages`` of them; more raise.
+The model is fitted on a bounded sample: of each language the distinct texts with the smallest hashes, until there are
+``texts_per_language`` texts or ``bytes_per_language`` bytes of letters; a language with less is taken whole. Copies
+count once, and a longer text is cut. Languages are labels, at most ``max_languages`` of them; more raise.
 Texts are predicted whole. A null text, or one without a letter, is ``und`` with score 0. Without any labelled text all
 are ``und``. Ties go to the language first in the alphabet, with score 0.
 """
@@ -14,6 +15,7 @@ are ``und``. Ties go to the language first in the alphabet, with score 0.
 from __future__ import annotations
 
 import re
+from bisect import insort
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
@@ -28,30 +30,85 @@ UNDETERMINED = "und"
 LETTER = re.compile(r"[^\W\d_]")
 
 
+SAMPLE = "lang string, place long, text binary"
+
+
 def fit(labelled: DataFrame, bytes_per_language: int = 96 << 10, texts_per_language: int = 400,
-        max_languages: int = 500) -> dict[str, bytes]:
+        max_languages: int = 500, salts: int = 64) -> dict[str, bytes]:
     """Dictionaries by language, from the columns ``text`` and ``lang``. Rows with a null in either are left out."""
-    rows = labelled.select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
+    rows = labelled.select(F.col("lang").cast("string").alias("lang"), F.xxhash64(F.col("text").cast("string")).alias(
+        "place"), F.col("text").cast("string").alias("text"))
     rows = rows.where("lang is not null and text is not null and length(trim(text)) > 0")
-    sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("text")).alias("size"))
-    found = sizes.limit(max_languages + 1).collect()
+    found = rows.select("lang").distinct().limit(max_languages + 1).collect()
     if len(found) > max_languages:
         raise ValueError(f"more than {max_languages} languages")
     if not found:
         return {}
-    # A share of the rows by hash, so that about twice the texts needed come in; how many there are is known exactly.
-    want = {r["lang"]: min(1.0, 2 * min(texts_per_language, 1 + r["n"] * bytes_per_language / r["size"]) / r["n"])
-            for r in found}
-    share = F.create_map(*[F.lit(x) for pair in want.items() for x in pair])
-    place = (F.xxhash64("text") / F.lit(2.0 ** 64)) + F.lit(0.5)
-    picked = rows.where(place < share[F.col("lang")])
-    part = F.regexp_replace(F.lower(F.substring("text", 1, bytes_per_language)), r"[^\p{L}\p{M}]+", " ")
-    texts = picked.select("lang", place.alias("place"), part.alias("text")).distinct()
-    out: dict[str, bytes] = {}
-    for lang in sorted(want):
-        chosen = texts.where(F.col("lang") == lang).orderBy("place", "text").limit(texts_per_language).collect()
-        out[lang] = "\n".join(r["text"] for r in chosen).encode()[:bytes_per_language]
-    return {lang: content for lang, content in out.items() if content}
+    bounds = (bytes_per_language, texts_per_language)
+    # What a sample keeps, every sample of a part keeps too: tasks first, then salts (copies meet there), then languages.
+    parts = rows.mapInArrow(_sampler(*bounds, raw=True), SAMPLE)
+    parts = parts.repartition("lang", F.pmod("place", F.lit(salts))).mapInArrow(_sampler(*bounds), SAMPLE)
+    chosen = parts.repartition("lang").mapInArrow(_sampler(*bounds), SAMPLE).collect()
+    texts: dict[str, list[bytes]] = {}
+    for r in sorted(chosen, key=lambda r: (r["lang"], r["place"])):
+        texts.setdefault(r["lang"], []).append(bytes(r["text"]))
+    return {lang: b"\n".join(parts)[:bytes_per_language] for lang, parts in texts.items()}
+
+
+class Smallest:
+    """The distinct texts of one language with the smallest hashes, until there are enough texts or bytes."""
+
+    def __init__(self, most_bytes: int, most_texts: int):
+        self.most_bytes, self.most_texts = most_bytes, most_texts
+        self.kept: dict[int, bytes] = {}
+        self.order: list[int] = []
+        self.end: int | None = None  # the greatest hash kept, once there are enough
+
+    def add(self, place: int, text: bytes) -> None:
+        if place in self.kept or (self.end is not None and place > self.end):
+            return
+        self.kept[place] = text
+        insort(self.order, place)
+        size = 0
+        for n, p in enumerate(self.order, 1):
+            size += len(self.kept[p]) + 1
+            if n >= self.most_texts or size > self.most_bytes:
+                for over in self.order[n:]:
+                    del self.kept[over]
+                del self.order[n:]
+                self.end = p
+                break
+
+
+def _sampler(most_bytes: int, most_texts: int, raw: bool = False):
+    """A function for ``mapInArrow`` that keeps the sample of each language of a task. ``raw`` texts are reduced to
+    their letters first; those without any are left out."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        samples: dict[str, Smallest] = {}
+        for batch in batches:
+            texts = batch.column("text")
+            langs, places = batch.column("lang").to_pylist(), batch.column("place").to_pylist()
+            for k, (lang, place) in enumerate(zip(langs, places)):
+                sample = samples.get(lang)
+                if sample is None:
+                    sample = samples[lang] = Smallest(most_bytes, most_texts)
+                if place in sample.kept or (sample.end is not None and place > sample.end):
+                    continue
+                if raw:
+                    letters = letters_only(texts.slice(k, 1))[0]
+                    if not LETTER.search(letters):
+                        continue
+                    text = letters.encode()[:most_bytes]
+                else:
+                    text = texts[k].as_py()
+                sample.add(place, text)
+        for lang, sample in samples.items():
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([lang] * len(sample.order), pa.string()), pa.array(sample.order, pa.int64()),
+                 pa.array([sample.kept[p] for p in sample.order], pa.binary())], ["lang", "place", "text"])
+
+    return run
 
 
 @lru_cache(maxsize=4)

@@ -171,3 +171,23 @@ def test_language_by_held_out_accuracy(spark, make, odd, empty, folder):
     assert {r["lang_pred"] for r in language.predict(odd, {}).collect()} == {"und"}
     with pytest.raises(ValueError):
         language.fit(docs, max_languages=2)
+
+
+def test_language_sample_counts_distinct_texts_and_fills_its_bounds(make):
+    """A language made mostly of copies, and one of few very long texts, are sampled up to the bound."""
+    rnd = random.Random(8)
+    texts = lambda letters, n, words: [" ".join("".join(rnd.choice(letters) for _ in range(6))
+                                               for _ in range(words)) for _ in range(n)]
+    few, copied, long = texts("abcdef", 25, 60), texts("ghijkl", 1, 60) * 3000, texts("mnopqr", 30, 15_000)
+    rows = [(k, t, lang) for k, (t, lang) in enumerate(
+        [(t, "copies") for t in copied + few] + [(t, "long") for t in long] + [("12 34 !", "none")])]
+    docs = make(rows, 4)
+    found = language.fit(docs)
+    assert sorted(found) == ["copies", "long"]
+    assert set(found["copies"].decode().split("\n")) == set(few + copied)
+    assert len(found["long"]) == 96 << 10
+    assert language.fit(docs.repartition(7), salts=3) == found
+    small = language.fit(docs, texts_per_language=5, bytes_per_language=1 << 20)
+    assert {len(v.split(b"\n")) for v in small.values()} == {5}
+    test = make([(1, few[3]), (2, found["long"].decode()[5000:6000])])
+    assert {r["doc_id"]: r["lang_pred"] for r in language.predict(test, found).collect()} == {1: "copies", 2: "long"}
