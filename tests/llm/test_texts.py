@@ -140,6 +140,44 @@ def test_surrogates_keep_format_coreference_and_distinctness(spark, make, odd, e
     assert clean == {1: "version 2.0. of 42 things"}
 
 
+def test_one_name_is_one_surrogate_with_or_without_any_form_of_address(spark, make):
+    shared_folder(spark, "test")
+    rows = [(1, "Dr Anna Bell met Mrs Anna Bell. Anna Bell and ANNA BELL left; Annabel stayed, Anna Bells too."),
+            (2, "Prof. Anna Bell wrote."), (3, "Mrs. Anna Bell and Mr Tom Ray, then Tom Ray"), (4, "Anna Bell alone")]
+    out = {r["doc_id"]: r for r in surrogates.replace(make(rows), "k1").collect()}
+    m = re.match(r"Dr (\w+ \w+) met Mrs (\w+ \w+)\. (\w+ \w+) and (\w+ \w+) left; Annabel stayed, Anna Bells too\.$",
+                 out[1]["text"])
+    assert m and m[1] == m[2] == m[3] and m[4] == m[1].upper() and m[1].split()[0].endswith("a")
+    assert out[1]["n_entities"] == 4 and out[1]["entities"].endswith("name:32:41,name:46:55")
+    assert out[2]["text"] == f"Prof. {m[1]} wrote."
+    tom = re.match(rf"Mrs\. {m[1]} and Mr (\w+ \w+), then (\w+ \w+)$", out[3]["text"])
+    assert tom[1] == tom[2] and tom[1].split()[0].endswith("n")
+    assert out[4]["text"] == "Anna Bell alone"
+
+
+def test_checks_see_names_with_their_ending_and_domains(spark, monkeypatch):
+    """A name and a domain that occur are not put out for others; where short domains are all taken, longer ones are."""
+    from pyspark.sql import functions as F
+
+    shared_folder(spark, "test")
+    monkeypatch.setattr(surrogates, "LONGER", 1)
+
+    def table(rows):
+        return spark.createDataFrame(rows, "kind string, entity string, gender string").coalesce(1)
+
+    def made(rows):
+        columns = [F.col("kind"), F.col("entity"), F.lit(0), F.col("gender")]
+        return [r[0] for r in rows.select(surrogates.canonical_surrogate("k", *columns)).collect()]
+
+    name, domain = made(table([("name", "eva stone", "f"), ("domain", "mail.org", "")]))
+    assert name.split()[0].endswith("a")
+    short = [("email", f"someone@{c}.net", None) for c in "abcdefghijklmnopqrstuvwxyz"]
+    taken = [("name", "eva stone", "f"), ("name", name, ""), ("email", "x@mail.org", None), ("email", f"y@{domain}", None)]
+    changed = {(r["kind"], r["entity"]): r for r in surrogates.exceptions(table(taken + short), "k").collect()}
+    assert changed["name", "eva stone"]["attempt"] > 0 and changed["domain", "mail.org"]["attempt"] > 0
+    assert all(changed["domain", e.split("@")[1]]["attempt"] > 0 for _, e, _ in short)
+
+
 def test_clashing_surrogates_are_drawn_again(spark, monkeypatch):
     """Octets of one digit leave few surrogates, so some must clash at first."""
     shared_folder(spark, "test")
