@@ -11,8 +11,8 @@
    benchmark has that column, else its rarest words, of which ``min_answer`` must be matched.
 
 Words are lower-cased (ASCII) and stripped of punctuation at their ends. The benchmark is the query set: its words and
-items go to every task, in blocks of ``block`` items, and more than ``max_words`` distinct words in a block raise. Null
-and empty texts match nothing; items without words are left out. Rows with equal or null ``doc_id`` are judged apart,
+items go to every task, in blocks of at most ``block`` items and ``max_words`` distinct words; a single item with more
+words raises. Null and empty texts match nothing; items without words are left out. Rows with equal or null ``doc_id`` are judged apart,
 by a row number given when the places are written.
 """
 
@@ -77,12 +77,17 @@ def benchmark_items(benchmark: DataFrame, settings: Settings) -> Iterator[tuple[
         tokens = _tokens(row["text"])
         if not tokens:
             continue
+        answer_tokens = _tokens(row["answer"])
+        own = {*tokens, *answer_tokens}
+        if len(own) > settings.max_words:
+            raise ValueError("an item of the benchmark has too many distinct words")
+        if items and len(vocabulary) + len(own - vocabulary.keys()) > settings.max_words:
+            yield vocabulary, items
+            vocabulary, items = {}, []
         codes = [vocabulary.setdefault(w, len(vocabulary)) for w in tokens]
-        wanted = [vocabulary.setdefault(w, len(vocabulary)) for w in _tokens(row["answer"])]
+        wanted = [vocabulary.setdefault(w, len(vocabulary)) for w in answer_tokens]
         window = 1 << max(3, int(np.ceil(np.log2(len(tokens)))))
         items.append(Item(row["item_id"], np.array(codes), np.array(wanted, dtype=np.int64), window))
-        if len(vocabulary) > settings.max_words:
-            raise ValueError("the benchmark block has too many words; take a smaller block")
         if len(items) == settings.block:
             yield vocabulary, items
             vocabulary, items = {}, []

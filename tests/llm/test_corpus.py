@@ -286,3 +286,14 @@ def test_scores_and_base_figures(spark, make, odd, empty):
     assert markov_model.fit_and_score(empty, held, shared_folder(spark, "hmm-test"), settings).count() == 0
     nothing = markov_model.fit_and_score(make([(1, "a b")]), F.lit(True), shared_folder(spark, "hmm-test"), settings)
     assert nothing.first()["train_tokens"] == 0 and math.isfinite(nothing.first()["score"])
+
+
+def test_blocks_of_the_benchmark_close_before_they_hold_too_many_words(spark):
+    rows = [(k, " ".join(f"w{k}x{j}" for j in range(30)) + " shared") for k in range(7)]
+    benchmark = spark.createDataFrame(rows, "item_id long, text string").coalesce(1)
+    blocks = list(decontaminate.benchmark_items(benchmark, decontaminate.Settings(max_words=100)))
+    assert [[i.item_id for i in items] for _, items in blocks] == [[0, 1, 2], [3, 4, 5], [6]]
+    for vocabulary, items in blocks:
+        assert {c for i in items for c in i.words.tolist()} == set(range(len(vocabulary))) and len(vocabulary) <= 100
+    with pytest.raises(ValueError):
+        list(decontaminate.benchmark_items(benchmark, decontaminate.Settings(max_words=30)))
