@@ -46,5 +46,5 @@ def test_stages_take_effect(spark, corpus):
 def test_queries_are_registered(folder):
     names = set(entry_point.queries())
     assert set(queries.QUERIES) | {"pipeline"} <= names
-    assert {q.split("_")[0] for q in queries.QUERIES} == {f"op{n}" for n in range(1, 11)}
+    assert {q.split("_")[0] for q in queries.QUERIES} == {f"op{n}" for n in range(1, 14)}
     assert len(corpus_pipeline.STAGES) == 5
