@@ -87,6 +87,8 @@ class Aligner(dict):
         self.is_byte = [sp.is_byte(k) for k in range(sp.get_piece_size())]
         self.b_bytes = [bytes([int(sp.id_to_piece(k)[3:5], 16)]) if self.is_byte[k]
                         else sp.id_to_piece(k).replace("▁", " ").encode() for k in range(sp.get_piece_size())]
+        most = max(len(self.a_bytes), len(self.b_bytes))
+        self.texts = {mark: np.array([f"{k}{mark}" for k in range(most)], dtype=object) for mark in ",|;"}
         self.width = 4 if len(self.a_bytes) * len(self.b_bytes) <= 1 << 32 else 8
         self.by_chunk = self._separable(byte_level)
 
@@ -162,14 +164,14 @@ class Aligner(dict):
         return made
 
     def learn(self, chunks: list[str], at_once: int = 2000) -> None:
-        """Align new chunks many at a time, as one text: it is cut before each of them. Chunks with white space inside,
-        and runs for which offsets and bytes disagree, are left to the plain way."""
-        fresh = [c for c in chunks if c not in self and not any(map(str.isspace, c[1:])) and len(c) > 1]
+        """Align new chunks many at a time, as one text: it is cut before each of them. Chunks that end with white
+        space, and runs for which offsets and bytes disagree, are left to the plain way."""
+        fresh = [c for c in chunks if c not in self and not c[-1].isspace()]
         for begin in range(0, len(fresh), at_once):
             self._learn_run(fresh[begin: begin + at_once])
 
     def _learn_run(self, chunks: list[str]) -> None:
-        text, sizes = "".join(chunks), np.fromiter((len(c.encode()) for c in chunks), np.int64, len(chunks))
+        text = "".join(chunks)
         encoded, pieces = self.a.encode(text, add_special_tokens=False), self._pieces(text[1:])
         data, ids_b = text.encode(), [p[0] for p in pieces]
         parts = [self.a_bytes[k] for k in encoded.ids], [self.b_bytes[k] for k in ids_b]
@@ -179,8 +181,11 @@ class Aligner(dict):
         past_a, past_b = (np.cumsum(np.fromiter(map(len, x), np.int64, len(x))) for x in parts)
         spans_a = np.fromiter((x for span in encoded.offsets for x in span), np.int64).reshape(-1, 2)
         spans_b = np.array(pieces, np.int64)[:, 1:] + 1
-        byte_of = np.arange(len(data) + 1) if len(data) == len(text) else np.concatenate(
-            [[0], np.cumsum([len(c.encode()) for c in text])])
+        byte_of = np.arange(len(text) + 1)
+        if len(data) != len(text):
+            points = np.frombuffer(text.encode("utf-32-le"), "<u4")
+            byte_of[1:] += np.cumsum((points > 0x7F).astype(np.int64) + (points > 0x7FF) + (points > 0xFFFF))
+        ends = byte_of[np.cumsum(np.fromiter(map(len, chunks), np.int64, len(chunks)))]
         inner_a = np.append(spans_a[1:, 0] < spans_a[:-1, 1], False)
         inner_b = np.array(self.is_byte)[b] & (spans_b[:, 0] == spans_b[:, 1])
         outer_a, outer_b = np.flatnonzero(~inner_a), np.flatnonzero(~inner_b)
@@ -197,8 +202,8 @@ class Aligner(dict):
             cuts_a = np.concatenate([cuts_a, in_a[inside] + 1])[more]
             cuts_b = np.concatenate([cuts_b, in_b[inside] + 1])[more]
             places = past_a[cuts_a - 1]
-        last = np.searchsorted(places, np.cumsum(sizes))  # the group that each chunk ends with
-        if last[-1] >= len(places) or (places[last] != np.cumsum(sizes)).any():
+        last = np.searchsorted(places, ends)  # the group that each chunk ends with
+        if last[-1] >= len(places) or (places[last] != ends).any():
             return
         in_a, in_b = np.diff(cuts_a, prepend=0), np.diff(cuts_b, prepend=0)
         times = in_a * in_b
@@ -207,12 +212,10 @@ class Aligner(dict):
         codes = (a[(cuts_a - in_a)[group] + nth // in_b[group]] * len(self.b_bytes)
                  + b[(cuts_b - in_b)[group] + nth % in_b[group]]).astype(f"<u{self.width}")
         words = np.empty(len(a) + len(b), dtype=object)
-        marks = np.full(len(a), ",", dtype=object), np.full(len(b), ",", dtype=object)
-        marks[0][cuts_a - 1], marks[1][cuts_b - 1] = "|", ";"
-        of_a = np.repeat(np.arange(len(in_a)), in_a)
-        of_b = np.repeat(np.arange(len(in_b)), in_b)
-        words[np.arange(len(a)) + (cuts_b - in_b)[of_a]] = [f"{k}{m}" for k, m in zip(a.tolist(), marks[0])]
-        words[np.arange(len(b)) + cuts_a[of_b]] = [f"{k}{m}" for k, m in zip(b.tolist(), marks[1])]
+        place_a = np.arange(len(a)) + np.repeat(cuts_b - in_b, in_a)
+        place_b = np.arange(len(b)) + np.repeat(cuts_a, in_b)
+        words[place_a], words[place_b] = self.texts[","][a], self.texts[","][b]
+        words[place_a[cuts_a - 1]], words[place_b[cuts_b - 1]] = self.texts["|"][a[cuts_a - 1]], self.texts[";"][b[cuts_b - 1]]
         words = words.tolist()
         ends = [x.tolist() for x in (cuts_a[last], cuts_b[last], last + 1, np.cumsum(times)[last])]
         raw, ones = codes.tobytes(), np.ones(len(codes), "<u8").tobytes()
