@@ -7,9 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlens.functions import amounts
 from ledgerlens.functions.measures import exact_avg, rounded
 from ledgerlens.functions.risk import CHANNEL_RISK, MERCHANT_RISK_RANK, lookup
 from ledgerlens.operators.joins import lookup_join, null_safe_left_join
+from ledgerlens.operators.quantiles import exact_quantiles
 from ledgerlens.operators.sweep import Trailing, TrailingDistinct, trailing_frames, trailing_max
 
 _c = F.col
@@ -36,44 +38,33 @@ def with_second(df: DataFrame) -> DataFrame:
     return df.withColumn(SECOND, F.unix_timestamp("txn_datetime"))
 
 
-def _sample_stddev(n: Column, total: Column, squares: Column) -> Column:
-    """Sample deviation from exact integer moments; NULL below two values, exactly 0 for equal ones."""
-    spread = F.try_subtract(F.try_multiply(n.cast("decimal(19,0)"), squares),
-                            F.try_multiply(total.cast("decimal(19,0)"), total.cast("decimal(19,0)")))
-    approximate = n.cast("double") * squares.cast("double") - total.cast("double") * total.cast("double")
-    spread = F.coalesce(spread.cast("double"), F.greatest(approximate, F.lit(0.0)))
-    return F.when(n > 1, F.sqrt(spread / (n * (n - 1)).cast("double")))
-
-
-def velocity(enriched: DataFrame, digits: int = 4) -> DataFrame:
+def velocity(enriched: DataFrame, digits: int = amounts.DIGITS) -> DataFrame:
     """Counts, sums, mean and deviation of an account's payments over the last hour, day and week.
 
-    Amounts are summed as whole units of their ``digits``-th decimal, so the frames are exact; an amount too large for
-    that (about 1e14 at four digits) counts as missing in sums, not in counts. Only account, second and amount take
-    part in the frames; the wide rows move once, to meet them.
+    Amounts are summed as whole units of their ``digits``-th decimal in two limbs (``functions.amounts``), so the frames
+    are exact whatever the amounts' size. Only account, second and amount take part in the frames; the wide rows move
+    once, to meet them.
     """
-    unit = 10 ** digits
-    cents = F.round(_c("amount") * unit).try_cast("long")
-    squared = (cents.cast("decimal(18,0)") * cents.cast("decimal(18,0)")).cast("decimal(38,0)")
+    high, low = amounts.limbs(_c("amount"), digits)
     one = _c("transaction_id").isNotNull().cast("long")
     base = with_second(enriched)
     frames = trailing_frames(base.select("account_id", SECOND, "transaction_id", "amount"), "account_id", SECOND, {
         "txn_count_1h": Trailing(one, HOUR),
         "txn_count_24h": Trailing(one, DAY),
         "txn_count_7d": Trailing(one, WEEK),
-        "cents_1h": Trailing(cents, HOUR),
-        "cents_24h": Trailing(cents, DAY),
-        "cents_7d": Trailing(cents, WEEK),
-        "squares_7d": Trailing(squared, WEEK),
-        "amounts_7d": Trailing(cents.isNotNull().cast("long"), WEEK),
+        **{f"{limb}_{name}": Trailing(value, seconds) for name, seconds in (("1h", HOUR), ("24h", DAY), ("7d", WEEK))
+           for limb, value in (("high", high), ("low", low))},
+        **{f"squares_{k}": Trailing(value, WEEK) for k, value in enumerate(amounts.square_limbs(high, low))},
+        "amounts_7d": Trailing(high.isNotNull().cast("long"), WEEK),
     })
-    n, total = _c("amounts_7d"), _c("cents_7d")
+    n = _c("amounts_7d")
+    total = lambda name: amounts.total(_c(f"high_{name}"), _c(f"low_{name}"), digits)
     measured = frames.select(
         "account_id", SECOND, "txn_count_1h", "txn_count_24h", "txn_count_7d",
-        (_c("cents_1h") / unit).alias("amount_sum_1h"),
-        (_c("cents_24h") / unit).alias("amount_sum_24h"),
-        F.try_divide(total / unit, n.cast("double")).alias("amount_avg_7d"),
-        (_sample_stddev(n, total, _c("squares_7d")) / unit).alias("amount_stddev_7d"),
+        total("1h").alias("amount_sum_1h"), total("24h").alias("amount_sum_24h"),
+        F.try_divide(total("7d"), n.cast("double")).alias("amount_avg_7d"),
+        amounts.sample_stddev(n, (_c("high_7d"), _c("low_7d")), tuple(_c(f"squares_{k}") for k in range(3)),
+                              digits).alias("amount_stddev_7d"),
     )
     return null_safe_left_join(base, measured, ["account_id", SECOND])
 
@@ -134,6 +125,11 @@ def feature_summary(features: DataFrame, columns: Sequence[str] = SUMMARY_FEATUR
     return features.agg(*aggregates).select(F.inline(rows))
 
 
+def feature_quartiles(features: DataFrame, columns: Sequence[str] = SUMMARY_FEATURES) -> DataFrame:
+    """Exact quartiles per feature, one row each."""
+    return exact_quantiles(features, columns, {"q1": 0.25, "median": 0.5, "q3": 0.75})
+
+
 def contextual(enriched: DataFrame, accounts: DataFrame) -> DataFrame:
     """Merchant risk as a rank, account balance, customer risk and exposure flag per transaction."""
     balances = accounts.select("account_id", _c("balance").alias("account_balance"))

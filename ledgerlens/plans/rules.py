@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerlens.functions import amounts
 from ledgerlens.functions.risk import policy_action, policy_tier
 from ledgerlens.functions.text import sentence
 from ledgerlens.operators.joins import lookup_join, null_safe_left_join
@@ -137,17 +138,18 @@ def structuring_patterns(transactions: DataFrame, pattern: Structuring = Structu
         _c("amount") >= pattern.withdrawal_from)
     rows = with_second(transactions).where(is_deposit | is_withdrawal).select(
         "transaction_id", "account_id", "txn_datetime", SECOND, "amount", "channel", is_deposit.alias("is_deposit"))
-    cents = F.when(_c("is_deposit"), F.round(_c("amount") * 100).cast("long"))
+    high, low = (F.when(_c("is_deposit"), x) for x in amounts.limbs(_c("amount")))
     frames = trailing_frames(rows, "account_id", SECOND, {
         "deposits": Trailing(_c("is_deposit").cast("long"), pattern.seconds),
-        "deposit_cents": Trailing(F.coalesce(cents, F.lit(0)), pattern.seconds),
+        "deposit_high": Trailing(F.coalesce(high, F.lit(0)), pattern.seconds),
+        "deposit_low": Trailing(F.coalesce(low, F.lit(0)), pattern.seconds),
         "channels": TrailingDistinct(_c("channel"), pattern.seconds),
     })
     return (
         rows.where("not is_deposit").join(frames, ["account_id", SECOND])
         .where((_c("deposits") >= pattern.deposits) & (_c("channels") >= pattern.channels))
         .select("transaction_id", "account_id", "txn_datetime", "amount", "deposits",
-                (_c("deposit_cents") / 100).alias("deposit_total"), "channels")
+                amounts.total(_c("deposit_high"), _c("deposit_low")).alias("deposit_total"), "channels")
     )
 
 
