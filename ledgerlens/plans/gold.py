@@ -100,22 +100,25 @@ def label_attributes(labels: DataFrame) -> DataFrame:
 
 
 def transactions_enriched(silver: Mapping[str, DataFrame], profile: Profile = BATCH,
-                          confirmed_only: bool = False, unique_labels: bool = False) -> DataFrame:
+                          confirmed_only: bool = False, unique_labels: bool = False,
+                          hot_keys: Mapping[str, DataFrame] | None = None) -> DataFrame:
     """Every transaction with account, customer, merchant, label and alert attributes.
 
     Labels and alerts come first: they share the transaction key, by which deduplication has left the rows.
     Customers are folded into accounts, so the transactions move once for both. ``is_fraud`` is set for
     every labelled transaction whatever became of the case; ``confirmed_only`` narrows it. Two labels of one
-    transaction make two rows, as in a plain join; ``unique_labels`` takes the latest.
+    transaction make two rows, as in a plain join; ``unique_labels`` takes the latest. ``hot_keys`` lists accounts
+    and merchants whose rows are spread by plan, for streams, where nothing splits them at run time.
     """
+    hot = hot_keys or {}
     txn = silver["transactions"]
     labels = one_label(silver["fraud_labels"]) if unique_labels else silver["fraud_labels"]
     cases, counts = label_attributes(labels), alerts_per_transaction(silver["alerts"], profile)
     holders, merchants = account_holders(silver), merchant_attributes(silver["merchants"])
     enriched = (
         txn.join(cases, "transaction_id", "left").join(counts, "transaction_id", "left")
-        .transform(lookup_join, holders, "account_id", spread_by="transaction_id")
-        .transform(lookup_join, merchants, "merchant_id", spread_by="transaction_id")
+        .transform(lookup_join, holders, "account_id", spread_by="transaction_id", hot_keys=hot.get("account_id"))
+        .transform(lookup_join, merchants, "merchant_id", spread_by="transaction_id", hot_keys=hot.get("merchant_id"))
     ).select("transaction_id", *[c for df, key in (
         (txn, "transaction_id"), (holders, "account_id"), (merchants, "merchant_id"), (cases, "transaction_id"),
         (counts, "transaction_id")) for c in df.columns if c != key or (df is txn and c != "transaction_id")])

@@ -1,4 +1,4 @@
-"""Rule alerts on a stream, for the rules that one enriched transaction decides."""
+"""Rule alerts on a stream, with the whole rule book."""
 
 from __future__ import annotations
 
@@ -8,24 +8,30 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ledgerlens.plans.features import ROUND_ABOVE, ROUND_UNIT
+from ledgerlens.plans.features import DAY, ROUND_ABOVE, ROUND_UNIT
 from ledgerlens.plans.rules import RULES, Rule, rule_alerts
+from ledgerlens.streaming import history
 
-# Rules of the book that need no history of the account, plus dormancy by status alone.
-ROW_RULES = tuple(
-    r if r.rule_id != "R105" else Rule(r.rule_id, r.alert_type, r.severity, "account_status = 'Dormant'", r.score)
-    for r in RULES if r.rule_id in ("R101", "R102", "R104", "R105", "R106", "R107", "R109"))
+# What the rule book looks at, beside the facts that need history. A book of its own passes its columns.
+COLUMNS = ("transaction_id", "account_id", "txn_datetime", "amount", "is_international", "is_odd_hour", "account_status",
+           "is_round_amount", "is_blacklisted_merchant")
 
 
 def row_inputs(enriched: DataFrame, merchants_raw: DataFrame) -> DataFrame:
-    """What the row rules look at, from an enriched stream or table."""
+    """What the rules look at in one row, from an enriched stream or table."""
     blacklist = merchants_raw.where("is_blacklisted").select("merchant_id").distinct().withColumn(
         "is_blacklisted_merchant", F.lit(True))
     rounded_amount = (F.col("amount") % ROUND_UNIT == 0) & (F.col("amount") > ROUND_ABOVE)
     return enriched.withColumn("is_round_amount", rounded_amount.cast("int")).join(blacklist, "merchant_id", "left")
 
 
-def alert_stream(inputs: DataFrame, path: str, checkpoint: str, rules: Sequence[Rule] = ROW_RULES) -> StreamingQuery:
+def inputs(enriched: DataFrame, merchants_raw: DataFrame, columns: Sequence[str] = COLUMNS,
+           lateness_seconds: int = DAY) -> DataFrame:
+    """The rules' inputs on a stream: ``columns`` of each row and the facts from its account's history."""
+    return history.facts(row_inputs(enriched, merchants_raw), columns, lateness_seconds)
+
+
+def alert_stream(inputs: DataFrame, path: str, checkpoint: str, rules: Sequence[Rule] = RULES) -> StreamingQuery:
     """Write the alerts of each micro-batch to its own folder, replacing what an earlier attempt left.
 
     A micro-batch that is repeated after a failure therefore adds nothing twice.

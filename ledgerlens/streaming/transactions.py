@@ -7,10 +7,12 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlens.operators.joins import find_hot_keys
 from ledgerlens.plans import gold
 from ledgerlens.plans.silver import LOAD_STAMP, refine
 from ledgerlens.profiles import BATCH, Profile
 from ledgerlens.streaming import ingest
+from ledgerlens.streaming.history import CLOCK
 
 LATENESS = "2 hours"
 
@@ -27,6 +29,11 @@ def clean(raw: DataFrame, lateness: str = LATENESS, profile: Profile = BATCH) ->
     return refine("transactions", unique, profile, deduplicate=False).drop(LOAD_STAMP)
 
 
+def stamped(cleaned: DataFrame) -> DataFrame:
+    """With the time when a micro-batch landed its rows: the clock that idle accounts leave the state by."""
+    return cleaned.withColumn(CLOCK, F.current_timestamp())
+
+
 def without_time(raw: DataFrame) -> DataFrame:
     """Rows the timed stream cannot take."""
     return raw.where(F.try_to_timestamp("txn_datetime").isNull())
@@ -40,6 +47,22 @@ def land_clean(raw: DataFrame, root: str, profile: Profile = BATCH) -> tuple[str
     return paths
 
 
-def enrich(cleaned: DataFrame, silver: Mapping[str, DataFrame], profile: Profile = BATCH) -> DataFrame:
-    """The enrichment of the batch, with the stream on its transaction side and static lookups."""
-    return gold.transactions_enriched({**silver, "transactions": cleaned}, profile)
+def enrich(cleaned: DataFrame, silver: Mapping[str, DataFrame], profile: Profile = BATCH,
+           hot_keys: Mapping[str, DataFrame] | None = None) -> DataFrame:
+    """The enrichment of the batch, with the stream on its transaction side and static lookups.
+
+    Skewed joins are not split at run time on a stream; ``hot_keys`` (see ``hot_keys_of``) splits them by plan.
+    """
+    return gold.transactions_enriched({**silver, "transactions": cleaned}, profile, hot_keys=hot_keys)
+
+
+def hot_keys_of(known: DataFrame) -> dict[str, DataFrame]:
+    """The accounts and merchants that hold a large share of the transactions so far, fixed when a stream starts.
+
+    Fewer than ``1 / HOT_SHARE`` of each can exist, so the lists may be collected and shipped."""
+    spark = known.sparkSession
+    found = {}
+    for key in ("account_id", "merchant_id"):
+        rows = find_hot_keys(known, key).collect()
+        found[key] = spark.createDataFrame([(r[key],) for r in rows], f"{key} string")
+    return found
