@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -12,17 +12,11 @@ def keep_one(df: DataFrame, key: str | Sequence[str], prefer: Sequence[str] = ()
     """Keep the row with the largest ``prefer`` columns (then all other columns) of each key.
 
     The order is total, so exact copies aside there is nothing left to chance (NULL counts as the
-    smallest value). Most keys have one row, so the repeated keys are found first, by counting keys alone (hashed,
-    combined below the shuffle); only their rows are ranked, and the others pass as they are. Ranking is an aggregate
-    as well: a key that holds a large share of all rows does not pile up in one reducer.
+    smallest value). The input is read once and moves once. Only the first of a rank is asked for, so Spark keeps one
+    row a key below the shuffle (a window group limit): a key that holds a large share of all rows arrives as a row a
+    task and does not pile up in one reducer.
     """
     keys = [key] if isinstance(key, str) else list(key)
     ranked = list(prefer) + [c for c in df.columns if c not in keys and c not in prefer]
-    repeated = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(
-        *[F.col(k).alias(f"_again_{k}") for k in keys])
-    same = F.lit(True)
-    for k in keys:
-        same = same & F.col(k).eqNullSafe(F.col(f"_again_{k}"))
-    best = df.join(repeated, same, "left_semi").groupBy(*keys).agg(F.max(F.struct(*ranked)).alias("_best"))
-    best = best.select(*[c if c in keys else F.col("_best")[c].alias(c) for c in df.columns])
-    return df.join(repeated, same, "left_anti").unionByName(best)
+    order = Window.partitionBy(*keys).orderBy(*[F.col(c).desc_nulls_last() for c in ranked])
+    return df.withColumn("_place", F.row_number().over(order)).where("_place = 1").drop("_place")

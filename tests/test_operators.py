@@ -150,3 +150,74 @@ def test_refreshing_one_date_leaves_the_others(spark):
     assert sorted(r.v for r in layout.read(spark, "gold", "t").collect()) == [1, 5]
     with pytest.raises(ValueError):
         layout.path("platinum", "t")
+
+
+def test_exact_quantiles_equal_interpolated_ones(spark):
+    import numpy as np
+
+    from ledgerlens.operators.quantiles import exact_quantiles
+
+    rng = np.random.default_rng(5)
+    columns = {"a": [None if k % 7 == 0 else float(v) for k, v in enumerate(rng.normal(0, 1e4, 400))],
+               "b": [5.0] * 133 + [7.0] * 267, "c": [-1e12, 1e-9] + [0.0] * 398, "d": [None] * 400}
+    rows = spark.createDataFrame(list(zip(*columns.values())), ", ".join(f"{c} double" for c in columns))
+    shares = {"q1": 0.25, "median": 0.5, "p999": 0.999, "least": 0.0, "most": 1.0}
+    found = {r.feature: r for r in exact_quantiles(rows, list(columns), shares).collect()}
+    assert set(found) == {"a", "b", "c"}
+    for c, r in found.items():
+        values = [v for v in columns[c] if v is not None]
+        assert [r[k] for k in shares] == pytest.approx([float(np.quantile(values, q)) for q in shares.values()], rel=1e-12)
+
+
+def test_one_row_a_key_moves_the_input_once(spark):
+    from ledgerlens.operators.dedup import keep_one
+
+    rows = spark.range(3000).selectExpr("if(id % 3 = 0, 1, id) as k", "id % 5 as v", "if(id % 2 = 0, null, id) as w")
+    plan = keep_one(rows, "k", ["v"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and plan.count("WindowGroupLimit") == 2  # below the shuffle and after it
+    best = {}
+    for r in rows.collect():
+        rank = (r.v, r.w is not None, r.w or 0)
+        best[r.k] = max(best.get(r.k, rank), rank)
+    got = {r.k: (r.v, r.w is not None, r.w or 0) for r in keep_one(rows, "k", ["v"]).collect()}
+    assert got == best
+
+
+def test_network_risk_on_hand_made_graphs(spark):
+    from ledgerlens.plans.network import network_risk
+    from ledgerlens.session import shared_folder
+
+    shared_folder(spark, "checkpoints")
+    pay = lambda *edges: spark.createDataFrame(
+        [(a, c, 1.0, f) for a, c, f in edges], "account_id string, counterparty_id string, amount double, is_fraud int")
+    risk = lambda df, **k: {r.account_id: r.exposure for r in network_risk(df, **k).collect()}
+    chain = pay(("a", "b", 0), ("b", "c", 0), ("c", "d", 0), ("d", None, 1), ("a", "x", 0))
+    assert risk(chain, hops=1) == {"a": 0, "b": 0, "c": 0.5, "d": 1, "x": 0}
+    assert risk(chain, hops=3) == {"a": 0.0625, "b": 0.25, "c": 0.5, "d": 1, "x": 0}
+    ring = pay(("a", "b", 1), ("b", "a", 0))  # a = 1 + b / 2, b = a / 2
+    assert risk(ring) == {"a": pytest.approx(4 / 3, abs=1e-6), "b": pytest.approx(2 / 3, abs=1e-6)}
+    hub = pay(*[(f"p{k}", "hub", 0) for k in range(300)], *[(f"p{k}", f"q{k}", 0) for k in range(300)], ("hub", None, 1))
+    found = risk(hub, hops=2)
+    assert {found[f"p{k}"] for k in range(300)} == {0.25} and found["hub"] == 1
+    assert risk(pay(("a", None, 0))) == {}
+    with pytest.raises(ValueError):
+        network_risk(chain, damping=1.0)
+
+
+def test_day_sketches_count_periods_within_their_bound(spark):
+    from ledgerlens.plans import distincts
+
+    rows = spark.range(400_000).selectExpr(
+        "date_add(date'2024-01-01', cast(id % 60 as int)) as txn_date", "cast(xxhash64(id) % 90000 as string) as account_id",
+        "cast(id % 7 as string) as merchant_id", "cast(null as string) as device_id", "cast(id % 10 = 0 as int) as is_fraud")
+    days = distincts.daily_sketches(rows).cache()
+    assert days.count() == 60
+    for start, end in ((None, None), ("2024-01-10", "2024-02-09"), ("2024-02-01", None)):
+        got = distincts.period_counts(days, start=start, end=end).first()
+        part = rows.where(f"txn_date >= '{start or '2000-01-01'}' and txn_date <= '{end or '2100-01-01'}'")
+        exact = part.selectExpr("count(distinct account_id) as a", "count(distinct if(is_fraud = 1, account_id, null)) as f",
+                                "count(*) as n").first()
+        bound = 3 * distincts.standard_error()
+        assert abs(got.accounts - exact.a) <= bound * exact.a and abs(got.affected_accounts - exact.f) <= bound * exact.f
+        assert (got.merchants, got.devices, got.transactions) == (7, 0, exact.n)
+    assert distincts.period_counts(days, "txn_date", start="2030-01-01").count() == 0
