@@ -16,7 +16,7 @@ from ledgerlens.functions.measures import rounded  # noqa: E402
 from ledgerlens.functions.risk import policy_action, policy_tier  # noqa: E402
 from ledgerlens.operators import quality  # noqa: E402
 from ledgerlens.plans import (  # noqa: E402
-    explain, features, gold, insights, kpis, model, network, rules, scorecard, silver,
+    distincts, explain, features, gold, insights, kpis, model, network, rules, scorecard, silver,
 )
 from ledgerlens.plans.batch import Warehouse, run_batch, run_model  # noqa: E402
 from ledgerlens.profiles import BATCH, DECLARATIVE, Profile  # noqa: E402
@@ -169,6 +169,8 @@ def _feature_queries() -> dict[str, Query]:
             _unstamped(features.ml_features(enriched(spark, d))), "amount_avg_7d", "amount_stddev_7d", "amount_zscore"),
         "feature_summary": lambda spark, d: _with_rounded(
             features.feature_summary(built(spark, d)), *summary_measures),
+        "feature_quartiles": lambda spark, d: _with_rounded(
+            features.feature_quartiles(built(spark, d)), "q1", "median", "q3"),
         "contextual_features": lambda spark, d: features.contextual(
             enriched(spark, d), _warehouse(spark, d).silver()["accounts"]),
         "ml_matrix": lambda spark, d: _with_rounded(
@@ -198,6 +200,8 @@ def _rule_queries() -> dict[str, Query]:
         "case_queue": lambda spark, d: rules.case_queue(scorecard.rule_probability(built(spark, d))),
         "counterparty_risk": lambda spark, d: network.counterparty_risk(
             _warehouse(spark, d).gold("transactions_enriched")),
+        "network_risk": lambda spark, d: _with_rounded(network.network_risk(
+            _warehouse(spark, d).gold("transactions_enriched"), hops=3), "exposure"),
         "risk_tier": lambda spark, d: scorecard.rule_predictions(built(spark, d)),
         "risk_tier_policy": policy,
         "top_drivers": lambda spark, d: scorecard.rule_explanations(built(spark, d)).select(
@@ -224,7 +228,51 @@ def _model_queries() -> dict[str, Query]:
         both = _modelled(spark, d).gold("fraud_predictions").join(again, "transaction_id", "full")
         return both.agg(F.count_if(~F.col("fraud_probability").eqNullSafe(F.col("again"))).alias("different"))
 
+    def rounds(spark: SparkSession, d: str) -> DataFrame:
+        """The loss of the test part after each round: whether it is a loss, and whether training lowered it."""
+        followed = model.follow(_model(spark, d)[0], model.split(rows(spark, d)).where("split = 'test'"))
+        return followed.agg(F.count(F.lit(1)).alias("rounds"), F.count_if(~(F.col("log_loss") > 0)).alias("not_positive"),
+                            (F.min("log_loss") < F.min_by("log_loss", "round")).alias("learned"))
+
+    def months(spark: SparkSession, d: str) -> DataFrame:
+        """KPI 2 over the model's table: its figures, and whether the mean is that of the month's stored predictions."""
+        w = _modelled(spark, d)
+        shown = kpis.monthly_trend(w.gold("transactions_enriched"), w.gold("fraud_predictions"))
+        means = w.gold("transactions_enriched").join(w.gold("fraud_predictions"), "transaction_id", "left").groupBy(
+            F.date_format("txn_date", "yyyy-MM").alias("month")).agg(F.avg("fraud_probability").alias("mean"))
+        near = F.abs(F.col("avg_fraud_prob") - F.col("mean")) < 1e-4
+        return shown.join(means, "month").select(
+            *[c for c in shown.columns if c != "avg_fraud_prob"], F.coalesce(near, F.lit(False)).alias("mean_agrees"))
+
+    def drivers(spark: SparkSession, d: str) -> DataFrame:
+        """KPI 6 and coverage over the model's tables against counts of these tables themselves."""
+        w = _modelled(spark, d)
+        predicted, explained = w.gold("fraud_predictions"), w.gold("shap_explanations")
+        flagged = predicted.where("fraud_prediction = 1")
+        every = kpis.common_drivers(explained, 2 ** 31 - 1)
+        groups = explained.where("predicted_label = 1").groupBy("top_fraud_drivers").count()
+        differing = every.join(groups, "top_fraud_drivers", "full").where(
+            "not (flagged_transactions <=> count) or not avg_fraud_probability >= 0.5")
+        covered = insights.explainability_coverage(predicted, explained)
+        return covered.select(
+            (F.col("flagged") - flagged.agg(F.count(F.lit(1))).scalar()).alias("flagged_off"),
+            (F.col("flagged") - every.agg(F.coalesce(F.sum("flagged_transactions"), F.lit(0))).scalar()).alias("drivers_off"),
+            (F.col("flagged") - F.col("explained")).alias("unexplained"),
+            differing.agg(F.count(F.lit(1))).scalar().alias("differing_drivers"))
+
     return {
+        "pr_auc": lambda spark, d: scorecard.pr_auc(scorecard.rule_probability(built(spark, d))),
+        "model_pr_auc_invariants": lambda spark, d: scorecard.pr_auc(tested(spark, d)).select(
+            "positives", F.col("pr_auc").between(0, 1).alias("is_share"),
+            (F.abs(F.col("pr_auc") - F.col("average_precision")) < 0.05).alias("areas_agree")),
+        "model_evaluation_support": lambda spark, d: scorecard.classification_report(tested(spark, d)).where(
+            "class_name in ('Legit', 'Fraud')").select("class_name", "support", F.expr(
+                "precision between 0 and 1 and recall between 0 and 1 and f1 between 0 and 1").alias("are_shares")),
+        "model_auc_support": lambda spark, d: scorecard.roc_auc(tested(spark, d)).select(
+            "positives", "negatives", F.col("roc_auc").between(0, 1).alias("is_share")),
+        "model_rounds": rounds,
+        "kpi02_model_invariants": months,
+        "kpi06_model_invariants": drivers,
         "stratified_split": lambda spark, d: model.split(rows(spark, d)).select("transaction_id", "label", "split"),
         "stratified_split_exact": lambda spark, d: model.split_exact(rows(spark, d)).select(
             "transaction_id", "label", "split"),
@@ -277,7 +325,22 @@ def _insight_queries() -> dict[str, Query]:
     enriched = lambda w: w.gold("transactions_enriched")
     predicted = lambda w: scorecard.rule_predictions(w.gold("ml_features"))
     explained = lambda w: scorecard.rule_explanations(w.gold("ml_features"))
+    def periods(w: Warehouse) -> DataFrame:
+        """Distinct accounts a month from stored day sketches, held against exact counts by their error bound."""
+        root, month = shared_folder(w.spark, "sketches"), F.date_format("txn_date", "yyyy-MM").alias("month")
+        distincts.daily_sketches(enriched(w)).write.parquet(f"{root}/days")
+        estimates = distincts.period_counts(w.spark.read.parquet(f"{root}/days"), month)
+        exact = enriched(w).groupBy(month).agg(
+            F.countDistinct("account_id").alias("exact_accounts"),
+            F.countDistinct(F.when(F.col("is_fraud") == 1, F.col("account_id"))).alias("exact_affected"))
+        within = lambda a, b: F.abs(F.col(a) - F.col(b)) <= F.col(b) * (3 * distincts.standard_error()) + 1
+        return estimates.join(exact, "month").select(
+            "month", "transactions", "fraud_transactions", "exact_accounts", "exact_affected",
+            within("accounts", "exact_accounts").alias("accounts_within"),
+            within("affected_accounts", "exact_affected").alias("affected_within"))
+
     return {
+        "period_distincts": over(periods),
         "suspicion_rate_daily": over(lambda w: insights.suspicion_rate_daily(enriched(w))),
         "high_risk_share": over(lambda w: insights.high_risk_share(w.gold("customer_360"))),
         "risk_tier_distribution": over(lambda w: insights.risk_tier_distribution(predicted(w))),
@@ -314,9 +377,20 @@ def _stream_queries() -> dict[str, Query]:
     def cleaned(spark: SparkSession, d: str) -> DataFrame:
         return transactions.clean(ingest.open_stream(spark, _warehouse(spark, d).layout, "transactions"))
 
+    def lookups(spark: SparkSession, d: str) -> dict[str, DataFrame]:
+        return {name: _unstamped(df) for name, df in _warehouse(spark, d).silver().items()}
+
+    def hot_keys(spark: SparkSession, d: str) -> dict[str, DataFrame]:
+        return transactions.hot_keys_of(_warehouse(spark, d).silver()["transactions"])
+
     def enriched(spark: SparkSession, d: str) -> DataFrame:
-        static = {name: _unstamped(df) for name, df in _warehouse(spark, d).silver().items()}
-        return transactions.enrich(cleaned(spark, d), static)
+        return transactions.enrich(cleaned(spark, d), lookups(spark, d), hot_keys=hot_keys(spark, d))
+
+    def silver_stream(spark: SparkSession, d: str) -> DataFrame:
+        """The landed silver stream with its landing clock."""
+        root, stream = shared_folder(spark, "stream"), transactions.stamped(cleaned(spark, d))
+        ingest.finish([ingest.land(stream, f"{root}/silver", f"{root}/checkpoint")])
+        return ingest.follow(spark, f"{root}/silver", stream.schema)
 
     def silver_table(spark: SparkSession, d: str) -> DataFrame:
         """The cleaned rows, and without a time line the rows that have no readable time."""
@@ -334,15 +408,13 @@ def _stream_queries() -> dict[str, Query]:
             t: spark.read.schema(schemas.BRONZE[t]).parquet(p) for t, p in paths.items()}})
 
     def exact(spark: SparkSession, d: str) -> DataFrame:
-        root = shared_folder(spark, "stream")
-        silver_stream = cleaned(spark, d)
-        ingest.finish([ingest.land(silver_stream, f"{root}/silver", f"{root}/checkpoint")])
-        frames = landed(spark, velocity.exact(ingest.follow(spark, f"{root}/silver", silver_stream.schema)))
+        frames = landed(spark, velocity.exact(silver_stream(spark, d)))
         return _with_rounded(frames, "amount_avg_7d", "amount_stddev_7d")
 
     def alerts(spark: SparkSession, d: str) -> DataFrame:
-        root = shared_folder(spark, "stream")
-        inputs = alert_streams.row_inputs(enriched(spark, d), _warehouse(spark, d).raw()["merchants"])
+        root, w = shared_folder(spark, "stream"), _warehouse(spark, d)
+        rows = transactions.enrich(silver_stream(spark, d), lookups(spark, d), hot_keys=hot_keys(spark, d))
+        inputs = alert_streams.inputs(rows, w.raw()["merchants"])
         ingest.finish([alert_streams.alert_stream(inputs, f"{root}/alerts", f"{root}/checkpoint")])
         return spark.read.parquet(f"{root}/alerts").drop("batch_id")
 

@@ -41,6 +41,9 @@ class Boosting:
     column_share: float = 0.8
     bins: int = 64
     seed: int = SEED
+    # Training ends when a share of the training rows, held back, gets better by less than this (None: all rounds).
+    stop_below: float | None = None
+    held_back_percent: int = 10
 
 
 def matrix(features: DataFrame) -> DataFrame:
@@ -92,7 +95,8 @@ def class_balance(rows: DataFrame) -> DataFrame:
 def train(rows: DataFrame, params: Boosting = Boosting()) -> PipelineModel:
     """Fit on the train part of ``matrix`` + ``split`` rows; positives weigh as much as negatives.
 
-    The trees are grown from per-partition histograms; no rows leave the executors.
+    The trees are grown from per-partition histograms; no rows leave the executors. With ``stop_below`` rows held back
+    by a hash are followed and end the training early; ``follow`` gives the loss of each round on any rows.
     """
     weights = class_balance(rows.where("split = 'train'"))
     weight = weights.select(F.coalesce("positive_weight", F.lit(1.0))).scalar()
@@ -103,6 +107,10 @@ def train(rows: DataFrame, params: Boosting = Boosting()) -> PipelineModel:
         featuresCol="inputs", labelCol=TARGET, weightCol="weight", maxIter=params.rounds, maxDepth=params.depth,
         stepSize=params.step, subsamplingRate=params.row_share, featureSubsetStrategy=str(params.column_share),
         maxBins=params.bins, seed=params.seed, cacheNodeIds=False)
+    if params.stop_below is not None:
+        aside = F.conv(F.substring(_digest(params.seed + 1), 1, 8), 16, 10).cast("long") % 100 < params.held_back_percent
+        weighted = weighted.withColumn("held_back", aside)
+        trees = trees.setValidationIndicatorCol("held_back").setValidationTol(params.stop_below)
     return Pipeline(stages=[assembler, trees]).fit(weighted)
 
 
@@ -143,6 +151,17 @@ def model_predictions(model: PipelineModel, rows: DataFrame) -> DataFrame:
     return scorecard.predictions(score(model, rows))
 
 
+def follow(model: PipelineModel, rows: DataFrame) -> DataFrame:
+    """``round, log_loss``: the mean logistic loss on the rows (label -1 or 1, twice the margin) after each round, in
+    one pass over them."""
+    *before, trees = model.stages
+    inputs = rows.withColumn(TARGET, _c(TARGET).cast("double"))
+    for stage in before:
+        inputs = stage.transform(inputs)
+    losses = trees.evaluateEachIteration(inputs)  # a number a round
+    return rows.sparkSession.createDataFrame(list(enumerate(losses, 1)), "round int, log_loss double")
+
+
 def evaluate(model: PipelineModel, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Classification report and ROC-AUC on the test part."""
     scored = score(model, rows.where("split = 'test'"))

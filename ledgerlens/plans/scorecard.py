@@ -95,18 +95,20 @@ def classification_report(scored: DataFrame, probability: str = "fraud_probabili
         "class_name", *[rounded(m, 6).alias(m) for m in ("precision", "recall", "f1")], "support")
 
 
-def roc_auc(scored: DataFrame, probability: str = "fraud_probability", label: str = "label") -> DataFrame:
-    """Exact area under the ROC curve, ties counted half.
-
-    Rows shrink to one per distinct probability; the running count of negatives goes by coarse, then fine
-    probability slices, so no task orders all distinct probabilities.
-    """
-    per_score = scored.select(F.coalesce(_c(probability), F.lit(0.0)).alias("p"), _c(label).alias("y")).groupBy(
+def _per_score(scored: DataFrame, probability: str, label: str, descending: bool = False) -> DataFrame:
+    """``p`` (negated for descending order), ``pos`` and ``neg`` per distinct probability, with its coarse and fine
+    slice: running totals go slice by slice, so no task orders all distinct probabilities."""
+    p = F.coalesce(_c(probability), F.lit(0.0))
+    return scored.select((-p if descending else p).alias("p"), _c(label).alias("y")).groupBy(
         F.floor(_c("p") * 1000).alias("slice"), F.floor(_c("p") * 10_000_000).alias("part"), "p").agg(
-        F.count_if(_c("y") == 1).alias("pos"), F.count_if(_c("y") == 0).alias("neg"))
+        F.count_if(_c("y") == 1).alias("pos"), F.count_if(_c("y") == 0).alias("neg")).withColumn("all", F.lit(0))
+
+
+def roc_auc(scored: DataFrame, probability: str = "fraud_probability", label: str = "label") -> DataFrame:
+    """Exact area under the ROC curve, ties counted half."""
     # constant key: the order is over all rows, one slice per task
-    ordered = running_totals(
-        per_score.withColumns({"all": F.lit(0), "upto": _c("neg")}), ["all"], ["slice", "part", "p"], ["upto"])
+    ordered = running_totals(_per_score(scored, probability, label).withColumn("upto", _c("neg")), ["all"],
+                             ["slice", "part", "p"], ["upto"])
     big = "decimal(19,0)"
     # twice the number of correctly ordered pairs, an exact integer
     twice = F.sum((_c("pos").cast(big) * (_c("upto") * 2 - _c("neg")).cast(big)).cast("decimal(38,0)"))
@@ -119,6 +121,23 @@ def roc_auc(scored: DataFrame, probability: str = "fraud_probability", label: st
         .alias("roc_auc"))
 
 
+def pr_auc(scored: DataFrame, probability: str = "fraud_probability", label: str = "label") -> DataFrame:
+    """Area under the precision-recall curve, over every distinct probability: ``pr_auc`` by trapezoids, the curve
+    going level from recall 0 to its first point, and ``average_precision`` by steps. NULL without positives."""
+    totals = running_totals(
+        _per_score(scored, probability, label, descending=True).withColumns({"tp": _c("pos"), "fp": _c("neg")}),
+        ["all"], ["slice", "part", "p"], ["tp", "fp"])
+    here = F.try_divide(_c("tp").cast("double"), (_c("tp") + _c("fp")).cast("double"))
+    above = F.try_divide((_c("tp") - _c("pos")).cast("double"), (_c("tp") - _c("pos") + _c("fp") - _c("neg")).cast("double"))
+    # sums of decimals, so that they do not depend on the order of the rows
+    summed = lambda x: F.sum((x * _c("pos")).cast("decimal(38,12)")).cast("double")
+    return totals.agg(
+        F.sum("pos").alias("positives"), summed((here + F.coalesce(above, here)) / 2).alias("area"),
+        summed(here).alias("steps"),
+    ).select("positives", *[rounded(F.try_divide(_c(x), _c("positives").cast("double")), 8).alias(name)
+                            for x, name in (("area", "pr_auc"), ("steps", "average_precision"))])
+
+
 def prediction_invariants(predictions: DataFrame) -> DataFrame:
     """What must hold for every prediction table: rows, distinct ids, and rows that break a rule of the table."""
     p = _c("fraud_probability")

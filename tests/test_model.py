@@ -83,3 +83,30 @@ def test_only_flagged_rows_can_be_explained(spark, trained):
     flagged = explain.explanations(spark, fitted, path, rows, only_flagged=True)
     assert flagged.where("predicted_label = 0").count() == 0
     assert flagged.count() == model.model_predictions(fitted, rows).where("fraud_prediction = 1").count()
+
+
+def test_area_under_precision_recall_equals_mllib(spark):
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+    from ledgerlens.plans import scorecard
+
+    rng = np.random.default_rng(3)
+    scores = [(float(s), int(y)) for s, y in zip(rng.integers(0, 40, 500) / 40, rng.random(500) < 0.3)]
+    rows = spark.createDataFrame(scores, "fraud_probability double, label int")
+    ours = scorecard.pr_auc(rows).first()
+    library = BinaryClassificationEvaluator(rawPredictionCol="fraud_probability", labelCol="label",
+                                            metricName="areaUnderPR", numBins=0)
+    assert ours.pr_auc == pytest.approx(library.evaluate(rows.withColumn("label", F.col("label").cast("double"))), abs=1e-8)
+    perfect = rows.withColumn("fraud_probability", F.col("label").cast("double"))
+    assert (scorecard.pr_auc(perfect).first().pr_auc, scorecard.pr_auc(perfect).first().average_precision) == (1.0, 1.0)
+    assert scorecard.pr_auc(rows.where("label = 0")).first().pr_auc is None
+
+
+def test_followed_rows_and_early_stop(spark, trained):
+    rows, fitted, _ = trained
+    losses = model.follow(fitted, rows.where("split = 'test'")).orderBy("round").collect()
+    assert [r["round"] for r in losses] == [1, 2, 3, 4, 5, 6] and losses[-1].log_loss < losses[0].log_loss
+    p = model.score(fitted, rows.where("split = 'test'")).select("fraud_probability", "label").collect()
+    plain = np.mean([-2 * np.log(r.fraud_probability if r.label == 1 else 1 - r.fraud_probability) for r in p])
+    assert losses[-1].log_loss == pytest.approx(plain, rel=1e-9)
+    stopped = model.train(rows, model.Boosting(rounds=40, depth=3, step=1.0, stop_below=0.05))
+    assert stopped.stages[-1].getNumTrees < 40
