@@ -27,9 +27,9 @@ import os
 import re
 from collections import Counter
 from collections.abc import Iterable, Iterator
-from dataclasses import dataclass
 from functools import lru_cache
-from itertools import accumulate
+from itertools import accumulate, chain
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -56,8 +56,7 @@ def byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in printable} | {chr(256 + k): b for k, b in enumerate(rest)}
 
 
-@dataclass(frozen=True)
-class Chunk:
+class Chunk(NamedTuple):
     """What one chunk adds to a text: token and group numbers, links, pair codes with their links, groups as text."""
 
     fits: bool
@@ -87,6 +86,8 @@ class Aligner(dict):
         self.is_byte = [sp.is_byte(k) for k in range(sp.get_piece_size())]
         self.b_bytes = [bytes([int(sp.id_to_piece(k)[3:5], 16)]) if self.is_byte[k]
                         else sp.id_to_piece(k).replace("▁", " ").encode() for k in range(sp.get_piece_size())]
+        self.a_sizes, self.b_sizes = (np.array([len(x) for x in t], np.int64) for t in (self.a_bytes, self.b_bytes))
+        self.byte_flags = np.array(self.is_byte)
         most = max(len(self.a_bytes), len(self.b_bytes))
         self.texts = {mark: np.array([f"{k}{mark}" for k in range(most)], dtype=object) for mark in ",|;"}
         self.width = 4 if len(self.a_bytes) * len(self.b_bytes) <= 1 << 32 else 8
@@ -173,21 +174,22 @@ class Aligner(dict):
     def _learn_run(self, chunks: list[str]) -> None:
         text = "".join(chunks)
         encoded, pieces = self.a.encode(text, add_special_tokens=False), self._pieces(text[1:])
-        data, ids_b = text.encode(), [p[0] for p in pieces]
-        parts = [self.a_bytes[k] for k in encoded.ids], [self.b_bytes[k] for k in ids_b]
-        if any(b"".join(x) != data for x in parts):
+        data = text.encode()
+        ids_a = encoded.ids
+        spans_b = np.fromiter(chain.from_iterable(pieces), np.int64, 3 * len(pieces)).reshape(-1, 3)
+        if (b"".join([self.a_bytes[k] for k in ids_a]) != data
+                or b"".join([self.b_bytes[k] for k in spans_b[:, 0].tolist()]) != data):
             return
-        a, b = np.array(encoded.ids, np.int64), np.array(ids_b, np.int64)
-        past_a, past_b = (np.cumsum(np.fromiter(map(len, x), np.int64, len(x))) for x in parts)
-        spans_a = np.fromiter((x for span in encoded.offsets for x in span), np.int64).reshape(-1, 2)
-        spans_b = np.array(pieces, np.int64)[:, 1:] + 1
+        a, b, spans_b = np.array(ids_a, np.int64), spans_b[:, 0].copy(), spans_b[:, 1:] + 1
+        past_a, past_b = np.cumsum(self.a_sizes[a]), np.cumsum(self.b_sizes[b])
+        spans_a = np.fromiter(chain.from_iterable(encoded.offsets), np.int64, 2 * len(a)).reshape(-1, 2)
         byte_of = np.arange(len(text) + 1)
         if len(data) != len(text):
             points = np.frombuffer(text.encode("utf-32-le"), "<u4")
             byte_of[1:] += np.cumsum((points > 0x7F).astype(np.int64) + (points > 0x7FF) + (points > 0xFFFF))
         ends = byte_of[np.cumsum(np.fromiter(map(len, chunks), np.int64, len(chunks)))]
         inner_a = np.append(spans_a[1:, 0] < spans_a[:-1, 1], False)
-        inner_b = np.array(self.is_byte)[b] & (spans_b[:, 0] == spans_b[:, 1])
+        inner_b = self.byte_flags[b] & (spans_b[:, 0] == spans_b[:, 1])
         outer_a, outer_b = np.flatnonzero(~inner_a), np.flatnonzero(~inner_b)
         places, at_a, at_b = np.intersect1d(byte_of[spans_a[outer_a, 1]], spans_b[outer_b, 1], return_indices=True)
         cuts_a, cuts_b = outer_a[at_a] + 1, outer_b[at_b] + 1
@@ -217,14 +219,13 @@ class Aligner(dict):
         words[place_a], words[place_b] = self.texts[","][a], self.texts[","][b]
         words[place_a[cuts_a - 1]], words[place_b[cuts_b - 1]] = self.texts["|"][a[cuts_a - 1]], self.texts[";"][b[cuts_b - 1]]
         words = words.tolist()
-        ends = [x.tolist() for x in (cuts_a[last], cuts_b[last], last + 1, np.cumsum(times)[last])]
+        ends = cuts_a[last], cuts_b[last], last + 1, np.cumsum(times)[last]
+        numbers = zip(*[np.diff(x, prepend=0).tolist() for x in ends])
         raw, ones = codes.tobytes(), np.ones(len(codes), "<u8").tobytes()
-        before = (0, 0, 0, 0)
-        for chunk, *now in zip(chunks, *ends):
-            n = tuple(y - x for x, y in zip(before, now))
-            self[chunk] = Chunk(True, n, raw[self.width * before[3]: self.width * now[3]], ones[:8 * n[3]],
-                                "".join(words[before[0] + before[1]: now[0] + now[1]])[:-1])
-            before = now
+        w0 = r0 = 0
+        for chunk, n, w1, r1 in zip(chunks, numbers, (ends[0] + ends[1]).tolist(), (ends[3] * self.width).tolist()):
+            self[chunk] = Chunk(True, n, raw[r0:r1], ones[:8 * n[3]], "".join(words[w0:w1])[:-1])
+            w0, r0 = w1, r1
 
     def of(self, texts: pa.Array) -> tuple[np.ndarray, list[str], np.ndarray, np.ndarray, np.ndarray]:
         """``sizes, groups, counts, codes, links``: four numbers and the groups of each text, the number of its
