@@ -2,8 +2,10 @@
 
 Path-dependent Shapley values (Lundberg et al.), tabulated per leaf as in "Fast TreeSHAP" (Yang, 2021):
 a leaf's contribution depends on a row only through *which* of the features on its path the row
-satisfies, at most ``2^depth`` patterns. The table is built once from the model, its size is bounded by
-the model's rounds and depth, and it is broadcast; a task looks up patterns for a whole Arrow batch.
+satisfies, at most ``2^depth`` patterns. Neighbouring leaves of a tree share most of their comparisons, so their tables
+are added up into one of a block, whose pattern is the outcome of all its comparisons: a row takes one lookup a block
+of some four leaves. The tables are built once from the model, their size is bounded by the model's rounds and depth,
+and they are broadcast; a task looks up patterns for a whole Arrow batch.
 """
 
 from __future__ import annotations
@@ -99,46 +101,80 @@ def _pattern_table(values: np.ndarray, shares: np.ndarray) -> np.ndarray:
     return table
 
 
-def lookup_tables(leaves: Sequence[Leaf]) -> list[tuple[np.ndarray, ...]]:
-    """Per path length: features, bounds and contribution tables of the leaves of that length."""
-    tables = []
-    for d in sorted({len(leaf.features) for leaf in leaves} - {0}):
-        same = [leaf for leaf in leaves if len(leaf.features) == d]
-        shares = np.array([leaf.shares for leaf in same])
-        tables.append((
-            np.array([leaf.features for leaf in same]), np.array([leaf.above for leaf in same]),
-            np.array([leaf.upto for leaf in same]),
-            _pattern_table(np.array([leaf.value for leaf in same]), shares)))
-    return tables
+@dataclass(frozen=True)
+class Block:
+    """Leaves looked up together: their distinct comparisons ``x[feature] <= cut`` (cuts as places among the feature's
+    cuts over the whole model), the features they contribute to, and the contributions ``[feature, pattern]``. Bit ``k``
+    of a pattern is the outcome of comparison ``k``."""
+
+    comparisons: tuple[tuple[int, int], ...]
+    features: tuple[int, ...]
+    table: np.ndarray
+
+
+# Comparisons of a block: 256 patterns. A leaf with more has a block of its own.
+BLOCK_BITS = 8
+
+
+def _comparisons(leaf: Leaf) -> list[tuple[int, float]]:
+    return sorted({(f, x) for f, a, u in zip(leaf.features, leaf.above, leaf.upto) for x in (a, u) if np.isfinite(x)})
 
 
-def thresholds(tables: Sequence[tuple[np.ndarray, ...]], features: int) -> list[np.ndarray]:
+def grouped(leaves: Sequence[Leaf], bits: int = BLOCK_BITS) -> list[tuple[list[int], list[tuple[int, float]]]]:
+    """Runs of leaves whose comparisons together are no more than ``bits``, with these."""
+    runs: list[tuple[list[int], list[tuple[int, float]]]] = []
+    for k, leaf in enumerate(leaves):
+        if not leaf.features:
+            continue
+        own = set(_comparisons(leaf))
+        if runs and len(own.union(runs[-1][1])) <= bits:
+            runs[-1] = (runs[-1][0] + [k], sorted(own.union(runs[-1][1])))
+        else:
+            runs.append(([k], sorted(own)))
+    return runs
+
+
+def thresholds(leaves: Sequence[Leaf], features: int) -> list[np.ndarray]:
     """Distinct cuts of each feature over the whole model, ascending."""
     cuts: list[set[float]] = [set() for _ in range(features)]
-    for feature, above, upto, _ in tables:
-        for f, a, u in zip(feature.ravel().tolist(), above.ravel().tolist(), upto.ravel().tolist()):
-            cuts[f].update(x for x in (a, u) if np.isfinite(x))
+    for leaf in leaves:
+        for f, x in _comparisons(leaf):
+            cuts[f].add(x)
     return [np.array(sorted(c)) for c in cuts]
 
 
-def bits(tables: Sequence[tuple[np.ndarray, ...]], cuts: Sequence[np.ndarray]) -> list[list[list[np.ndarray]]]:
-    """For each leaf and path feature: its bit of the pattern by the row's place among the feature's cuts. A row at
-    place ``p`` lies above cut ``p - 1`` and not above cut ``p``."""
-    out = []
-    for feature, above, upto, _ in tables:
-        out.append([])
-        for fs, lows, highs in zip(feature, above, upto):
-            leaf = []
-            for bit, (f, low, high) in enumerate(zip(fs, lows, highs)):
-                place = np.arange(len(cuts[f]) + 1)
-                first = np.searchsorted(cuts[f], low) + 1 if np.isfinite(low) else 0
-                last = np.searchsorted(cuts[f], high) if np.isfinite(high) else len(cuts[f])
-                leaf.append((((place >= first) & (place <= last)) << bit).astype(np.uint16))
-            out[-1].append(leaf)
-    return out
-
-
-# Largest lookup tables that are shipped to the tasks: 300 rounds of depth 6 take about 60 MB.
+def blocks(leaves: Sequence[Leaf], runs: Sequence[tuple[list[int], list[tuple[int, float]]]],
+           cuts: Sequence[np.ndarray]) -> list[Block]:
+    """The lookup tables of all runs of leaves."""
+    tables: dict[int, np.ndarray] = {}
+    for d in sorted({len(leaf.features) for leaf in leaves} - {0}):
+        same = [k for k, leaf in enumerate(leaves) if len(leaf.features) == d]
+        made = _pattern_table(np.array([leaves[k].value for k in same]), np.array([leaves[k].shares for k in same]))
+        tables |= dict(zip(same, made))
+    found = []
+    for members, compared in runs:
+        bit = {c: k for k, c in enumerate(compared)}
+        outcomes = np.arange(1 << len(compared))
+        features = sorted({f for k in members for f in leaves[k].features})
+        row = {f: k for k, f in enumerate(features)}
+        table = np.zeros((len(features), len(outcomes)))
+        for k in members:
+            leaf, pattern = leaves[k], np.zeros(len(outcomes), dtype=np.int64)
+            for place, (f, low, high) in enumerate(zip(leaf.features, leaf.above, leaf.upto)):
+                satisfied = np.ones(len(outcomes), dtype=np.int64)
+                if np.isfinite(low):
+                    satisfied &= 1 - (outcomes >> bit[f, low] & 1)
+                if np.isfinite(high):
+                    satisfied &= outcomes >> bit[f, high] & 1
+                pattern |= satisfied << place
+            for place, f in enumerate(leaf.features):
+                table[row[f]] += tables[k][pattern, place]
+        places = tuple((f, int(np.searchsorted(cuts[f], x))) for f, x in compared)
+        found.append(Block(places, tuple(features), table))
+    return found
+
+
+# Largest lookup tables that are shipped to the tasks: 300 rounds of depth 6 take some 100 MB.
 TABLE_BYTES = 512 << 20
 
 
@@ -146,32 +182,35 @@ def attribute(spark: SparkSession, rows: DataFrame, features: Sequence[str], lea
               keep: Sequence[str], table_bytes: int = TABLE_BYTES) -> DataFrame:
     """The ``keep`` columns of every row and the contribution of each feature, under its name.
 
-    Rows are placed among the model's distinct cuts once; a leaf then takes one small lookup a path feature. Models
-    whose tables would exceed ``table_bytes`` raise before anything is built."""
-    needed = sum(8 * len(leaf.features) << len(leaf.features) for leaf in leaves)
+    Rows are placed among the model's distinct cuts once; a block of leaves then takes one comparison of small integers
+    a cut and one lookup. Models whose tables would exceed ``table_bytes`` raise before anything is built."""
+    runs = grouped(leaves)
+    needed = sum(8 * len({f for f, _ in compared}) << len(compared) for _, compared in runs)
     if needed > table_bytes:
         raise ValueError(f"lookup tables need {needed} bytes, more than table_bytes={table_bytes}: use shallower trees")
-    made = lookup_tables(leaves)
-    cuts = thresholds(made, len(features))
-    shared = spark.sparkContext.broadcast((made, cuts, bits(made, cuts)))
+    cuts = thresholds(leaves, len(features))
+    shared = spark.sparkContext.broadcast((blocks(leaves, runs, cuts), cuts))
     names, kept = list(features), list(keep)
 
     def contributions(batches):
         import numpy as np
 
-        tables, cuts, places = shared.value
+        tables, cuts = shared.value
         for batch in batches:
             inputs = batch[names].to_numpy(dtype=float).T
-            at = [np.searchsorted(c, x, "left") for c, x in zip(cuts, inputs)]
+            at = [np.searchsorted(c, x, "left").astype(np.int32) for c, x in zip(cuts, inputs)]
             out = np.zeros(inputs.shape)
-            for (feature, _, _, table), leaf_bits in zip(tables, places):
-                for leaf, fs in enumerate(feature.tolist()):
-                    pattern = leaf_bits[leaf][0][at[fs[0]]]
-                    for bit in range(1, len(fs)):
-                        pattern |= leaf_bits[leaf][bit][at[fs[bit]]]
-                    part = table[leaf].T[:, pattern]
-                    for bit, f in enumerate(fs):
-                        out[f] += part[bit]
+            for block in tables:
+                outcome = np.empty((len(block.comparisons), inputs.shape[1]), dtype=bool)
+                for k, (f, cut) in enumerate(block.comparisons):
+                    np.less_equal(at[f], cut, out=outcome[k])
+                packed = np.packbits(outcome, axis=0, bitorder="little").astype(np.int64)
+                pattern = packed[0]
+                for k in range(1, len(packed)):
+                    pattern = pattern | packed[k] << 8 * k
+                part = block.table[:, pattern]
+                for k, f in enumerate(block.features):
+                    out[f] += part[k]
             result = batch[kept].copy()
             for i, name in enumerate(names):
                 result[name] = out[i]
