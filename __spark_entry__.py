@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import importlib.util
 import os
 import sys
 from collections.abc import Callable, Mapping
@@ -16,7 +17,7 @@ from ledgerlens.functions.measures import rounded  # noqa: E402
 from ledgerlens.functions.risk import policy_action, policy_tier  # noqa: E402
 from ledgerlens.operators import quality  # noqa: E402
 from ledgerlens.plans import (  # noqa: E402
-    distincts, explain, features, gold, insights, kpis, model, network, rules, scorecard, silver,
+    distincts, explain, features, gold, insights, kpis, model, network, refresh, rules, scorecard, silver,
 )
 from ledgerlens.plans.batch import Warehouse, run_batch, run_model  # noqa: E402
 from ledgerlens.profiles import BATCH, DECLARATIVE, Profile  # noqa: E402
@@ -155,6 +156,19 @@ def _feature_queries() -> dict[str, Query]:
     enriched = lambda spark, d: _warehouse(spark, d).gold("transactions_enriched")
     built = lambda spark, d: _warehouse(spark, d).gold("ml_features")
     summary_measures = ("mean", "stddev", "min", "max")
+
+    def refreshed(spark: SparkSession, d: str) -> DataFrame:
+        """The feature table as of three days before the end, brought up to date by refreshing what changed."""
+        layout, full = Layout(shared_folder(spark, "refresh")), enriched(spark, d)
+        last = full.agg(F.max("txn_date")).first()[0]
+        early = full.where(F.col("txn_date") <= F.date_sub(F.lit(last), 3))
+        layout.write(early, "gold", "gold_transactions_enriched", "txn_date")
+        layout.write(features.ml_features(layout.read(spark, "gold", "gold_transactions_enriched")), "gold",
+                     "gold_ml_features", "txn_date")
+        refresh.refresh(spark, layout, full)
+        return _with_rounded(_unstamped(layout.read(spark, "gold", "gold_ml_features")), "amount_avg_7d",
+                             "amount_stddev_7d", "amount_zscore")
+
     return {
         "velocity_features": lambda spark, d: _with_rounded(
             features.velocity(enriched(spark, d)), "amount_avg_7d", "amount_stddev_7d",
@@ -169,6 +183,7 @@ def _feature_queries() -> dict[str, Query]:
             _unstamped(features.ml_features(enriched(spark, d))), "amount_avg_7d", "amount_stddev_7d", "amount_zscore"),
         "feature_summary": lambda spark, d: _with_rounded(
             features.feature_summary(built(spark, d)), *summary_measures),
+        "refreshed_features": refreshed,
         "feature_quartiles": lambda spark, d: _with_rounded(
             features.feature_quartiles(built(spark, d)), "q1", "median", "q3"),
         "contextual_features": lambda spark, d: features.contextual(
@@ -407,6 +422,17 @@ def _stream_queries() -> dict[str, Query]:
         return insights.row_counts({"bronze": {
             t: spark.read.schema(schemas.BRONZE[t]).parquet(p) for t, p in paths.items()}})
 
+    def bronze_content(spark: SparkSession, d: str) -> DataFrame:
+        """Checksums of the landed tables' content, a row a table."""
+        root = shared_folder(spark, "stream")
+        paths = ingest.ingest(spark, _warehouse(spark, d).layout, Layout(root), f"{root}/checkpoints")
+        found = None
+        for table, path in paths.items():
+            marks = quality.content_marks(spark.read.schema(schemas.BRONZE[table]).parquet(path)).select(
+                F.lit(table).alias("table_name"), "*")
+            found = marks if found is None else found.union(marks)
+        return found
+
     def exact(spark: SparkSession, d: str) -> DataFrame:
         frames = landed(spark, velocity.exact(silver_stream(spark, d)))
         return _with_rounded(frames, "amount_avg_7d", "amount_stddev_7d")
@@ -420,6 +446,7 @@ def _stream_queries() -> dict[str, Query]:
 
     return {
         "stream_bronze_ingest": bronze,
+        "stream_bronze_content": bronze_content,
         "stream_silver_transactions": silver_table,
         "stream_enriched": lambda spark, d: landed(spark, enriched(spark, d)).drop("event_time"),
         "stream_velocity": lambda spark, d: landed(spark, velocity.windowed(cleaned(spark, d))),
@@ -445,10 +472,11 @@ def entry(spark: SparkSession) -> DataFrame:
         F.count(F.lit(1)).alias("alerts"), F.countDistinct("transaction_id").alias("transactions"))
 
 
-try:  # the training-data operators are an add-on; without them everything else works
+# The training-data operators are an add-on; without them everything else works. An error inside them is raised.
+if all(importlib.util.find_spec(name) for name in ("ledgerlens.llm", "corpus_pipeline")):
     import corpus_pipeline
     from ledgerlens.llm import queries as _llm
-except ImportError:
+else:
     _llm = corpus_pipeline = None
 
 

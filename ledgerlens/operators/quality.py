@@ -117,3 +117,15 @@ def orphans(tables: Mapping[str, DataFrame], references: Sequence[tuple[str, str
 def duplicated_keys(df: DataFrame, key: str) -> DataFrame:
     """Keys that occur more than once, with their number of rows."""
     return df.groupBy(key).agg(F.count(F.lit(1)).alias("copies")).where("copies > 1")
+
+
+def content_marks(df: DataFrame) -> DataFrame:
+    """One row: rows, a checksum of the columns that are no doubles, and the sum of the doubles to the cent. Two tables
+    with equal marks hold the same rows, whatever their order and files."""
+    doubles = [c for c, kind in df.dtypes if kind == "double"]
+    text = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in df.columns if c not in doubles])
+    money = [F.coalesce(F.col(c).cast("decimal(18,2)"), F.lit(0).cast("decimal(18,2)")) for c in doubles]
+    return df.agg(
+        F.count(F.lit(1)).alias("row_count"),
+        F.coalesce(F.sum(F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long")), F.lit(0)).alias("text_checksum"),
+        F.sum(sum(money[1:], money[0]) if money else F.lit(0)).cast("double").alias("number_total"))

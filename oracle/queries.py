@@ -90,15 +90,17 @@ def _features() -> dict[str, str]:
     matrix = ", ".join(
         (r(f"coalesce({c}, 0)", 4) if c in rounded else f"CAST(coalesce(CAST({c} AS DOUBLE), 0) AS DOUBLE)") + f" AS {c}"
         for c in _MODEL_INPUTS)
+    rows = query(f"""SELECT * EXCLUDE (unique_merchants_24h, amount_max_7d) REPLACE (
+        {r('amount_avg_7d', 4)} AS amount_avg_7d, {r('amount_stddev_7d', 4)} AS amount_stddev_7d,
+        {r('amount_zscore', 4)} AS amount_zscore) FROM features""", "features")
     return {
         "velocity_features": query(f"SELECT {_VELOCITY} FROM velocity", "velocity"),
         "velocity_features_extended": query(
             "SELECT transaction_id, unique_merchants_24h, amount_max_7d FROM velocity", "velocity"),
         "anomaly_scores": query(f"""SELECT transaction_id, {r('amount_zscore', 4)} AS amount_zscore, geo_risk_score,
             channel_risk, composite_risk_score, is_high_velocity, is_round_amount, label FROM features""", "features"),
-        "gold_ml_features": query(f"""SELECT * EXCLUDE (unique_merchants_24h, amount_max_7d) REPLACE (
-            {r('amount_avg_7d', 4)} AS amount_avg_7d, {r('amount_stddev_7d', 4)} AS amount_stddev_7d,
-            {r('amount_zscore', 4)} AS amount_zscore) FROM features""", "features"),
+        "gold_ml_features": rows,
+        "refreshed_features": rows,
         "feature_summary": query(summary, "features"),
         "feature_quartiles": query(" UNION ALL ".join(
             f"SELECT '{c}' AS feature, {r(f'quantile_cont({c}::DOUBLE, 0.25)', 4)} AS q1, "
@@ -441,7 +443,16 @@ def _streams() -> dict[str, str]:
                                     FROM b_transactions)
           GROUP BY account_id, first"""
 
+    def content(table: str) -> str:
+        columns = [c.split() for c in s.BRONZE[table].split(",")]
+        text = "concat_ws('|', " + ", ".join(f"coalesce(CAST({c} AS VARCHAR), '~')" for c, k in columns if k != "double") + ")"
+        numbers = " + ".join([f"coalesce(CAST({c} AS DECIMAL(18,2)), 0)" for c, k in columns if k == "double"] or ["0"])
+        return (f"SELECT '{table}' AS table_name, count(*) AS row_count, "
+                f"CAST(sum(CAST(('0x' || substr(md5({text}), 1, 8)) AS BIGINT)) AS BIGINT) AS text_checksum, "
+                f"CAST(sum({numbers}) AS DOUBLE) AS number_total FROM b_{table}")
+
     return {
+        "stream_bronze_content": query(" UNION ALL ".join(map(content, s.TABLES)), *[f"b_{t}" for t in s.TABLES]),
         "stream_bronze_ingest": query(f"""SELECT * FROM (WITH c AS ({counts}) SELECT * FROM c UNION ALL
             SELECT layer, 'TOTAL', CAST(sum(row_count) AS BIGINT) FROM c GROUP BY layer)""",
                                       *[f"b_{t}" for t in s.TABLES]),

@@ -221,3 +221,42 @@ def test_day_sketches_count_periods_within_their_bound(spark):
         assert abs(got.accounts - exact.a) <= bound * exact.a and abs(got.affected_accounts - exact.f) <= bound * exact.f
         assert (got.merchants, got.devices, got.transactions) == (7, 0, exact.n)
     assert distincts.period_counts(days, "txn_date", start="2030-01-01").count() == 0
+
+
+def test_refresh_equals_a_full_rebuild_and_leaves_other_days_alone(spark, folder):
+    """Inserts, late rows, altered and deleted rows, and a day that goes as a whole."""
+    from pathlib import Path
+
+    from ledgerlens.plans import features, refresh
+
+    full = entry_point._warehouse(spark, folder).gold("transactions_enriched")
+    days = [r.txn_date for r in full.select("txn_date").distinct().orderBy("txn_date").collect()]
+    layout = Layout(shared_folder(spark, "refresh"))
+    store = lambda df: layout.write(df, "gold", "gold_transactions_enriched", "txn_date")
+    store(full)
+    layout.write(features.ml_features(layout.read(spark, "gold", "gold_transactions_enriched")), "gold", "gold_ml_features",
+                 "txn_date")
+    files = lambda table: {str(p): p.stat().st_mtime_ns for p in Path(layout.path("gold", table)).rglob("*.parquet")}
+    assert refresh.refresh(spark, layout, full) == refresh.Refreshed((), ())
+    before = files("gold_ml_features"), files("gold_transactions_enriched")
+
+    deleted, altered, late = days[3], days[12], days[13]
+    new = full.where(F.col("txn_date") != F.lit(deleted)).withColumn(
+        "amount", F.when(F.col("txn_date") == F.lit(altered), F.col("amount") + 0.004).otherwise(F.col("amount")))
+    copies = full.where(F.col("txn_date") == F.lit(late)).limit(5).withColumn(
+        "transaction_id", F.concat(F.lit("LATE"), "transaction_id"))
+    new = new.where((F.col("txn_date") != F.lit(late)) | (F.xxhash64("transaction_id") % 4 != 0)).unionByName(copies)
+    done = refresh.refresh(spark, layout, new)
+    assert set(done.changed) == {deleted, altered, late}
+    assert set(done.recomputed) == {d for d in days if d != deleted and any(0 <= (d - c).days <= 7 for c in done.changed)}
+    assert deleted not in done.recomputed and len(done.recomputed) < len(days) - 1
+    expected = features.ml_features(new)
+    got = layout.read(spark, "gold", "gold_ml_features").select(expected.columns)
+    assert got.count() == expected.count() and got.exceptAll(expected).count() == 0
+    stored = layout.read(spark, "gold", "gold_transactions_enriched").select(new.columns)
+    assert stored.count() == new.count() and stored.exceptAll(new).count() == 0
+    after = files("gold_ml_features"), files("gold_transactions_enriched")
+    for old, now, kept in ((before[0], after[0], set(days) - set(done.recomputed) - {deleted}),
+                           (before[1], after[1], set(days) - set(done.changed))):
+        untouched = {p: t for p, t in old.items() if any(f"txn_date={d}/" in p for d in kept)}
+        assert untouched and all(now.get(p) == t for p, t in untouched.items())
