@@ -2,8 +2,9 @@
 
 Base spans (assignments, access keys, long hexadecimal runs) are always reported. Further candidates are long tokens
 that mix letters and digits in a way words do not; each is hashed, and the hashes are counted over distinct owners and
-distinct repositories. A candidate that many owners hold is a copied example and is left out; one that few hold is
-taken for live and its span is added. ``report`` gives the same ownership figures for every value, base ones included.
+distinct repositories. A candidate that many owners hold (``example_owners``), or that many repositories hold even if
+few owners do (``example_repositories``: a template that one large owner repeats), is a copied example and is left out;
+one that few hold is taken for live and its span is added. ``report`` gives the ownership figures of every value.
 
 The owner is the column ``source``; the repository is the document, which is the unit this table has. A null owner
 counts as an owner of its own. Null and empty texts have no spans. Values are handled as hashes after extraction, and
@@ -76,20 +77,30 @@ def ownership(values: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("owners"), F.sum("repositories").alias("repositories"))
 
 
+# A value is a copied example from so many distinct owners, or so many distinct repositories, on.
+EXAMPLE_OWNERS, EXAMPLE_REPOSITORIES = 3, 25
+
+
+def is_copied(owners: int, repositories: int) -> Column:
+    return (F.col("owners") >= owners) | (F.col("repositories") >= repositories)
+
+
 def _values(rows: DataFrame, spans: Column) -> DataFrame:
     return rows.select(F.col("source").cast("string").alias("owner"), F.col("doc_id").alias("repository"),
                        F.explode(spans).alias("s")).select(
         _hash(F.col("s.value")).alias("value_hash"), "owner", "repository")
 
 
-def report(docs: DataFrame, example_owners: int = 3) -> DataFrame:
+def report(docs: DataFrame, example_owners: int = EXAMPLE_OWNERS,
+           example_repositories: int = EXAMPLE_REPOSITORIES) -> DataFrame:
     """Every value's hash with its distinct owners and repositories and whether it is a copied example."""
     rows = candidates(docs.select("doc_id", "source", "text"))
     return ownership(_values(rows, F.concat("_base", "_more"))).withColumn(
-        "copied_example", F.col("owners") >= example_owners)
+        "copied_example", is_copied(example_owners, example_repositories))
 
 
-def scan(docs: DataFrame, example_owners: int = 3) -> DataFrame:
+def scan(docs: DataFrame, example_owners: int = EXAMPLE_OWNERS,
+         example_repositories: int = EXAMPLE_REPOSITORIES) -> DataFrame:
     """``doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_added`` of each row."""
     rows = candidates(docs.select("doc_id", "source", "text"))
     rows = rows.select("doc_id", F.xxhash64("text").alias("_text"), "source", "_base", "_more")
@@ -98,7 +109,7 @@ def scan(docs: DataFrame, example_owners: int = 3) -> DataFrame:
     exploded = rows.where(F.size("_more") > 0).select("doc_id", "_text", "source", F.explode("_more").alias("s"))
     values = exploded.select(_hash(F.col("s.value")).alias("value_hash"), F.col("source").cast("string").alias("owner"),
                              F.col("doc_id").alias("repository"), "doc_id", "_text", "s")
-    rare = ownership(values).where(F.col("owners") < example_owners).select("value_hash")
+    rare = ownership(values).where(~is_copied(example_owners, example_repositories)).select("value_hash")
     live = values.join(rare, "value_hash", "left_semi").groupBy("doc_id", "_text").agg(
         F.array_distinct(F.collect_list("s")).alias("_added"))
     live = live.select(F.col("doc_id").alias("_id"), F.col("_text").alias("_key"), "_added")
@@ -111,9 +122,10 @@ def scan(docs: DataFrame, example_owners: int = 3) -> DataFrame:
         _named(F.concat("_base", added)).alias("spans"), F.size(added).cast("long").alias("n_added"))
 
 
-def without_secrets(docs: DataFrame, example_owners: int = 3, mask: str = "[SECRET]") -> DataFrame:
-    """The rows with every value that few owners hold replaced by ``mask``; values that many owners hold are copied
-    examples and stay. All columns stay; a text without secrets is not touched."""
+def without_secrets(docs: DataFrame, example_owners: int = EXAMPLE_OWNERS, mask: str = "[SECRET]",
+                    example_repositories: int = EXAMPLE_REPOSITORIES) -> DataFrame:
+    """The rows with every value that few owners and few repositories hold replaced by ``mask``; copied examples
+    stay. All columns stay; a text without secrets is not touched."""
     names = docs.columns
     own = [f"_c{k}" for k in range(len(names))]  # the columns under names that cannot clash
     at = lambda name: F.col(own[names.index(name)]).alias(name)
@@ -124,7 +136,7 @@ def without_secrets(docs: DataFrame, example_owners: int = 3, mask: str = "[SECR
         F.col("doc_id").alias("repository"), F.col("source").cast("string").alias("owner"), "_key",
         F.explode(F.array_distinct(F.transform(spans, lambda s: s["value"]))).alias("value"))
     values = values.withColumn("value_hash", _hash(F.col("value")))
-    rare = ownership(values).where(F.col("owners") < example_owners).select("value_hash")
+    rare = ownership(values).where(~is_copied(example_owners, example_repositories)).select("value_hash")
     live = values.join(rare, "value_hash", "left_semi").groupBy("repository", "_key").agg(
         F.collect_set("value").alias("_live")).withColumnRenamed("_key", "_text_key")
     same = F.col("doc_id").eqNullSafe(F.col("repository")) & F.col("_key").eqNullSafe(F.col("_text_key"))

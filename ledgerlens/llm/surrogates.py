@@ -140,10 +140,12 @@ def canonical_surrogate(key: str, kind: Column, entity: Column, attempt: Column,
     gender = F.lit("") if gender is None else gender
     domain_attempt = F.lit(0) if domain_attempt is None else domain_attempt
     stream = _stream(key, kind, entity, attempt)
-    email = F.concat(_shaped(F.substring_index(entity, "@", 1), stream), F.lit("@"),
-                     _domain(key, domain_of(entity), domain_attempt))
-    octets = F.transform(F.split(entity, r"\."), lambda o, i: F.when(F.length(o) == 1, _draw(stream, i, "123456789"))
-                         .when(F.length(o) == 2, F.concat(_draw(stream, i, "123456789"),
+    longer = F.concat(*[_draw(stream, F.lit(50 + k), "abcdefghijklmnopqrstuvwxyz") for k in range(4)])
+    email = F.concat(_shaped(F.substring_index(entity, "@", 1), stream),
+                     F.when(attempt >= LONGER, longer).otherwise(F.lit("")), F.lit("@"), _domain(key, domain_of(entity), domain_attempt))
+    short = lambda o, n: (F.length(o) == n) & (attempt < LONGER)
+    octets = F.transform(F.split(entity, r"\."), lambda o, i: F.when(short(o, 1), _draw(stream, i, "123456789"))
+                         .when(short(o, 2), F.concat(_draw(stream, i, "123456789"),
                                                           _draw(stream, i + 8, "0123456789")))
                          .otherwise(F.concat(F.lit("1"), _draw(stream, i + 4, "0123456789"),
                                              _draw(stream, i + 8, "0123456789"))))
@@ -192,7 +194,8 @@ def exceptions(entities: DataFrame, key: str, rounds: int = 20) -> DataFrame | N
     whose occurrences (rows of ``kind, entity`` and, for names, ``gender``) differ in gender; None if there are none.
 
     Every round redraws for all but the first of the entities that share a surrogate, and for those whose surrogate is
-    an entity itself. A type whose surrogates are too few for its entities raises after ``rounds``."""
+    an entity itself. Where real entities fill a format (one-letter mailboxes, one-digit addresses), an entity that has
+    clashed ``LONGER`` times gets a longer surrogate: four more letters in a mailbox or domain, three digits an octet."""
     gender = F.col("gender") if "gender" in entities.columns else F.lit(None).cast("string")
     state = entities.groupBy("kind", "entity").agg(*[F.count(F.when(gender == g, 1)).alias(g) for g in ("f", "m")],
                                                    F.count(F.lit(1)).alias("n"))

@@ -107,6 +107,35 @@ def test_owner_specific_values_are_added_and_masked_and_copied_ones_stay(make):
     assert owners == {1, 5}
 
 
+def test_a_template_of_one_hot_source_is_a_copied_example(make):
+    """Owners alone do not tell: one source holds a third of all rows and repeats a value in each."""
+    live, template = "q7Rt9ZkLm3Xv8Wn5Bd2Hf6Jp", "Ex4mpleEx4mpleEx4mpleEx4"
+    rows = [(k, f"row {k} says {template}", "en", "hot") for k in range(100)]
+    rows += [(1000 + k, f"row {k} says {live}", "en", "hot") for k in range(3)]
+    rows += [(2000 + k, f"plain row {k}", "en", f"s{k}") for k in range(200)]
+    found = {r["doc_id"]: r["n_added"] for r in secret_scan.scan(make(rows)).collect()}
+    assert [found[k] for k in (0, 99, 1000, 1002, 2000)] == [0, 0, 1, 1, 0]
+    masked = {r["doc_id"]: r["text"] for r in secret_scan.without_secrets(make(rows)).collect()}
+    assert masked[5].endswith(template) and masked[1001].endswith("[SECRET]")
+    figures = {(r["owners"], r["repositories"], r["copied_example"]) for r in secret_scan.report(make(rows)).collect()}
+    assert figures == {(1, 100, True), (1, 3, False)}
+    assert secret_scan.scan(make(rows), example_repositories=1000).where("n_added = 1").count() == 103
+
+
+def test_full_name_spaces_get_longer_surrogates(spark, make):
+    """All one-letter mailboxes of a provider, and a thousand one-digit addresses with most of their space real."""
+    shared_folder(spark, "test")
+    boxes = [f"{chr(97 + k)}@example.com" for k in range(26)]
+    hosts = [f"{a}.{b}.{c}.{d}" for a in range(1, 10) for b in range(1, 10) for c in range(1, 10) for d in (1, 2)]
+    docs = make([(k, f"write to {v} now") for k, v in enumerate(boxes)] + [(100 + k, f"host {v} is up") for k, v in enumerate(hosts)])
+    out = {r["doc_id"]: r["text"] for r in surrogates.replace(docs, "k1").collect()}
+    made = [out[k].split()[2] for k in range(26)]
+    assert len(set(made)) == 26 and not set(made) & set(boxes) and all("@" in m for m in made)
+    made = [out[100 + k].split()[1] for k in range(len(hosts))]
+    assert len(set(made)) == len(hosts) and not set(made) & set(hosts)
+    assert all(len(m.split(".")) == 4 and all(0 < int(x) < 256 for x in m.split(".")) for m in made)
+
+
 def test_surrogates_keep_format_coreference_and_distinctness(spark, make, odd, empty, clashing):
     shared_folder(spark, "test")
     rnd = random.Random(6)
