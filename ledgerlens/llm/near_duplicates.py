@@ -7,7 +7,7 @@ with nothing. Documents link when the Jaccard similarity of their sets is at lea
 1. Sketch. Every element draws a random permutation of the slots; in round ``j`` it offers the value ``j + r`` to the
    ``j``-th slot of its permutation, so one element never offers low values to two slots. A document stops as soon as
    all its slots hold values below the next round: long documents after one round.
-2. Documents with equal sets form a class, represented by its smallest number. Only representatives go on.
+2. Documents with equal sets form a class, represented by one of them. Only representatives go on.
 3. Banding: representatives that agree on all values of a band share a bucket. In each bucket the members are compared
    with a leader, the member with the most company over all its buckets, and components are formed: a group of
    thousands of copies costs a star, not all pairs.
@@ -265,14 +265,31 @@ def _rest(members: DataFrame, represented: DataFrame, sets: DataFrame, settings:
     return met.groupBy("key", "i", "j").applyInArrow(one, "u long, v long")
 
 
+def numbered(named: DataFrame) -> DataFrame:
+    """``set_key, first, node`` of each class: its smallest ``doc_id`` and a number of its own, which is that one unless
+    another text of the same document has it; such classes have negative numbers."""
+    firsts = named.groupBy("set_key").agg(F.min("doc_id").alias("first"))
+    leads = firsts.groupBy("first").agg(F.min("set_key").alias("lead"))
+    other = -F.shiftrightunsigned(F.xxhash64("set_key", "first"), 1) - 1
+    return firsts.join(leads, "first").select("set_key", "first", F.when(
+        F.col("set_key") == F.col("lead"), F.col("first")).otherwise(other).alias("node"))
+
+
 def links(docs: DataFrame, sketch: DataFrame, folder: str, settings: Settings) -> DataFrame:
-    """``node, component`` of the class representatives that have a link. ``sketch`` is a written table."""
+    """``node, component`` of the classes that have a link (``numbered``; the table goes below ``folder``). ``sketch`` is a
+    written table."""
     spark = docs.sparkSession
-    classes = sketch.where("set_key is not null and doc_id is not null").groupBy("set_key").agg(
-        F.min("doc_id").alias("node"))
-    own = sketch.select("set_key", "doc_id", "n_shingles", "bands")
-    represented = classes.join(own, (classes.set_key == own.set_key) & (classes.node == own.doc_id)).select(
-        "node", F.col("n_shingles").alias("n"), "bands").dropDuplicates(["node", "n"])
+    named = sketch.where("set_key is not null and doc_id is not null")
+    numbered(named).write.parquet(f"{folder}/classes")
+    classes = spark.read.parquet(f"{folder}/classes")
+    own = named.select("set_key", "doc_id", "n_shingles", "bands")
+    represented = own.join(classes, "set_key").where("doc_id = first").select(
+        "node", F.col("n_shingles").alias("n"), "bands").dropDuplicates(["node"])
+    # several texts of one document: its classes belong together
+    several = named.groupBy("doc_id").agg(F.min("set_key").alias("lead"), F.max("set_key").alias("last")).where("lead != last")
+    pairs = named.join(several, "doc_id").where("set_key != lead").select("lead", "set_key").distinct()
+    number = classes.select("set_key", "node")
+    same = pairs.join(number.toDF("lead", "u"), "lead").join(number.toDF("set_key", "v"), "set_key").select("u", "v").checkpoint()
     places = represented.select("node", "n", F.posexplode("bands").alias("band", "key"))
     company = places.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     places.join(company, "key").write.parquet(f"{folder}/places")
@@ -280,14 +297,14 @@ def links(docs: DataFrame, sketch: DataFrame, folder: str, settings: Settings) -
     score = places.groupBy("node").agg(F.sum("size").alias("company"))
     members = places.select("key", "band", "node", "n").join(score, "node")
 
-    wanted = places.select("node").distinct().join(classes, "node").select("set_key", "node")
+    wanted = places.select("node").distinct().join(classes, "node")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(
-        wanted.select(F.col("node").alias("doc_id")), "doc_id", "left_semi")
+        wanted.select(F.col("first").alias("doc_id")).distinct(), "doc_id", "left_semi")
     full_sets(texts, settings).join(wanted, "set_key").dropDuplicates(["node"]).select("node", "elements") \
         .write.parquet(f"{folder}/sets")
     sets = spark.read.parquet(f"{folder}/sets")
 
-    stars = confirmed(_stars(members, settings.similarity), sets, settings.similarity).checkpoint()
+    stars = confirmed(_stars(members, settings.similarity), sets, settings.similarity).union(same).checkpoint()
     labels = components(stars).checkpoint()
     first = _open(places.select("key", "node", "n"), labels)
     drawn = confirmed(_draws(first, settings.similarity), sets, settings.similarity).checkpoint()
@@ -305,9 +322,10 @@ def group(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     sketches(docs, settings).write.parquet(f"{folder}/sketch")
     sketch = spark.read.parquet(f"{folder}/sketch")
     labels = links(docs, sketch, folder, settings)
-    classes = sketch.where("set_key is not null").groupBy("set_key").agg(F.min("doc_id").alias("node"))
-    classes = classes.join(labels, "node", "left").select(
-        "set_key", F.coalesce("component", "node").alias("component_id"))
+    classes = spark.read.parquet(f"{folder}/classes")
+    smallest = labels.join(classes, "node").groupBy("component").agg(F.min("first").alias("component_id"))
+    linked = labels.join(smallest, "component").select("node", "component_id")
+    classes = classes.join(linked, "node", "left").select("set_key", F.coalesce("component_id", "first").alias("component_id"))
     rows = sketch.select("doc_id", "n_shingles", "set_key").join(classes, "set_key", "left")
     component = F.when(F.col("set_key").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return rows.select("doc_id", "n_shingles", component.alias("component_id"),
