@@ -6,10 +6,10 @@ words never seen, so any text has a positive probability. State tables are there
 the word counts, which are not, live in a table that is joined.
 
 1. ``encode``: documents are dealt into chunks (the slices that a task reads); each chunk gets a word list of its own
-   and its documents become numbers into that list.
+   and its documents become numbers into that list. Words go on as 64-bit hashes.
 2. ``word_counts``: training counts of all words, over the whole corpus.
-3. ``chunk_words``: the counts are joined to the word lists and gathered by chunk; a chunk's list is bounded by the
-   chunk, whatever the size of the corpus.
+3. ``ready``: counts of the words of most chunks are shipped, those of words of one chunk are known there, the others
+   are joined and gathered by chunk; a chunk's list is bounded by the chunk, whatever the size of the corpus.
 4. ``train``: Baum-Welch. Every iteration each task runs scaled forward and backward recursions over its training
    documents and sends expected counts by cell; Spark adds them up and the next tables go back to the tasks.
 5. ``score``: the scaled forward recursion gives the exact log-likelihood of every document.
@@ -20,11 +20,11 @@ scored one by one; a null ``doc_id`` belongs to the training side. Without train
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
@@ -44,6 +44,7 @@ class Settings:
     iterations: int = 6
     chunk_bytes: int = 4 << 20
     at_once: int = 1 << 18  # tokens whose state probabilities a task holds
+    frequent: int = 1 << 16  # words whose counts are shipped to the tasks, 16 bytes each
 
 
 @dataclass(frozen=True)
@@ -53,16 +54,21 @@ class Model:
     start: np.ndarray
     move: np.ndarray
     emit: np.ndarray  # states by classes
-    heads: dict[str, int]
+    heads: np.ndarray  # hashes of the words with a class of their own, in the order of the classes
 
 
 # ------------------------------------------------------------------------------------------- chunks and counts
 
-CHUNKS = "chunk long, doc_ids binary, null_ids binary, held_out binary, lengths binary, codes binary, words array<string>"
+CHUNKS = "chunk long, doc_ids binary, null_ids binary, held_out binary, lengths binary, codes binary, hashes binary"
+
+
+def word_hashes(listed: list[str]) -> np.ndarray:
+    """64-bit hashes that stand for the words from here on."""
+    return pd.util.hash_array(np.array(listed, dtype=object), categorize=False).view(np.int64)
 
 
 def encode(docs: DataFrame, held_out: Column, settings: Settings) -> DataFrame:
-    """One row a chunk: document numbers, fold, lengths, word codes and the chunk's words."""
+    """One row a chunk: document numbers, fold, lengths, word codes and the hashes of the chunk's words."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
                        F.coalesce(held_out, F.lit(False)).alias("held_out"))
@@ -82,9 +88,8 @@ def encode(docs: DataFrame, held_out: Column, settings: Settings) -> DataFrame:
                    codes.astype("<u4")]
             listed = [END, *(found.vocabulary[k] for k in seen.tolist())]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([chunk]), *(pa.array([x.tobytes()], pa.binary()) for x in raw),
-                 pa.array([listed], pa.list_(pa.string()))],
-                ["chunk", "doc_ids", "null_ids", "held_out", "lengths", "codes", "words"])
+                [pa.array([chunk]), *(pa.array([x.tobytes()], pa.binary()) for x in (*raw, word_hashes(listed)))],
+                ["chunk", "doc_ids", "null_ids", "held_out", "lengths", "codes", "hashes"])
             chunk += 1
 
     return rows.mapInArrow(run, CHUNKS)
@@ -111,24 +116,64 @@ def _rows(batches: Iterable[pa.RecordBatch]) -> Iterator[dict]:
             yield batch.slice(k, 1).to_pylist()[0]
 
 
-def local_counts(chunks: DataFrame) -> DataFrame:
-    """``chunk, place, word, n``: a row for each word of each chunk with its count in training documents."""
+def _learned(row: dict) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of a chunk's words and their counts in its training documents."""
+    chunk, hashes = Chunk.of(row), np.frombuffer(row["hashes"], "<i8")
+    learn = np.repeat(~chunk.held_out, chunk.lengths)
+    return hashes, np.bincount(chunk.codes[learn], minlength=len(hashes)).astype(np.int64)
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for row in _rows(batches):
-            chunk = Chunk.of(row)
-            learn = np.repeat(~chunk.held_out, chunk.lengths)
-            counts = np.bincount(chunk.codes[learn], minlength=len(row["words"]))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(counts), row["chunk"])), pa.array(np.arange(len(counts), dtype=np.int32)),
-                 pa.array(row["words"]), pa.array(counts.astype(np.int64))], ["chunk", "place", "word", "n"])
 
-    return chunks.mapInArrow(run, "chunk long, place int, word string, n long")
+def word_counts(chunks: DataFrame, waiting: int = 1 << 21) -> DataFrame:
+    """``hash, total, parts``: training count of each word and the chunks that hold it. A task adds up its chunks, about
+    ``waiting`` rows at a time, before anything is sent."""
 
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
 
-def word_class(heads: dict[str, int], word: str, settings: Settings) -> int:
-    found = heads.get(word)
-    return found if found is not None else settings.heads + zlib.crc32(word.encode()) % settings.tails
+        def summed() -> pa.RecordBatch:
+            hashes, back = np.unique(np.concatenate([h for h, _ in held]), return_inverse=True)
+            total = np.zeros(len(hashes), dtype=np.int64)
+            np.add.at(total, back, np.concatenate([n for _, n in held]))
+            return pa.RecordBatch.from_arrays([pa.array(hashes), pa.array(total), pa.array(np.bincount(back))],
+                                              names=["hash", "total", "parts"])
+
+        for row in _rows(batches):
+            held.append(_learned(row))
+            if sum(len(h) for h, _ in held) > waiting:
+                yield summed()
+                held.clear()
+        if held:
+            yield summed()
+
+    kind = "hash long, total long, parts long"
+    return chunks.select("doc_ids", "null_ids", "held_out", "lengths", "codes", "hashes").mapInArrow(run, kind).groupBy(
+        "hash").agg(F.sum("total").alias("total"), F.sum("parts").alias("parts"))
+
+
+def frequent_words(totals: DataFrame, most: int) -> tuple[pd.DataFrame, DataFrame]:
+    """The words of most chunks, no more than ``most``, as a table to ship, and the other words of several chunks. Words
+    of one chunk are in neither: their count is known there."""
+    level = F.floor(F.log2("parts") * 8).cast("int")
+    several = totals.where("parts > 1").withColumn("level", level)
+    chosen, total = 1 << 30, 0
+    for row in several.groupBy("level").count().orderBy(F.desc("level")).collect():  # a few hundred levels
+        total += row["count"]
+        if total > most:
+            break
+        chosen = row["level"]
+    shipped = several.where(F.col("level") >= chosen).select("hash", "total").toPandas().sort_values("hash")
+    return shipped, several.where(F.col("level") < chosen).select("hash", "total")
+
+
+def word_classes(heads: np.ndarray, hashes: np.ndarray, settings: Settings) -> np.ndarray:
+    """Classes of words by hash: the place in ``heads``, or one of the shared classes."""
+    classes = settings.heads + np.mod(hashes, settings.tails)
+    if len(heads):
+        order = np.argsort(heads)
+        place = np.minimum(np.searchsorted(heads[order], hashes), len(heads) - 1)
+        found = heads[order][place] == hashes
+        classes[found] = order[place[found]]
+    return classes
 
 
 # --------------------------------------------------------------------------------------------------- recursions
@@ -190,7 +235,7 @@ def expect(model: Model, starts: np.ndarray, lengths: np.ndarray, classes: np.nd
         emit[k] += np.bincount(seen, weights=gamma[:, k], minlength=emit.shape[1])
 
 
-def _normalised(start: np.ndarray, move: np.ndarray, emit: np.ndarray, heads: dict[str, int]) -> Model:
+def _normalised(start: np.ndarray, move: np.ndarray, emit: np.ndarray, heads: np.ndarray) -> Model:
     """Tables from expected counts; the move table was counted without its old factor. A little is added everywhere,
     so that no class has probability 0."""
     share = lambda x: (x + 1e-3) / (x + 1e-3).sum(axis=-1, keepdims=True)
@@ -200,7 +245,7 @@ def _normalised(start: np.ndarray, move: np.ndarray, emit: np.ndarray, heads: di
 # ------------------------------------------------------------------------------------------------ distributed
 
 
-def first_model(class_counts: np.ndarray, heads: dict[str, int], settings: Settings) -> Model:
+def first_model(class_counts: np.ndarray, heads: np.ndarray, settings: Settings) -> Model:
     """States that differ by a fixed draw around the corpus frequencies of the classes."""
     draw = np.random.default_rng(11)
     emit = (class_counts + 1.0)[None, :] * draw.uniform(0.5, 1.5, (settings.states, len(class_counts)))
@@ -237,29 +282,46 @@ def iterate(chunks: DataFrame, model: Model, settings: Settings) -> Model:
     return _normalised(start, move.reshape(states, states) * model.move, emit.reshape(states, size), model.heads)
 
 
-def ready(chunks: DataFrame, counts: DataFrame, totals: DataFrame, heads: dict[str, int],
-          settings: Settings) -> DataFrame:
+def ready(chunks: DataFrame, totals: DataFrame, heads: np.ndarray, settings: Settings) -> DataFrame:
     """``chunks`` with ``class_of`` and ``count_of``: class and training count of each word of the chunk's list.
-    ``counts`` are the local rows, ``totals`` the corpus counts by word."""
-    joined = counts.select("chunk", "place", "word").join(totals, "word")
-    shared = chunks.sparkSession.sparkContext.broadcast(heads)
-    lists = joined.groupBy("chunk").agg(F.collect_list(F.struct("place", "word", "total")).alias("list"))
+
+    Counts of the words of most chunks are shipped, those of words of one chunk are its own; only the rest are joined,
+    as hash and place, so no word that every chunk holds meets in one task."""
+    shipped, rest = frequent_words(totals, settings.frequent)
+    shared = chunks.sparkSession.sparkContext.broadcast((shipped["hash"].to_numpy(), shipped["total"].to_numpy(), heads))
+
+    def known(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        table = shared.value[0]
+        place = np.minimum(np.searchsorted(table, hashes), max(len(table) - 1, 0))
+        return (table[place] == hashes if len(table) else np.zeros(len(hashes), dtype=bool)), place
+
+    def asked(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in _rows(batches):
+            hashes = np.frombuffer(row["hashes"], "<i8")
+            places = np.flatnonzero(~known(hashes)[0])
+            yield pa.RecordBatch.from_arrays([pa.array(hashes[places]), pa.array(np.full(len(places), row["chunk"])),
+                                              pa.array(places.astype(np.int32))], ["hash", "chunk", "place"])
+
+    lists = chunks.select("chunk", "hashes").mapInArrow(asked, "hash long, chunk long, place int").join(
+        rest, "hash").groupBy("chunk").agg(F.collect_list(F.struct("place", "total")).alias("list"))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        heads = shared.value
         for batch in batches:
             for k in range(batch.num_rows):
-                entry = batch.column("list")[k].values
-                order = np.argsort(entry.field("place").to_numpy())
-                total = entry.field("total").to_numpy()[order]
-                listed = np.array(entry.field("word").to_pylist(), dtype=object)[order].tolist()
-                classes = np.array([word_class(heads, w, settings) for w in listed], dtype="<u4")
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("chunk").slice(k, 1), pa.array([classes.tobytes()], pa.binary()),
-                     pa.array([total.astype("<i8").tobytes()], pa.binary())], ["chunk", "class_of", "count_of"])
-
-    made = lists.mapInArrow(run, "chunk long, class_of binary, count_of binary")
-    return chunks.drop("words").join(made, "chunk")
+                one = batch.slice(k, 1)
+                hashes, count = _learned(one.drop_columns(["list"]).to_pylist()[0])
+                found, place = known(hashes)
+                count[found] = shared.value[1][place[found]]
+                if one.column("list").is_valid()[0].as_py():
+                    entry = one.column("list").flatten()
+                    count[pc.struct_field(entry, "place").to_numpy()] = pc.struct_field(entry, "total").to_numpy()
+                classes = word_classes(shared.value[2], hashes, settings)
+                added = pa.array([classes.astype("<u4").tobytes()]), pa.array([count.astype("<i8").tobytes()])
+                kept = one.drop_columns(["hashes", "list"])
+                yield pa.RecordBatch.from_arrays([*kept.columns, *added], [*kept.schema.names, "class_of", "count_of"])
+
+    schema = CHUNKS.replace("hashes binary", "class_of binary, count_of binary")
+    return chunks.join(lists, "chunk", "left").mapInArrow(run, schema)
 
 
 def score(chunks: DataFrame, model: Model, figures: dict[str, np.ndarray | int], settings: Settings) -> DataFrame:
@@ -301,21 +363,21 @@ def fit_and_score(docs: DataFrame, held_out: Column, folder: str, settings: Sett
     zstd = lambda df, name: (df.write.option("compression", "zstd").parquet(f"{folder}/{name}"),
                              spark.read.parquet(f"{folder}/{name}"))[1]
     chunks = zstd(encode(docs, held_out, settings), "chunks")
-    counts = local_counts(chunks)
-    totals = zstd(counts.groupBy("word").agg(F.sum("n").alias("total")), "words")
+    totals = zstd(word_counts(chunks), "words")
     known = totals.where("total > 0")
     tokens, distinct = known.agg(F.coalesce(F.sum("total"), F.lit(0)), F.count(F.lit(1))).first()
-    top = known.orderBy(F.desc("total"), "word").limit(settings.heads - 1).select("word").collect()
-    heads = {w: k for k, w in enumerate([END, *(r["word"] for r in top if r["word"] != END)][: settings.heads])}
+    end = int(word_hashes([END])[0])
+    top = known.where(F.col("hash") != end).orderBy(F.desc("total"), "hash").limit(settings.heads - 1).collect()
+    heads = np.array([end, *(r["hash"] for r in top)], dtype=np.int64)
     size = settings.heads + settings.tails
-    crc = (F.crc32(F.col("word").cast("binary")) % settings.tails + settings.heads).cast("int")
-    listed = spark.createDataFrame(list(heads.items()), "word string, head int")  # at most `heads` rows
-    by_class = known.join(F.broadcast(listed), "word", "left").groupBy(F.coalesce("head", crc).alias("c")).agg(
+    listed = spark.createDataFrame([(h, k) for k, h in enumerate(heads.tolist())], "hash long, head int")  # at most `heads` rows
+    tail = (F.pmod("hash", F.lit(settings.tails)) + settings.heads).cast("int")
+    by_class = known.join(F.broadcast(listed), "hash", "left").groupBy(F.coalesce("head", tail).alias("c")).agg(
         F.sum("total").alias("tokens"), F.count(F.lit(1)).alias("distinct")).toPandas()
     class_tokens, class_distinct = np.zeros(size), np.zeros(size)
     class_tokens[by_class["c"].to_numpy(dtype=np.int64)] = by_class["tokens"].to_numpy()
     class_distinct[by_class["c"].to_numpy(dtype=np.int64)] = by_class["distinct"].to_numpy()
-    prepared = zstd(ready(chunks, counts, totals, heads, settings), "ready")
+    prepared = zstd(ready(chunks, totals, heads, settings), "ready")
     model = first_model(class_tokens, heads, settings)
     for _ in range(settings.iterations if tokens else 0):
         model = iterate(prepared, model, settings)
