@@ -2,10 +2,11 @@
 
 1. ``occurrences``: each document becomes the places of the words that the benchmark uses (one pass over the texts).
 2. ``statistics``: in how many passages of ``passage`` words each of these words occurs, over the whole corpus.
-3. ``latent_space``: a randomised singular value decomposition of the TF-IDF passages. One pass sums ``Aᵀ(A Ω)`` over
-   the partitions, in a tree; a Nyström step gives the right singular vectors. The benchmark items are passages of
-   their own, weighted so that the space holds them.
-4. ``search``: windows of about an item's length are compared with the items by cosine in that space. Of each candidate
+3. ``latent_space``: a randomised singular value decomposition of the TF-IDF passages, of a fixed rank. One pass gives
+   the rows of ``Aᵀ(A Ω)``, one a word, summed by word; a Nyström step gives the right singular vectors. The benchmark
+   items are passages of their own, weighted so that the space holds them.
+4. ``search``: windows of about an item's length are compared with the items by cosine in that space, but for those
+   that the checks below could not confirm for want of words. Of each candidate
    the longest common subsequence of words with the item is computed in the window and its surroundings; it must reach
    ``min_lcs`` of the item's words. The answer must be there as well: the words of the item's ``answer`` if the
    benchmark has that column, else its rarest words, of which ``min_answer`` must be matched.
@@ -39,8 +40,8 @@ class Settings:
     passage: int = 64
     common: float = 0.005  # words in more passages than this share do not steer retrieval
     rarest: int = 8  # words of an item that steer retrieval however common they are
-    extra_dims: int = 8
-    min_steering: float = 0.4  # a window has at least this share of the steering words of an item of its length
+    rank: int = 128  # dimensions of the latent space
+    item_weight: float = 10.0  # of the items beside the corpus, in norm
     min_cosine: float = 0.4
     min_lcs: float = 0.7
     answer_words: int = 4
@@ -184,67 +185,98 @@ def _sums(values: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return group[begins], np.add.reduceat(values, begins, axis=0) if len(begins) else values[:0]
 
 
-def _spread_gram(cell: np.ndarray, code: np.ndarray, weight: np.ndarray, omega: np.ndarray) -> np.ndarray:
-    """``Aᵀ(A Ω)`` of some passages."""
-    out = np.zeros_like(omega)
-    if not len(cell):
-        return out
+def _spread_gram(cell: np.ndarray, code: np.ndarray, weight: np.ndarray, omega: np.ndarray) -> tuple:
+    """The rows of ``Aᵀ(A Ω)`` that some passages touch: words, ascending, and their rows."""
     number = np.unique(cell, return_inverse=True)[1]
-    scaled = omega * weight[:, None]
-    sketch = _sums(scaled[code], number)[1]
+    sketch = _sums((omega * weight[:, None])[code], number)[1]
     order = np.argsort(code, kind="stable")
+    which, rows = [], []
     for begin in range(0, len(order), 1 << 16):
         part = order[begin: begin + (1 << 16)]
-        which, sums = _sums(sketch[number[part]], code[part])
-        out[which] += sums * weight[which][:, None]
-    return out
+        words_, sums = _sums(sketch[number[part]], code[part])
+        which.append(words_)
+        rows.append(sums * weight[words_][:, None])
+    return np.concatenate(which), np.concatenate(rows).astype(np.float64)
+
+
+def _row_sums(batches: Iterable[pa.RecordBatch], rank: int) -> Iterator[pa.RecordBatch]:
+    """Sums of rows with equal codes in batches sorted by code."""
+    last, total = None, None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        codes, sums = _sums(_matrix(batch, rank), batch.column("code").to_numpy())
+        if last is not None and codes[0] == last:
+            sums[0] += total
+        elif last is not None:
+            yield _rows(np.array([last]), total[None])
+        yield _rows(codes[:-1], sums[:-1])
+        last, total = int(codes[-1]), sums[-1]
+    if last is not None:
+        yield _rows(np.array([last]), total[None])
+
+
+def _matrix(batch: pa.RecordBatch, rank: int) -> np.ndarray:
+    return np.frombuffer(b"".join(batch.column("sums").to_pylist()), np.float64).reshape(-1, rank).copy()
+
+
+def _rows(codes: np.ndarray, rows: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(codes.astype(np.int64)), pa.array(
+        [r.tobytes() for r in np.ascontiguousarray(rows)], pa.binary())], ["code", "sums"])
 
 
 def latent_space(places: DataFrame, items: list[Item], weight: np.ndarray, settings: Settings) -> Space:
+    """The space of ``rank`` dimensions. Each task sends the rows of the words it holds, and none if it holds none;
+    they are summed by word. What comes to the driver is a row a word of the block, whatever the corpus."""
     size = len(weight)
-    dims = min(size, len(items) + settings.extra_dims)
-    omega = np.random.default_rng(7).standard_normal((size, dims)).astype(np.float32)
-    spark = places.sparkSession
-    shared = spark.sparkContext.broadcast((weight.astype(np.float32), omega))
+    rank = min(size, settings.rank)
+    omega = np.random.default_rng(7).standard_normal((size, rank)).astype(np.float32)
+    shared = places.sparkSession.sparkContext.broadcast((weight.astype(np.float32), omega))
 
     def partial(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w, om = shared.value
-        total = np.zeros(om.shape)
+        total, seen = None, None
         for batch in slices(batches, "places", 1 << 20):
             doc, place, code = _flat(batch)
             use = w[code] > 0
-            total += _spread_gram(_cells(doc, place, settings.passage)[use], code[use], w, om)
-        yield _matrix(TaskContext.get().partitionId(), total)
-
-    def added(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((size, dims))
-        for batch in batches:
-            for value in batch.column("sums"):
-                total += np.frombuffer(value.as_buffer(), np.float64).reshape(size, dims)
-        yield _matrix(TaskContext.get().partitionId(), total)
-
-    sums = places.select("places", "codes").mapInArrow(partial, "part long, sums binary")
-    tasks = places.rdd.getNumPartitions()
-    while tasks > 4:  # a tree: each level adds up at most 8 matrices a task
-        tasks = -(-tasks // 8)
-        sums = sums.repartition(tasks, F.col("part") % tasks).mapInArrow(added, "part long, sums binary")
-    gram = np.zeros((size, dims))
-    for row in sums.collect():  # at most 4 matrices of benchmark words by dimensions
-        gram += np.frombuffer(row["sums"], np.float64).reshape(size, dims)
-    own = np.zeros((len(items), size))
-    for k, item in enumerate(items):
-        np.add.at(own[k], item.words, weight[item.words])
-    own /= np.maximum(np.linalg.norm(own, axis=1, keepdims=True), 1e-12)
-    strength = 10 * np.linalg.norm(gram) / max(1e-12, np.linalg.norm(own.T @ (own @ omega))) if gram.any() else 1.0
-    basis = _nystrom(gram + strength * (own.T @ (own @ omega)), omega.astype(np.float64))
-    vectors = basis * weight[:, None]
-    latent = own @ basis
-    latent /= np.maximum(np.linalg.norm(latent, axis=1, keepdims=True), 1e-12)
-    return Space(weight.astype(np.float32), vectors.astype(np.float32), latent.astype(np.float32))
-
+            if use.any():
+                if total is None:
+                    total, seen = np.zeros(om.shape), np.zeros(len(om), dtype=bool)
+                which, rows = _spread_gram(_cells(doc, place, settings.passage)[use], code[use], w, om)
+                np.add.at(total, which, rows)
+                seen[which] = True
+        if total is not None:
+            touched = np.flatnonzero(seen)
+            for k in range(0, len(touched), 1 << 12):
+                yield _rows(touched[k: k + (1 << 12)], total[touched[k: k + (1 << 12)]])
+
+    kind = "code long, sums binary"
+    sums = places.select("places", "codes").mapInArrow(partial, kind).repartition("code").sortWithinPartitions("code")
+    image = np.zeros((size, rank))
+    for row in sums.mapInArrow(lambda batches: _row_sums(batches, rank), kind).toLocalIterator():
+        image[row["code"]] = np.frombuffer(row["sums"], np.float64)
+    # the items are passages of their own: rows of a sparse matrix, with weight enough to be held beside the corpus
+    owner = np.repeat(np.arange(len(items)), [len(i.words) for i in items])
+    word = np.concatenate([i.words for i in items]) if items else owner
+    value = weight[word]
+    cells, back = np.unique(owner * size + word, return_inverse=True)
+    value = np.bincount(back, weights=value)
+    owner, word = cells // size, cells % size
+    norm = np.sqrt(np.bincount(owner, weights=value ** 2, minlength=len(items)))
+    value = value / np.maximum(norm, 1e-12)[owner]
+
+    def of_items(rows: np.ndarray) -> np.ndarray:
+        out = np.zeros((len(items), rows.shape[1]))
+        np.add.at(out, owner, value[:, None] * rows[word])
+        return out
 
-def _matrix(part: int, total: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([part]), pa.array([total.tobytes()], pa.binary())], ["part", "sums"])
+    spread = np.zeros((size, rank))
+    np.add.at(spread, word, value[:, None] * of_items(omega.astype(np.float64))[owner])
+    strength = settings.item_weight * np.linalg.norm(image) / max(1e-12, np.linalg.norm(spread)) if image.any() else 1.0
+    basis = _nystrom(image + strength * spread, omega.astype(np.float64))
+    latent = of_items(basis)
+    latent /= np.maximum(np.linalg.norm(latent, axis=1, keepdims=True), 1e-12)
+    return Space(weight.astype(np.float32), (basis * weight[:, None]).astype(np.float32), latent.astype(np.float32))
 
 
 def _nystrom(image: np.ndarray, omega: np.ndarray) -> np.ndarray:
@@ -278,17 +310,68 @@ def common_subsequence(item: np.ndarray, text: np.ndarray) -> tuple[int, int]:
     return bin(matched).count("1"), matched
 
 
-def _windows(doc: np.ndarray, place: np.ndarray, code: np.ndarray, space: Space, window: int, least: int) -> tuple:
-    """``document, first word, unit latent vector`` of the windows of four cells that hold ``least`` steering words.
-    Sums of windows are differences of running sums over the words that lie in any of them."""
-    stride = window // 4
-    cell = _cells(doc, place, stride)
-    top = int(place.max(initial=0)) // stride + 8
-    which = cell[np.concatenate([[True], cell[1:] != cell[:-1]])]
-    starts = np.unique((which[:, None] - np.arange(4)[None, :]).ravel())
+@dataclass(frozen=True)
+class Answers:
+    """Which items of one window size a word answers, as ``items[begins[word]: begins[word + 1]]``, and for each item how
+    many distinct words of its answer a confirmed match holds at least: 0, 1, or 2 for more."""
+
+    begins: np.ndarray
+    items: np.ndarray
+    least: np.ndarray
+
+    @staticmethod
+    def of(answers: list[np.ndarray], chosen: np.ndarray, size: int, share: float) -> Answers:
+        least = np.zeros(len(answers), dtype=np.int64)
+        words_, owners = [], []
+        for k in chosen.tolist():
+            # the words that occur most in the answer make up its share with the fewest distinct ones
+            own, times = np.unique(answers[k], return_counts=True)
+            held = np.cumsum(np.sort(times)[::-1])
+            least[k] = min(2, int(np.searchsorted(held, share * len(answers[k]) - 1e-9) + 1)) if len(own) and share > 0 else 0
+            if least[k]:
+                words_.append(own)
+                owners.append(np.full(len(own), k))
+        word = np.concatenate(words_) if words_ else np.zeros(0, np.int64)
+        order = np.argsort(word, kind="stable")
+        begins = np.searchsorted(word[order], np.arange(size + 1))
+        return Answers(begins, (np.concatenate(owners) if owners else word)[order], least)
+
+
+def _candidates(doc: np.ndarray, place: np.ndarray, code: np.ndarray, cell: np.ndarray, answers: Answers,
+                chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``start, item``: windows (their first cells) with enough of an item's answer where a match would be confirmed, from
+    two cells before the window to two after it. A window without cannot be confirmed for the item."""
+    each = answers.begins[code + 1] - answers.begins[code]
+    at = np.repeat(np.flatnonzero(each), each[each > 0])
+    nth = np.arange(len(at)) - np.repeat(np.cumsum(each[each > 0]) - each[each > 0], each[each > 0])
+    item = answers.items[answers.begins[code[at]] + nth]
+    order = np.lexsort((place[at], item, doc[at]))
+    at, item = at[order], item[order]
+    one = answers.least[item] == 1
+    low, high, who = [cell[at[one]]], [cell[at[one]]], [item[one]]
+    # two words of an answer in reach of each other have neighbours that differ between them
+    same = (doc[at[1:]] == doc[at[:-1]]) & (item[1:] == item[:-1]) & (code[at[1:]] != code[at[:-1]])
+    pair = np.flatnonzero(same & (answers.least[item[1:]] == 2)) if len(at) else at
+    low.append(cell[at[pair]])
+    high.append(cell[at[pair + 1]])
+    who.append(item[pair])
+    low, high, who = np.concatenate(low), np.concatenate(high), np.concatenate(who)
+    wide = np.maximum(0, 8 - (high - low))
+    start = np.repeat(high - 5, wide) + np.arange(wide.sum()) - np.repeat(np.cumsum(wide) - wide, wide)
+    who = np.repeat(who, wide)
+    free = chosen[answers.least[chosen] == 0]
+    if len(free):  # no answer to look for: every window with a word of the benchmark
+        every = np.unique((np.unique(cell)[:, None] - np.arange(4)[None, :]).ravel())
+        start = np.concatenate([start, np.tile(every, len(free))])
+        who = np.concatenate([who, np.repeat(free, len(every))])
+    found = np.unique(np.stack([start, who], axis=1), axis=0)
+    return found[:, 0], found[:, 1]
+
+
+def _vectors(starts: np.ndarray, cell: np.ndarray, code: np.ndarray, space: Space) -> np.ndarray:
+    """Unit latent vectors of windows of four cells, zero for those without a steering word; ``cell`` and ``code`` are
+    those of the steering words. Sums of windows are differences of running sums over the words in any of them."""
     low, high = np.searchsorted(cell, starts), np.searchsorted(cell, starts + 4)
-    some = high - low >= least
-    starts, low, high = starts[some], low[some], high[some]
     change = np.zeros(len(cell) + 1, dtype=np.int64)
     np.add.at(change, low, 1)
     np.add.at(change, high, -1)
@@ -297,11 +380,7 @@ def _windows(doc: np.ndarray, place: np.ndarray, code: np.ndarray, space: Space,
     running = np.zeros((int(inside.sum()) + 1, space.vectors.shape[1]))
     np.cumsum(space.vectors[code[inside]], axis=0, out=running[1:], dtype=np.float64)
     total = (running[number[high]] - running[number[low]]).astype(np.float32)
-    norm = np.linalg.norm(total, axis=1, keepdims=True)
-    begin = starts % top
-    here = begin < top - 4  # windows that begin before their document begin in the gap of the one before
-    owner = np.where(here, starts // top, starts // top + 1)
-    return owner, np.where(here, begin, begin - top) * stride, total / np.maximum(norm, 1e-12)
+    return total / np.maximum(np.linalg.norm(total, axis=1, keepdims=True), 1e-12)
 
 
 def search(places: DataFrame, items: list[Item], space: Space, settings: Settings) -> DataFrame:
@@ -311,35 +390,48 @@ def search(places: DataFrame, items: list[Item], space: Space, settings: Setting
         own = np.unique(item.words)
         rarest.append(item.answer if len(item.answer) else
                       own[np.argsort(-space.weight[own], kind="stable")[: settings.answer_words]])
-    least: dict[int, int] = {}
-    for item in items:
-        steering = int((space.weight[item.words] > 0).sum())
-        wanted = max(1, int(np.ceil(settings.min_steering * steering)))
-        least[item.window] = min(least.get(item.window, wanted), wanted)
-    shared = places.sparkSession.sparkContext.broadcast((items, space, rarest))
+    # What a confirmed match holds at least of an item's words that steer, where the checks look: all but those that
+    # ``min_lcs`` allows to be missing. A window with fewer around it cannot be confirmed for the item, nor can one
+    # without the words of its answer that ``min_answer`` wants.
+    steering = np.array([int((space.weight[i.words] > 0).sum()) for i in items])
+    missing = np.array([len(i.words) - int(np.ceil(settings.min_lcs * len(i.words) - 1e-9)) for i in items])
+    least = np.maximum(1, steering - missing)
+    of_size = {w: np.array([k for k, i in enumerate(items) if i.window == w]) for w in sorted({i.window for i in items})}
+    answering = {w: Answers.of(rarest, chosen, len(space.weight), settings.min_answer) for w, chosen in of_size.items()}
+    shared = places.sparkSession.sparkContext.broadcast((items, space, rarest, least, of_size, answering))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        items, space, answers = shared.value
-        sizes = sorted({i.window for i in items})
-        of_size = {w: np.array([k for k, i in enumerate(items) if i.window == w]) for w in sizes}
+        items, space, answers, least, of_size, answering = shared.value
         for batch in slices(batches, "places", 1 << 20):
             doc, place, code = _flat(batch)
+            if not len(doc):
+                continue
             bounds = np.searchsorted(doc, np.arange(batch.num_rows + 1))
             use = space.weight[code] > 0
             best: dict[tuple[int, int], tuple] = {}
-            if not use.any():
-                continue
-            for window in sizes:
-                owner, begin, vectors = _windows(doc[use], place[use], code[use], space, window,
-                                                 least[window])
-                cosine = vectors @ space.items[of_size[window]].T
-                for at, k in zip(*np.nonzero(cosine >= settings.min_cosine)):
-                    which, who = int(of_size[window][k]), int(owner[at])
-                    near = _confirm(items[which], answers[which], place[bounds[who]: bounds[who + 1]],
-                                    code[bounds[who]: bounds[who + 1]], int(begin[at]), settings)
-                    if near is not None:
-                        entry = (near[0], float(cosine[at, k]), *near[1:])
-                        best[who, which] = max(best.get((who, which), entry), entry)
+            for window, chosen in of_size.items():
+                stride = window // 4
+                cell, top = _cells(doc, place, stride), int(place.max(initial=0)) // stride + 8
+                start, which = _candidates(doc, place, code, cell, answering[window], chosen)
+                steered = cell[use]
+                enough = np.searchsorted(steered, start + 6) - np.searchsorted(steered, start - 2) >= least[which]
+                start, which = start[enough], which[enough]
+                windows, back = np.unique(start, return_inverse=True)
+                vectors = _vectors(windows, steered, code[use], space)
+                cosine = np.concatenate([np.einsum("ij,ij->i", vectors[back[k: k + 65_536]], space.items[
+                    which[k: k + 65_536]]) for k in range(0, len(start), 65_536)] or [np.zeros(0)])
+                near = np.flatnonzero(cosine >= settings.min_cosine)
+                begin = start % top
+                here = begin < top - 5  # windows that begin before their document begin in the gap of the one before
+                owner = np.where(here, start // top, start // top + 1)
+                begin = np.where(here, begin, begin - top) * stride
+                for at in near.tolist():
+                    which_, who = int(which[at]), int(owner[at])
+                    match = _confirm(items[which_], answers[which_], place[bounds[who]: bounds[who + 1]],
+                                     code[bounds[who]: bounds[who + 1]], int(begin[at]), settings)
+                    if match is not None:
+                        entry = (match[0], float(cosine[at]), *match[1:])
+                        best[who, which_] = max(best.get((who, which_), entry), entry)
             rows, ids = batch.column("row").to_pylist(), batch.column("doc_id").to_pylist()
             found = [(rows[d], ids[d], items[i].item_id, *v) for (d, i), v in sorted(best.items())]
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64(), pa.int64())

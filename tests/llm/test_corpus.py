@@ -113,6 +113,16 @@ def test_signatures_estimate_similarity():
     assert len(set((small[0] >> np.uint64(32)).tolist())) == 64  # one element: every round goes to another slot
 
 
+def test_several_texts_of_one_document_belong_together(make):
+    rnd = random.Random(8)
+    text = lambda: " ".join(f"w{rnd.randrange(10 ** 6)}" for _ in range(120))
+    a, b, c = text(), text(), text()
+    rows = [(1, a), (1, b), (2, b + " more"), (3, a + " other"), (4, c), (4, c), (5, None), (5, c + " end"), (6, "")]
+    found = sorted((r["doc_id"], r["component_id"], r["kept"]) for r in near_duplicates.group(make(rows)).collect())
+    assert found == [(1, 1, True), (1, 1, True), (2, 1, False), (3, 1, False), (4, 4, True), (4, 4, True), (5, 4, False),
+                     (5, 5, True), (6, 6, True)]
+
+
 # ----------------------------------------------------------------------------------------------- suffix dedup
 
 
@@ -222,6 +232,50 @@ def test_planted_passages_are_found_and_clean_text_is_left(spark, make, odd, emp
     assert decontaminate.leaks(spark, make(rows), answered, settings).count() == 0
 
 
+def test_recall_against_every_window(spark, make):
+    """Passages with up to 28 % of their words replaced, common words and hot items among them: whatever a plain search
+    of all windows confirms is found."""
+    rnd = random.Random(21)
+    common = [f"c{k}" for k in range(12)]
+    word = lambda: rnd.choice(common) if rnd.random() < 0.5 else f"v{rnd.randrange(4000)}"
+    items = [[word() for _ in range(rnd.choice([15, 30, 57]))] for _ in range(60)]
+    rows = []
+    for k in range(300):
+        words = [word() for _ in range(rnd.randrange(30, 200))]
+        if k % 2:
+            i = 0 if k % 3 == 0 else rnd.randrange(60)  # a third of the passages are of one item
+            share = rnd.choice([0.0, 0.1, 0.2, 0.28])
+            passage = [w if rnd.random() >= share else word() for w in items[i]]
+            at = rnd.randrange(len(words))
+            words[at:at] = passage
+        rows.append((k, " ".join(words)))
+    benchmark = spark.createDataFrame([(i, " ".join(x)) for i, x in enumerate(items)], "item_id long, text string")
+    settings = decontaminate.Settings()
+    found = {(r["doc_id"], r["item_id"]) for r in decontaminate.leaks(spark, make(rows), benchmark, settings).collect()}
+    count = {}
+    for _, text in rows:
+        for w in set(text.split()):
+            count[w] = count.get(w, 0) + 1
+
+    def plain(text, item):
+        """Any window of the item's length and half of it on either side."""
+        words = text.split()
+        window = 1 << max(3, (len(item) - 1).bit_length())
+        code = {w: k for k, w in enumerate(dict.fromkeys(item))}
+        target = np.array([code[w] for w in item])
+        for at in range(-window // 2, len(words), window // 4):
+            part = words[max(0, at - window // 2): at + window + window // 2]
+            if sum(w in code for w in part) < settings.min_lcs * len(item):
+                continue
+            share = decontaminate.common_subsequence(target, np.array([code.get(w, -1) for w in part]))[0] / len(item)
+            if share >= 0.72:
+                return True
+        return False
+
+    expected = {(k, i) for k, text in rows for i, item in enumerate(items) if plain(text, item)}
+    assert len(expected) > 100 and len(expected - found) <= 0.02 * len(expected)
+
+
 # ----------------------------------------------------------------------------------------------- Markov model
 
 
