@@ -171,12 +171,12 @@ def alert_reasons(features: DataFrame, structuring: DataFrame) -> DataFrame:
         "amount": F.when(_c("amount_zscore") >= 2, text(
             "Amount ", number("amount", 2), ", z-score ", number("amount_zscore", 1), " within the account")),
         "velocity": F.when(_c("is_high_velocity") == 1, text(
-            _c("txn_count_1h").cast("string"), " transactions in last hour, ",
-            _c("txn_count_24h").cast("string"), " in last 24 hours")),
+            "Burst of payments: ", _c("txn_count_1h").cast("string"), " within an hour, ",
+            _c("txn_count_24h").cast("string"), " within a day")),
         "geography": F.when(_c("is_international"), text("International transaction")),
         "time": F.when(_c("is_odd_hour"), text("Transaction at ", F.date_format("txn_datetime", "HH:mm"))),
         "merchant": F.when(_c("is_high_risk_merchant"), text(
-            "High-risk merchant category (MCC ", _c("mcc_code"), " - ", _c("mcc_description"), ")")),
+            "Risky trade of the merchant: ", _c("mcc_description"), ", code ", _c("mcc_code"))),
         "channel": F.when(_c("channel_risk") >= 2, text("Exposed channel (", _c("channel"), ")")),
     }
     signals = sum((r.isNotNull().cast("int") for r in reasons.values()), F.lit(0))

@@ -171,12 +171,12 @@ def _rules() -> dict[str, str]:
           'A large withdrawal follows several small deposits' END,
         CASE WHEN amount_zscore >= 2 THEN 'Amount ' || CAST(CAST(amount AS DECIMAL(18,2)) AS VARCHAR)
           || ', z-score ' || CAST(CAST(amount_zscore AS DECIMAL(18,1)) AS VARCHAR) || ' within the account' END,
-        CASE WHEN is_high_velocity = 1 THEN txn_count_1h || ' transactions in last hour, ' || txn_count_24h
-          || ' in last 24 hours' END,
+        CASE WHEN is_high_velocity = 1 THEN 'Burst of payments: ' || txn_count_1h || ' within an hour, '
+          || txn_count_24h || ' within a day' END,
         CASE WHEN is_international THEN 'International transaction' END,
         CASE WHEN is_odd_hour THEN 'Transaction at ' || strftime(txn_datetime, '%H:%M') END,
-        CASE WHEN is_high_risk_merchant THEN 'High-risk merchant category (MCC ' || mcc_code || ' - '
-          || mcc_description || ')' END,
+        CASE WHEN is_high_risk_merchant THEN 'Risky trade of the merchant: ' || mcc_description || ', code '
+          || mcc_code END,
         CASE WHEN channel_risk >= 2 THEN 'Exposed channel (' || channel || ')' END
       ], lambda x: x IS NOT NULL) AS parts FROM features) WHERE len(parts) > 0"""
     tier = """CASE WHEN fraud_probability >= 0.8 THEN '{0}' WHEN fraud_probability >= 0.6 THEN '{1}'
