@@ -110,7 +110,8 @@ def train(rows: DataFrame, params: Boosting = Boosting()) -> PipelineModel:
     if params.stop_below is not None:
         aside = F.conv(F.substring(_digest(params.seed + 1), 1, 8), 16, 10).cast("long") % 100 < params.held_back_percent
         weighted = weighted.withColumn("held_back", aside)
-        trees = trees.setValidationIndicatorCol("held_back").setValidationTol(params.stop_below)
+        trees.set(trees.validationIndicatorCol, "held_back")
+        trees.set(trees.validationTol, params.stop_below)
     return Pipeline(stages=[assembler, trees]).fit(weighted)
 
 
@@ -155,7 +156,7 @@ def follow(model: PipelineModel, rows: DataFrame) -> DataFrame:
     """``round, log_loss``: the mean logistic loss on the rows (label -1 or 1, twice the margin) after each round, in
     one pass over them."""
     *before, trees = model.stages
-    inputs = rows.withColumn(TARGET, _c(TARGET).cast("double"))
+    inputs = rows.withColumns({TARGET: _c(TARGET).cast("double"), "weight": F.lit(1.0)})
     for stage in before:
         inputs = stage.transform(inputs)
     losses = trees.evaluateEachIteration(inputs)  # a number a round

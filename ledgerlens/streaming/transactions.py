@@ -51,7 +51,7 @@ def enrich(cleaned: DataFrame, silver: Mapping[str, DataFrame], profile: Profile
            hot_keys: Mapping[str, DataFrame] | None = None) -> DataFrame:
     """The enrichment of the batch, with the stream on its transaction side and static lookups.
 
-    Skewed joins are not split at run time on a stream; ``hot_keys`` (see ``hot_keys_of``) splits them by plan.
+    Skewed joins of a stateful stream are not split at run time; ``hot_keys`` (see ``hot_keys_of``) splits them by plan.
     """
     return gold.transactions_enriched({**silver, "transactions": cleaned}, profile, hot_keys=hot_keys)
 

@@ -194,8 +194,10 @@ def test_hot_accounts_are_spread_by_plan_on_a_stream(spark, warehouse):
     assert hot in {r.account_id for r in keys["account_id"].collect()}
     root = shared_folder(spark, "hot")
     skewed.write.parquet(f"{root}/in")
-    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    plans = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in plans}
+    for k, v in plans.items():
+        spark.conf.set(k, v)
     try:
         def hot_rows_by_task(hot_keys):
             out = f"{root}/{'salted' if hot_keys is not None else 'plain'}"
@@ -211,7 +213,8 @@ def test_hot_accounts_are_spread_by_plan_on_a_stream(spark, warehouse):
         stream = transactions.enrich(ingest.follow(spark, f"{root}/in", rows.schema), static, hot_keys=keys)
         assert "_salt" in stream._jdf.queryExecution().analyzed().toString()
     finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        for k, v in old.items():
+            spark.conf.set(k, v)
 
 
 def test_amounts_of_any_size_equal_plain_windows(spark):
