@@ -122,9 +122,10 @@ class PieceModel:
 
 
 class ChunkIds(dict):
-    """Ids of chunks as little-endian unsigned 32-bit bytes, each worked out once a worker process."""
+    """Ids of chunks as little-endian unsigned 32-bit bytes, each worked out once a worker process and kept until there
+    are ``LIMIT`` of them: some 80 MB, which a worker holds beside what later stages need."""
 
-    LIMIT = 2_000_000
+    LIMIT = 400_000
 
     def __init__(self, model: PieceModel):
         super().__init__()
