@@ -3,16 +3,18 @@
 Path-dependent Shapley values (Lundberg et al.), tabulated per leaf as in "Fast TreeSHAP" (Yang, 2021):
 a leaf's contribution depends on a row only through *which* of the features on its path the row
 satisfies, at most ``2^depth`` patterns. Neighbouring leaves of a tree share most of their comparisons, so their tables
-are added up into one of a block, whose pattern is the outcome of all its comparisons: a row takes one lookup a block
-of some four leaves. The tables are built once from the model, their size is bounded by the model's rounds and depth,
-and they are broadcast; a task looks up patterns for a whole Arrow batch.
+are added up into one of a block, whose pattern says between which of the block's cuts each feature of a row lies: a row
+takes one lookup a block of some eight leaves, and one a feature to find the pattern. The tables are built once from the
+model, their size is bounded by the model's rounds and depth, and they are broadcast; a task looks up patterns for a few
+thousand rows at a time.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections import Counter
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
-from math import factorial
+from math import factorial, prod
 
 import numpy as np
 from pyspark.ml import PipelineModel
@@ -103,31 +105,38 @@ def _pattern_table(values: np.ndarray, shares: np.ndarray) -> np.ndarray:
 
 @dataclass(frozen=True)
 class Block:
-    """Leaves looked up together: their distinct comparisons ``x[feature] <= cut`` (cuts as places among the feature's
-    cuts over the whole model), the features they contribute to, and the contributions ``[feature, pattern]``. Bit ``k``
-    of a pattern is the outcome of comparison ``k``."""
+    """Leaves looked up together. A pattern is a number with a digit for each of ``features``: how many of the block's
+    cuts of that feature lie below the row. ``places`` has, a feature, the digit's share of the pattern by the row's
+    place among the feature's cuts over the whole model; ``table`` the contributions ``[feature, pattern]``."""
 
-    comparisons: tuple[tuple[int, int], ...]
     features: tuple[int, ...]
+    places: tuple[np.ndarray, ...]
     table: np.ndarray
 
 
-# Comparisons of a block: 256 patterns. A leaf with more has a block of its own.
-BLOCK_BITS = 8
+# Patterns of a block. A leaf with more has a block of its own.
+BLOCK_PATTERNS = 1024
+# Rows that a task places and looks up together.
+ROWS_AT_ONCE = 4096
 
 
 def _comparisons(leaf: Leaf) -> list[tuple[int, float]]:
     return sorted({(f, x) for f, a, u in zip(leaf.features, leaf.above, leaf.upto) for x in (a, u) if np.isfinite(x)})
 
 
-def grouped(leaves: Sequence[Leaf], bits: int = BLOCK_BITS) -> list[tuple[list[int], list[tuple[int, float]]]]:
-    """Runs of leaves whose comparisons together are no more than ``bits``, with these."""
+def _patterns(compared: Iterable[tuple[int, float]]) -> int:
+    """One more outcome a feature than it has cuts, and all combinations of them."""
+    return prod(n + 1 for n in Counter(f for f, _ in compared).values())
+
+
+def grouped(leaves: Sequence[Leaf], patterns: int = BLOCK_PATTERNS) -> list[tuple[list[int], list[tuple[int, float]]]]:
+    """Runs of leaves whose comparisons together have no more than ``patterns`` outcomes, with these."""
     runs: list[tuple[list[int], list[tuple[int, float]]]] = []
     for k, leaf in enumerate(leaves):
         if not leaf.features:
             continue
         own = set(_comparisons(leaf))
-        if runs and len(own.union(runs[-1][1])) <= bits:
+        if runs and _patterns(own.union(runs[-1][1])) <= patterns:
             runs[-1] = (runs[-1][0] + [k], sorted(own.union(runs[-1][1])))
         else:
             runs.append(([k], sorted(own)))
@@ -153,27 +162,52 @@ def blocks(leaves: Sequence[Leaf], runs: Sequence[tuple[list[int], list[tuple[in
         tables |= dict(zip(same, made))
     found = []
     for members, compared in runs:
-        bit = {c: k for k, c in enumerate(compared)}
-        outcomes = np.arange(1 << len(compared))
-        features = sorted({f for k in members for f in leaves[k].features})
+        features = sorted({f for f, _ in compared})
+        own = {f: [x for g, x in compared if g == f] for f in features}
+        outcomes, size, digits, places = np.arange(_patterns(compared)), 1, [], []
+        for f in features:
+            base = len(own[f]) + 1
+            digits.append(outcomes // size % base)
+            below = np.searchsorted(np.searchsorted(cuts[f], own[f]), np.arange(len(cuts[f]) + 1), "left")
+            places.append(below.astype(np.intp) * size)
+            size *= base
         row = {f: k for k, f in enumerate(features)}
         table = np.zeros((len(features), len(outcomes)))
         for k in members:
             leaf, pattern = leaves[k], np.zeros(len(outcomes), dtype=np.int64)
             for place, (f, low, high) in enumerate(zip(leaf.features, leaf.above, leaf.upto)):
-                satisfied = np.ones(len(outcomes), dtype=np.int64)
+                satisfied = np.ones(len(outcomes), dtype=bool)
                 if np.isfinite(low):
-                    satisfied &= 1 - (outcomes >> bit[f, low] & 1)
+                    satisfied &= digits[row[f]] > own[f].index(low)
                 if np.isfinite(high):
-                    satisfied &= outcomes >> bit[f, high] & 1
-                pattern |= satisfied << place
+                    satisfied &= digits[row[f]] <= own[f].index(high)
+                pattern |= satisfied.astype(np.int64) << place
             for place, f in enumerate(leaf.features):
                 table[row[f]] += tables[k][pattern, place]
-        places = tuple((f, int(np.searchsorted(cuts[f], x))) for f, x in compared)
-        found.append(Block(places, tuple(features), table))
+        found.append(Block(tuple(features), tuple(places), table))
     return found
 
 
+def contributions(inputs: np.ndarray, tables: Sequence[Block], cuts: Sequence[np.ndarray]) -> np.ndarray:
+    """Contributions ``[feature, row]`` of rows ``[row, feature]``."""
+    out = np.zeros(inputs.shape[::-1])
+    for start in range(0, len(inputs), ROWS_AT_ONCE):
+        some = inputs[start:start + ROWS_AT_ONCE].T
+        at = [np.searchsorted(c, x, "left") for c, x in zip(cuts, some)]
+        part = np.zeros(some.shape)
+        pattern, share, value = np.empty(some.shape[1], np.intp), np.empty(some.shape[1], np.intp), np.empty(some.shape[1])
+        for block in tables:
+            pattern[:] = 0
+            for f, places in zip(block.features, block.places):
+                places.take(at[f], out=share, mode="clip")
+                pattern += share
+            for f, row in zip(block.features, block.table):
+                row.take(pattern, out=value, mode="clip")
+                part[f] += value
+        out[:, start:start + ROWS_AT_ONCE] = part
+    return out
+
+
 # Largest lookup tables that are shipped to the tasks: 300 rounds of depth 6 take some 100 MB.
 TABLE_BYTES = 512 << 20
 
@@ -182,40 +216,22 @@ def attribute(spark: SparkSession, rows: DataFrame, features: Sequence[str], lea
               keep: Sequence[str], table_bytes: int = TABLE_BYTES) -> DataFrame:
     """The ``keep`` columns of every row and the contribution of each feature, under its name.
 
-    Rows are placed among the model's distinct cuts once; a block of leaves then takes one comparison of small integers
-    a cut and one lookup. Models whose tables would exceed ``table_bytes`` raise before anything is built."""
+    Rows are placed among the model's distinct cuts once; a block of leaves then takes two small lookups a feature. Models whose tables would exceed ``table_bytes`` raise before anything is built."""
     runs = grouped(leaves)
-    needed = sum(8 * len({f for f, _ in compared}) << len(compared) for _, compared in runs)
+    needed = sum(8 * len({f for f, _ in compared}) * _patterns(compared) for _, compared in runs)
     if needed > table_bytes:
         raise ValueError(f"lookup tables need {needed} bytes, more than table_bytes={table_bytes}: use shallower trees")
     cuts = thresholds(leaves, len(features))
     shared = spark.sparkContext.broadcast((blocks(leaves, runs, cuts), cuts))
     names, kept = list(features), list(keep)
 
-    def contributions(batches):
-        import numpy as np
-
-        tables, cuts = shared.value
+    def attributed(batches):
         for batch in batches:
-            inputs = batch[names].to_numpy(dtype=float).T
-            at = [np.searchsorted(c, x, "left").astype(np.int32) for c, x in zip(cuts, inputs)]
-            out = np.zeros(inputs.shape)
-            for block in tables:
-                outcome = np.empty((len(block.comparisons), inputs.shape[1]), dtype=bool)
-                for k, (f, cut) in enumerate(block.comparisons):
-                    np.less_equal(at[f], cut, out=outcome[k])
-                packed = np.packbits(outcome, axis=0, bitorder="little").astype(np.int64)
-                pattern = packed[0]
-                for k in range(1, len(packed)):
-                    pattern = pattern | packed[k] << 8 * k
-                part = block.table[:, pattern]
-                for k, f in enumerate(block.features):
-                    out[f] += part[k]
             result = batch[kept].copy()
-            for i, name in enumerate(names):
-                result[name] = out[i]
+            for name, values in zip(names, contributions(batch[names].to_numpy(dtype=float), *shared.value)):
+                result[name] = values
             yield result
 
     types = dict(rows.dtypes)
     schema = ", ".join([f"{c} {types[c]}" for c in kept] + [f"{n} double" for n in names])
-    return rows.select(*kept, *[n for n in names if n not in kept]).mapInPandas(contributions, schema)
+    return rows.select(*kept, *[n for n in names if n not in kept]).mapInPandas(attributed, schema)

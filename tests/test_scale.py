@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 
 import __spark_entry__ as entry_point
+from ledgerlens.operators.treeshap import Leaf, grouped
 from ledgerlens.plans import batch, model
 from ledgerlens.session import shared_folder
 from ledgerlens.sources.given_tables import GivenTables
@@ -37,3 +38,12 @@ def test_explanations_of_a_model_wait_for_a_reader(spark, folder):
     assert w.gold("fraud_predictions").count() == w.gold("ml_features").count()
     assert "gold.gold_shap_explanations" not in written()
     assert w.gold("shap_explanations").count() == w.gold("ml_features").count()
+
+
+def test_cuts_of_one_feature_share_a_block():
+    """Between 100 cuts a row has 101 places, not 2^100."""
+    inf = float("inf")
+    bounds = [-inf, *range(100), inf]
+    leaves = [Leaf(float(k), (0,), (low,), (high,), (1 / 101,)) for k, (low, high) in enumerate(zip(bounds, bounds[1:]))]
+    assert [members for members, _ in grouped(leaves)] == [list(range(101))]
+    assert len(grouped(leaves, 20)) > 1
