@@ -67,6 +67,17 @@ def word_hashes(listed: list[str]) -> np.ndarray:
     return pd.util.hash_array(np.array(listed, dtype=object), categorize=False).view(np.int64)
 
 
+def packed(codes: np.ndarray) -> np.ndarray:
+    """Compressed codes: bytes of one weight side by side, so that they take the same little space in every exchange."""
+    planes = codes.astype("<u4").view("u1").reshape(-1, 4).T
+    return np.frombuffer(pa.compress(planes.tobytes(), codec="zstd", asbytes=True), "u1")
+
+
+def unpacked(stored: bytes, count: int) -> np.ndarray:
+    planes = np.frombuffer(pa.decompress(stored, 4 * count, codec="zstd", asbytes=True), "u1").reshape(4, count)
+    return np.ascontiguousarray(planes.T).view("<u4")[:, 0].astype(np.int64)
+
+
 def encode(docs: DataFrame, held_out: Column, settings: Settings) -> DataFrame:
     """One row a chunk: document numbers, fold, lengths, word codes and the hashes of the chunk's words."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
@@ -77,7 +88,9 @@ def encode(docs: DataFrame, held_out: Column, settings: Settings) -> DataFrame:
         chunk = TaskContext.get().partitionId() << 32
         for batch in slices(batches, limit=settings.chunk_bytes):
             found = words(pc.ascii_lower(batch.column("text")))
-            seen = np.unique(found.codes)  # the list holds only words that occur
+            # the list holds only words that occur, frequent ones first, whose codes are small
+            seen, times = np.unique(found.codes, return_counts=True)
+            seen = seen[np.argsort(-times, kind="stable")]
             number = np.zeros(len(found.vocabulary) + 1, dtype=np.int64)
             number[seen] = np.arange(1, len(seen) + 1)
             codes = np.zeros(len(found.codes) + batch.num_rows, dtype=np.int64)  # 0: the end
@@ -85,7 +98,7 @@ def encode(docs: DataFrame, held_out: Column, settings: Settings) -> DataFrame:
             ids = batch.column("doc_id")
             raw = [pc.fill_null(ids, 0).to_numpy().astype("<i8"), np.asarray(ids.is_null()).astype("u1"),
                    np.asarray(batch.column("held_out")).astype("u1"), (found.counts + 1).astype("<u4"),
-                   codes.astype("<u4")]
+                   packed(codes)]
             listed = [END, *(found.vocabulary[k] for k in seen.tolist())]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([chunk]), *(pa.array([x.tobytes()], pa.binary()) for x in (*raw, word_hashes(listed)))],
@@ -106,8 +119,9 @@ class Chunk:
     def of(row: dict) -> Chunk:
         take = lambda name, kind: np.frombuffer(row[name], kind)
         ids, null = take("doc_ids", "<i8").tolist(), take("null_ids", "u1").tolist()
-        return Chunk([None if n else d for d, n in zip(ids, null)], take("held_out", "u1").astype(bool),
-                     take("lengths", "<u4").astype(np.int64), take("codes", "<u4").astype(np.int64))
+        lengths = take("lengths", "<u4").astype(np.int64)
+        return Chunk([None if n else d for d, n in zip(ids, null)], take("held_out", "u1").astype(bool), lengths,
+                     unpacked(row["codes"], int(lengths.sum())))
 
 
 def _rows(batches: Iterable[pa.RecordBatch]) -> Iterator[dict]:
@@ -191,48 +205,63 @@ def _batches(lengths: np.ndarray, at_once: int) -> Iterator[np.ndarray]:
         start = stop
 
 
-def forward(model: Model, starts: np.ndarray, lengths: np.ndarray, classes: np.ndarray,
-            keep: bool = False) -> tuple[np.ndarray, list[np.ndarray], list[np.ndarray], np.ndarray]:
-    """Log-likelihood of each document (natural logarithm) over classes; ``lengths`` falls. With ``keep``, the scaled
-    state probabilities and the scales by step as well."""
-    emit = np.ascontiguousarray(model.emit.T)
-    live = np.searchsorted(-lengths, -np.arange(int(lengths[0])), "left")
-    total = np.zeros(len(lengths))
-    state, states, scales = None, [], []
-    for step, n in enumerate(live.tolist()):
-        out = emit[classes[starts[:n] + step]]
-        state = model.start * out if state is None else (state[:n] @ model.move) * out
-        scale = state.sum(axis=1)
-        state = state / scale[:, None]
-        total[:n] += np.log(scale)
-        if keep:
-            states.append(state)
-            scales.append(scale)
-    return total, states, scales, live
+@dataclass(frozen=True)
+class Steps:
+    """Tokens of some documents, step by step: all first tokens, then all second ones, and so on. ``lengths`` falls, so a
+    step holds the first ``live[step]`` documents, from ``at[step]`` on."""
+
+    classes: np.ndarray
+    live: list[int]
+    at: list[int]
+    document: np.ndarray
+
+    @staticmethod
+    def of(starts: np.ndarray, lengths: np.ndarray, classes: np.ndarray) -> Steps:
+        live = np.searchsorted(-lengths, -np.arange(int(lengths[0])), "left")
+        at = np.cumsum(live) - live
+        document = np.arange(int(live.sum())) - np.repeat(at, live)
+        place = starts[document] + np.repeat(np.arange(len(live)), live)
+        return Steps(classes[place], live.tolist(), at.tolist(), document)
+
+
+def forward(model: Model, starts: np.ndarray, lengths: np.ndarray, classes: np.ndarray) -> tuple[
+        np.ndarray, Steps, np.ndarray, np.ndarray, np.ndarray]:
+    """Log-likelihood of each document (natural logarithm) over classes; ``lengths`` falls. Then the steps and, a column
+    a token of theirs, the scaled state probabilities, the emissions and the scales."""
+    steps = Steps.of(starts, lengths, classes)
+    emitted = model.emit.take(steps.classes, axis=1)
+    states, scales = np.empty_like(emitted), np.empty(emitted.shape[1])
+    onward, first = np.ascontiguousarray(model.move.T), steps.live[0]
+    moved = np.empty((len(model.start), first))
+    moved[:] = model.start[:, None]
+    for n, at in zip(steps.live, steps.at):
+        here, scale = states[:, at:at + n], scales[at:at + n]
+        np.multiply(moved[:, :n], emitted[:, at:at + n], out=here)
+        np.add.reduce(here, axis=0, out=scale)
+        np.divide(here, scale, out=here)
+        np.matmul(onward, here, out=moved[:, :n])
+    return np.bincount(steps.document, weights=np.log(scales), minlength=first), steps, states, emitted, scales
 
 
 def expect(model: Model, starts: np.ndarray, lengths: np.ndarray, classes: np.ndarray,
            counts: tuple[np.ndarray, np.ndarray, np.ndarray]) -> None:
     """Add the expected starts, moves and emissions of some documents to ``counts``."""
     start, move, emit = counts
-    _, states, scales, live = forward(model, starts, lengths, classes, keep=True)
-    emission = np.ascontiguousarray(model.emit.T)
-    back = np.ones((0, len(model.start)))
-    gammas, seen = [], []
-    for step in range(len(live) - 1, -1, -1):
-        n = int(live[step])
-        if len(back) < n:  # documents that end here
-            back = np.concatenate([back, np.ones((n - len(back), back.shape[1]))])
-        gammas.append(states[step] * back)
-        seen.append(classes[starts[:n] + step])
+    _, steps, states, ahead, scales = forward(model, starts, lengths, classes)
+    np.divide(ahead, scales, out=ahead)
+    back = np.ones((len(start), steps.live[0]))  # documents that end at a step join with 1
+    for step in range(len(steps.live) - 1, -1, -1):
+        n, at = steps.live[step], steps.at[step]
+        here, known = states[:, at:at + n], back[:, :n]
+        np.multiply(here, known, out=here)  # from now on the probability given the whole text
         if step:
-            ahead = emission[seen[-1]] * back / scales[step][:, None]
-            move += states[step - 1][:n].T @ ahead
-            back = ahead @ model.move.T
-    start += gammas[-1].sum(axis=0)
-    gamma, seen = np.concatenate(gammas), np.concatenate(seen)
+            before, coming = steps.at[step - 1], ahead[:, at:at + n]
+            np.multiply(coming, known, out=coming)
+            move += states[:, before:before + n] @ coming.T
+            np.matmul(model.move, coming, out=known)
+    start += states[:, :steps.live[0]].sum(axis=1)
     for k in range(len(start)):
-        emit[k] += np.bincount(seen, weights=gamma[:, k], minlength=emit.shape[1])
+        emit[k] += np.bincount(steps.classes, weights=states[k], minlength=emit.shape[1])
 
 
 def _normalised(start: np.ndarray, move: np.ndarray, emit: np.ndarray, heads: np.ndarray) -> Model:
