@@ -11,7 +11,8 @@ the word counts, which are not, live in a table that is joined.
 3. ``ready``: counts of the words of most chunks are shipped, those of words of one chunk are known there, the others
    are joined and gathered by chunk; a chunk's list is bounded by the chunk, whatever the size of the corpus.
 4. ``train``: Baum-Welch. Every iteration each task runs scaled forward and backward recursions over its training
-   documents and sends expected counts by cell; Spark adds them up and the next tables go back to the tasks.
+   documents and sends expected counts by cell; Spark adds them up and the next tables go back to the tasks. Documents of
+   several chunks are taken together, by length, so that a step of the recursions serves many of them.
 5. ``score``: the scaled forward recursion gives the exact log-likelihood of every document.
 
 Each text ends with one ``end`` token. A null text counts as empty: one token. Rows with equal or null ``doc_id`` are
@@ -43,7 +44,8 @@ class Settings:
     tails: int = 1024
     iterations: int = 6
     chunk_bytes: int = 4 << 20
-    at_once: int = 1 << 18  # tokens whose state probabilities a task holds
+    at_once: int = 1 << 19  # tokens whose state probabilities a task holds
+    together: int = 1 << 21  # tokens of the chunks whose documents a task takes together
     frequent: int = 1 << 16  # words whose counts are shipped to the tasks, 16 bytes each
 
 
@@ -130,6 +132,28 @@ def _rows(batches: Iterable[pa.RecordBatch]) -> Iterator[dict]:
             yield batch.slice(k, 1).to_pylist()[0]
 
 
+def _together(batches: Iterable[pa.RecordBatch], settings: Settings) -> Iterator[tuple[
+        list[tuple[dict, Chunk]], np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Neighbouring chunks of about ``together`` tokens, and of all their documents fold, starts, lengths and classes."""
+    held: list[tuple[dict, Chunk]] = []
+    coded: list[np.ndarray] = []
+
+    def joined():
+        lengths = np.concatenate([chunk.lengths for _, chunk in held])
+        folds = np.concatenate([chunk.held_out for _, chunk in held])
+        return held, folds, np.cumsum(lengths) - lengths, lengths, np.concatenate(coded)
+
+    for row in _rows(batches):
+        chunk = Chunk.of(row)
+        held.append((row, chunk))
+        coded.append(np.frombuffer(row["class_of"], "<u4")[chunk.codes])
+        if sum(map(len, coded)) >= settings.together:
+            yield joined()
+            held, coded = [], []
+    if held:
+        yield joined()
+
+
 def _learned(row: dict) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of a chunk's words and their counts in its training documents."""
     chunk, hashes = Chunk.of(row), np.frombuffer(row["hashes"], "<i8")
@@ -221,7 +245,7 @@ class Steps:
         at = np.cumsum(live) - live
         document = np.arange(int(live.sum())) - np.repeat(at, live)
         place = starts[document] + np.repeat(np.arange(len(live)), live)
-        return Steps(classes[place], live.tolist(), at.tolist(), document)
+        return Steps(classes[place].astype(np.int64), live.tolist(), at.tolist(), document)
 
 
 def forward(model: Model, starts: np.ndarray, lengths: np.ndarray, classes: np.ndarray) -> tuple[
@@ -291,13 +315,10 @@ def iterate(chunks: DataFrame, model: Model, settings: Settings) -> Model:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         counts = (np.zeros(states), np.zeros((states, states)), np.zeros((states, size)))
-        for row in _rows(batches):
-            chunk = Chunk.of(row)
-            classes = np.frombuffer(row["class_of"], "<u4").astype(np.int64)[chunk.codes]
-            starts = np.cumsum(chunk.lengths) - chunk.lengths
-            learn = np.flatnonzero(~chunk.held_out)
-            for some in _batches(chunk.lengths[learn], settings.at_once):
-                expect(model, starts[learn[some]], chunk.lengths[learn[some]], classes, counts)
+        for _, folds, starts, lengths, classes in _together(batches, settings):
+            learn = np.flatnonzero(~folds)
+            for some in _batches(lengths[learn], settings.at_once):
+                expect(model, starts[learn[some]], lengths[learn[some]], classes, counts)
         flat = np.concatenate([x.reshape(-1) for x in counts])
         cell = np.flatnonzero(flat)
         yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(flat[cell])], ["cell", "value"])
@@ -363,23 +384,23 @@ def score(chunks: DataFrame, model: Model, figures: dict[str, np.ndarray | int],
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, figures = shared.value
         tokens, distinct = figures["tokens"], figures["distinct"]
-        for row in _rows(batches):
-            chunk = Chunk.of(row)
-            class_of = np.frombuffer(row["class_of"], "<u4").astype(np.int64)
-            count = np.frombuffer(row["count_of"], "<i8").astype(np.float64)
-            base = np.log10((count + 1) / (tokens + (distinct + 1)))
-            # a word given its class: certain for a class of one word, else by count with a share for unseen words
-            inside = np.log10((count + 1) / (figures["class_tokens"] + figures["class_distinct"] + 1)[class_of])
-            inside[class_of < len(model.heads)] = 0.0
-            starts = np.cumsum(chunk.lengths) - chunk.lengths
-            total = lambda x: np.add.reduceat(x[chunk.codes], starts)
-            result, classes = total(inside), class_of[chunk.codes]
-            for some in _batches(chunk.lengths, settings.at_once):
-                found = forward(model, starts[some], chunk.lengths[some], classes)[0]
-                result[some] += found / np.log(10)
-            columns = [chunk.doc_ids, chunk.held_out, chunk.lengths, total((count > 0).astype(np.int64)),
-                       np.full(len(starts), tokens), total(base), result]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
+        for chunks, _, starts, lengths, classes in _together(batches, settings):
+            states = np.empty(len(starts))
+            for some in _batches(lengths, settings.at_once):
+                states[some] = forward(model, starts[some], lengths[some], classes)[0] / np.log(10)
+            ends = np.cumsum([len(chunk.lengths) for _, chunk in chunks])[:-1]
+            for (row, chunk), by_state in zip(chunks, np.split(states, ends)):
+                class_of = np.frombuffer(row["class_of"], "<u4").astype(np.int64)
+                count = np.frombuffer(row["count_of"], "<i8").astype(np.float64)
+                base = np.log10((count + 1) / (tokens + (distinct + 1)))
+                # a word given its class: certain for a class of one word, else by count with a share for unseen words
+                inside = np.log10((count + 1) / (figures["class_tokens"] + figures["class_distinct"] + 1)[class_of])
+                inside[class_of < len(model.heads)] = 0.0
+                begins = np.cumsum(chunk.lengths) - chunk.lengths
+                total = lambda x: np.add.reduceat(x[chunk.codes], begins)
+                columns = [chunk.doc_ids, chunk.held_out, chunk.lengths, total((count > 0).astype(np.int64)),
+                           np.full(len(begins), tokens), total(base), total(inside) + by_state]
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
 
     return chunks.select("doc_ids", "null_ids", "held_out", "lengths", "codes", "class_of", "count_of").mapInArrow(
         run, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, "
