@@ -29,7 +29,7 @@ from collections import Counter
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from itertools import accumulate, chain
-from typing import NamedTuple
+from operator import attrgetter
 
 import numpy as np
 import pyarrow as pa
@@ -45,6 +45,7 @@ WHITE = r"[\s\p{Z}\x0b\x1c-\x1f\x85]"
 NOT_ALONE = f"^ |  |{WHITE} (?:{WHITE}|$)"
 # Pairs whose counts are shipped to the tasks: 12 bytes each.
 FREQUENT = 1 << 18
+PIECE = attrgetter("id", "begin", "end")
 LEVELS = 8  # steps of the counts' logarithm that the frequent pairs are chosen by
 
 
@@ -56,23 +57,20 @@ def byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in printable} | {chr(256 + k): b for k, b in enumerate(rest)}
 
 
-class Chunk(NamedTuple):
-    """What one chunk adds to a text: token and group numbers, links, pair codes with their links, groups as text."""
-
-    fits: bool
-    sizes: tuple[int, int, int, int]  # tokens of A, tokens of B, groups, links
-    codes: bytes
-    links: bytes
-    groups: str
+# What one chunk adds to a text: whether its tokens give it back; numbers of tokens of A, tokens of B, groups and links;
+# pair codes, their links, groups as text. A plain tuple of plain values, which the garbage collector does not walk.
+Chunk = tuple[bool, tuple[int, int, int, int], bytes, bytes, str]
 
 
 class Aligner(dict):
-    """Aligned chunks of one pair of tokenizers, each worked out once a worker process."""
+    """Aligned chunks of one pair of tokenizers, worked out once a worker process. Beyond ``LIMIT`` those that only one
+    slice of texts has had leave."""
 
     LIMIT, LONGEST = 300_000, 64
 
     def __init__(self, byte_level: str, piece_model: str):
         super().__init__()
+        self.again: set[str] = set()
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         import sentencepiece
         from tokenizers import Tokenizer
@@ -109,7 +107,7 @@ class Aligner(dict):
         take for an empty text."""
         if not text:
             return [(self.b.piece_to_id("▁"), 0, 0)]
-        return [(p.id, p.begin, p.end) for p in self.b.encode(text, return_type="proto").pieces]
+        return list(map(PIECE, self.b.encode(text, return_type="proto").pieces))
 
     def groups(self, text: str) -> list[tuple[list[int], list[int]]] | None:
         """The groups of a text that begins with a space; None if its tokens do not give it back."""
@@ -144,7 +142,7 @@ class Aligner(dict):
     def __missing__(self, text: str) -> Chunk:
         groups = self.groups(text) if text else []
         if groups is None:
-            made = Chunk(False, (0, 0, 0, 0), b"", b"", "")
+            made = (False, (0, 0, 0, 0), b"", b"", "")
         else:
             base, links = len(self.b_bytes), Counter()
             for a, b in groups:
@@ -155,7 +153,7 @@ class Aligner(dict):
                     for x, n in Counter(a).items():
                         for y, m in in_b.items():
                             links[x * base + y] += n * m
-            made = Chunk(
+            made = (
                 True, (sum(len(a) for a, _ in groups), sum(len(b) for _, b in groups), len(groups), links.total()),
                 np.fromiter(links, f"<u{self.width}", len(links)).tobytes(),
                 np.fromiter(links.values(), "<u8", len(links)).tobytes(),
@@ -164,6 +162,14 @@ class Aligner(dict):
             self[text] = made
         return made
 
+    def make_room(self) -> None:
+        """Beyond the limit, keep the chunks that came again, or none if they are too many."""
+        if len(self) > self.LIMIT:
+            kept = {c: self[c] for c in self.again} if 3 * len(self.again) <= 2 * self.LIMIT else {}
+            self.clear()
+            self.update(kept)
+            self.again.clear()
+
     def learn(self, chunks: list[str], at_once: int = 2000) -> None:
         """Align new chunks many at a time, as one text: it is cut before each of them. Chunks that end with white
         space, and runs for which offsets and bytes disagree, are left to the plain way."""
@@ -224,20 +230,20 @@ class Aligner(dict):
         raw, ones = codes.tobytes(), np.ones(len(codes), "<u8").tobytes()
         w0 = r0 = 0
         for chunk, n, w1, r1 in zip(chunks, numbers, (ends[0] + ends[1]).tolist(), (ends[3] * self.width).tolist()):
-            self[chunk] = Chunk(True, n, raw[r0:r1], ones[:8 * n[3]], "".join(words[w0:w1])[:-1])
+            self[chunk] = (True, n, raw[r0:r1], ones[:8 * n[3]], "".join(words[w0:w1])[:-1])
             w0, r0 = w1, r1
 
     def of(self, texts: pa.Array) -> tuple[np.ndarray, list[str], np.ndarray, np.ndarray, np.ndarray]:
         """``sizes, groups, counts, codes, links``: four numbers and the groups of each text, the number of its
         distinct pairs, and these with their links, sorted, one text after the other."""
-        if len(self) > self.LIMIT:
-            self.clear()
+        self.make_room()
         filled = pc.greater(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(bool)
         hard = filled & (~np.bool_(self.by_chunk)
                          | pc.match_substring_regex(texts, NOT_ALONE).to_numpy(zero_copy_only=False).astype(bool))
         found = words(pc.if_else(pa.array(hard), pa.scalar(""), texts), lambda x: pc.split_pattern(x, " "),
                       keep_empty=True)
         wanted = [" " + w for w in found.vocabulary]
+        self.again.update(filter(self.__contains__, wanted))
         if self.by_chunk:
             self.learn([c for c in wanted if len(c) <= self.LONGEST])
         chunks = [self[c] for c in wanted]
@@ -252,16 +258,17 @@ class Aligner(dict):
         rows, codes = np.concatenate(rows), np.concatenate(codes)
         order = np.argsort(rows, kind="stable")
         rows, codes = rows[order], codes[order]
-        fits = np.array([c.fits for c in chunks], dtype=bool)
+        fits, numbers, pairs, times, parts = zip(*chunks) if chunks else [()] * 5
+        fits = np.array(fits, dtype=bool)
         bad = np.bincount(rows, weights=~fits[codes], minlength=len(texts)) > 0
         rows, codes = rows[~bad[rows]], codes[~bad[rows]]
         sizes = np.zeros((len(texts), 4), dtype=np.int64)
-        np.add.at(sizes, rows, np.array([c.sizes for c in chunks], dtype=np.int64).reshape(-1, 4)[codes])
-        parts = np.array([c.groups for c in chunks], dtype=object)[codes].tolist()
+        np.add.at(sizes, rows, np.array(numbers, dtype=np.int64).reshape(-1, 4)[codes])
+        parts = np.array(parts, dtype=object)[codes].tolist()
         stops = np.cumsum(np.bincount(rows, minlength=len(texts))).tolist()
         groups = [";".join(parts[a:b]) for a, b in zip([0, *stops], stops)]
-        pairs, each = spread(codes, [c.codes for c in chunks], self.width)
-        times, _ = spread(codes, [c.links for c in chunks], 8)
+        pairs, each = spread(codes, pairs, self.width)
+        times, _ = spread(codes, times, 8)
         base = len(self.a_bytes) * len(self.b_bytes)
         keys, back = np.unique(np.repeat(rows, each) * base + pairs.astype(np.int64), return_inverse=True)
         links = np.zeros(len(keys), dtype=np.int64)

@@ -77,6 +77,19 @@ def test_groups_equal_cuts_by_bytes(plain, by_chunk):
                             sum(len(a) * len(b) for a, b in expected)]
 
 
+def test_chunks_that_come_again_stay(monkeypatch):
+    """A full store of chunks is not emptied: what came again is not aligned anew."""
+    found, asked = alignment.Aligner(A, B), []
+    found.LIMIT = 80
+    real = found._learn_run
+    monkeypatch.setattr(found, "_learn_run", lambda chunks: (asked.append(chunks), real(chunks)))
+    common = [f"word{k}" for k in range(10)]
+    results = [found.of(pa.array([" ".join(common + [f"rare{k}x{n}" for n in range(25)])]))[1] for k in range(6)]
+    learned = [c for run in asked for c in run]
+    assert all(learned.count(f" {w}") == 1 for w in common) and learned.count(" rare5x0") == 1
+    assert len(found) < 100 and all(len(r[0].split(";")) >= 35 for r in results)
+
+
 def test_disagreeing_offsets_are_recut_by_bytes(plain, monkeypatch):
     found = alignment.Aligner(A, B)
     real = found._pieces
