@@ -17,6 +17,7 @@ one row a symbol of the vocabulary, which is why it may be collected and shipped
 
 from __future__ import annotations
 
+import operator
 import struct
 import unicodedata
 import zlib
@@ -43,41 +44,70 @@ HEADER = struct.Struct("<4sIIIIQQIII")  # magic, table check, lanes, interval, d
 
 
 class ChunkTokens(dict):
-    """Token ids, as little-endian unsigned 32-bit bytes, of chunks without white space.
+    """Token ids, as little-endian unsigned 32-bit bytes, of chunks without ASCII white space.
 
     For tokenizers that lower-case, drop white space and never join pre-tokens across it, the ids of a text are those
     of its white-space chunks one after the other. Chunks repeat, so each is encoded once and kept; texts for which
     the shortcut does not hold are encoded whole.
+
+    A worker holds the store beside what later stages need, so when there are ``LIMIT`` chunks they become the older
+    half of the store, and those of the half before that did not come again are forgotten: some 120 MB for both.
     """
 
-    LIMIT = 2_000_000
+    LIMIT = 300_000
     TAIL = ".,!?;:#*$%&|<>()"
+    PLAIN = "^[a-z\u00df-\u00f6\u00f8-\u00ff]+$"  # lower-case letters that no normalizer touches
 
     def __init__(self, tokenizer):
         super().__init__()
-        self._tokenizer = tokenizer
+        self._tokenizer, self._older = tokenizer, {}
         suffix = getattr(tokenizer.model, "end_of_word_suffix", None)
         size = tokenizer.get_vocab_size() if suffix else 0
         self._closing = np.array([tokenizer.id_to_token(k).endswith(suffix) for k in range(size)], dtype=bool)
+        self._lean, self._bytes = self._without_rules(tokenizer)
+
+    @staticmethod
+    def _without_rules(tokenizer):
+        """The tokenizer for plain words between spaces, without the normalizer and the splits that leave those as they
+        are, and how their letters are written for it. The tokenizer itself if it treats a sample of such words in
+        another way."""
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
+
+        lean, level = Tokenizer.from_str(tokenizer.to_str()), pre_tokenizers.ByteLevel(False, use_regex=False)
+        lean.normalizer, lean.pre_tokenizer = normalizers.Sequence([]), pre_tokenizers.WhitespaceSplit()
+        letters = [chr(k) for k in (*range(0x61, 0x7b), *range(0xdf, 0x100)) if k != 0xf7]
+        written = {c: level.pre_tokenize_str(c)[0][0] for c in letters if not c.isascii()}
+        sample = " ".join(a + b for a in letters for b in letters)
+        same = (tokenizer.encode(sample, add_special_tokens=False).ids
+                == lean.encode(_replaced(sample, written), add_special_tokens=False).ids)
+        return (lean, written) if same else (tokenizer, {})
 
     def of(self, texts: pa.Array, close: bytes = b"") -> pa.Array:
         """Id strings of the texts, each followed by ``close``."""
         if len(self) > self.LIMIT:
+            self._older = dict(self)
             self.clear()
         whole = self._whole(texts)
         easy = texts if whole is None else pc.if_else(pa.array(whole), pa.scalar(""), texts)
-        found = words(pc.utf8_lower(easy), pc.utf8_split_whitespace)
-        self._learn([w for w in found.vocabulary if w not in self])
-        values = [*map(self.__getitem__, found.vocabulary), close]
+        found = words(pc.utf8_lower(easy))
+        values = list(map(self.get, found.vocabulary))
+        missing = [k for k, value in enumerate(values) if value is None]
+        if missing:
+            chunks = [found.vocabulary[k] for k in missing]
+            self._learn(chunks)
+            for k, ids in zip(missing, map(self.__getitem__, chunks)):
+                values[k] = ids
         # one more code after the words of each text, for the close
+        values.append(close)
         codes = np.full(len(found.codes) + len(texts), len(values) - 1, dtype=np.int64)
         codes[np.arange(len(found.codes)) + found.rows] = found.codes
         items, each = spread(codes, values, 4)
         ends = np.cumsum(each)[np.cumsum(found.counts + 1) - 1] if len(texts) else each
         out = binaries(items, np.diff(ends, prepend=0))
         if whole is not None:
-            hard = iter(self._encode(texts.filter(pa.array(whole)).to_pylist()))
-            out = pa.array([next(hard) + close if w else x for w, x in zip(whole, out.to_pylist())], pa.binary())
+            hard = [ids + close for ids in self._encode(texts.filter(pa.array(whole)).to_pylist())]
+            places = np.where(whole, len(texts) + np.cumsum(whole) - 1, np.arange(len(texts)))
+            out = pa.concat_arrays([out, pa.array(hard, pa.binary())]).take(pa.array(places))
         return out
 
     @staticmethod
@@ -90,27 +120,43 @@ class ChunkTokens(dict):
         return hard if hard.any() else None
 
     def _learn(self, chunks: list[str]) -> None:
-        """Closing punctuation after a letter or digit is a pre-token of its own, so it is looked up apart."""
-        parts = {}
-        for chunk in chunks:
-            core = chunk.rstrip(self.TAIL)
-            cut = len(core) if core and core[-1].isalnum() else len(chunk)
-            parts[chunk] = (chunk[:cut], chunk[cut:])
-        wanted = [w for w in {w for pair in parts.values() for w in pair} if w and w not in self]
-        self._learn_words([w for w in wanted if w.isalpha()])
-        wanted = [w for w in wanted if w not in self]
-        self.update(zip(wanted, self._encode(wanted)))
-        self[""] = b""
-        for chunk, (core, tail) in parts.items():
-            if tail:
-                self[chunk] = self[core] + self[tail]
-
-    def _learn_words(self, words: list[str], at_once: int = 1000) -> None:
-        """Words of letters alone are one pre-token each, so many are encoded as one text and told apart by the tokens
-        that end a word. Where the number of ends does not agree, the words are left to the plain way."""
-        for begin in range(0, len(words), at_once):
-            some = words[begin: begin + at_once]
-            ids = np.array(self._tokenizer.encode(" ".join(some), add_special_tokens=False).ids, dtype="<u4")
+        """Chunks of the older half move up. Closing punctuation after a letter or digit is a pre-token of its own, so
+        it is looked up apart."""
+        if self._older:
+            known = list(map(self._older.get, chunks))
+            self.update((w, ids) for w, ids in zip(chunks, known) if ids is not None)
+            chunks = [w for w, ids in zip(chunks, known) if ids is None]
+        column = pa.array(chunks, pa.string())
+        cores = pc.utf8_rtrim(column, characters=self.TAIL)
+        # a core may end in a digit or letter only
+        apart = pc.and_(pc.match_substring_regex(cores, "[\\pL\\pN]$"), pc.not_equal(cores, column))
+        ends, cores = column.filter(apart), cores.filter(apart)
+        ends, cores = _strings(ends), _strings(cores)
+        tails = [w[len(core):] for w, core in zip(ends, cores)]
+        wanted = {*_strings(column.filter(pc.invert(apart))), *cores, *tails}
+        self._learn_words(list(wanted.difference(self)))
+        self.update(zip(ends, map(operator.add, map(self.__getitem__, cores), map(self.__getitem__, tails))))
+
+    def _learn_words(self, wanted: list[str]) -> None:
+        """Words of letters alone are one pre-token each, so many are encoded as one text."""
+        column = pa.array(wanted, pa.string())
+        simple = pc.match_substring_regex(column, self.PLAIN)
+        plain = column.filter(simple)
+        ascii_only = pc.string_is_ascii(plain)
+        self._learn_joined(self._lean, _strings(plain.filter(ascii_only)))
+        self._learn_joined(self._lean, _strings(plain.filter(pc.invert(ascii_only))), self._bytes)
+        others = _strings(column.filter(pc.invert(simple)))
+        self._learn_joined(self._tokenizer, [w for w in others if w.isalpha()])
+        others = [w for w in wanted if w not in self]
+        self.update(zip(others, self._encode(others)))
+
+    def _learn_joined(self, tokenizer, wanted: list[str], written: dict | None = None, at_once: int = 5000) -> None:
+        """Words of one text are told apart by the tokens that end a word. Where the number of ends does not agree, the
+        words are left to the plain way."""
+        for begin in range(0, len(wanted), at_once):
+            some = wanted[begin: begin + at_once]
+            (found,) = tokenizer.encode_batch_fast([_replaced(" ".join(some), written or {})], add_special_tokens=False)
+            ids = np.array(found.ids, dtype="<u4")
             ends = np.flatnonzero(self._closing[ids]) + 1 if len(self._closing) else ids[:0]
             if len(ends) == len(some):
                 raw, stops = ids.tobytes(), (4 * ends).tolist()
@@ -121,6 +167,17 @@ class ChunkTokens(dict):
         return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
 
 
+def _replaced(text: str, written: dict[str, str]) -> str:
+    """The text with its characters written in another way; none of them occurs in what another one becomes."""
+    for character, other in written.items():
+        text = text.replace(character, other)
+    return text
+
+
+def _strings(column: pa.Array) -> list[str]:
+    return column.to_numpy(zero_copy_only=False).tolist()
+
+
 @lru_cache(maxsize=2)
 def chunk_tokens(path: str) -> ChunkTokens:
     """One cache a worker process and vocabulary file. Texts are spread over tasks by Spark, so one thread is right."""

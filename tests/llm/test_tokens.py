@@ -61,6 +61,24 @@ def test_word_tokens_equal_the_library():
         library.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+def test_the_chunk_store_stays_small_and_keeps_what_comes_again(monkeypatch):
+    library = Tokenizer.from_file(WORDS)
+    store = token_store.ChunkTokens(library)
+    monkeypatch.setattr(store, "LIMIT", 200, raising=False)
+    learned = []
+    learn = store._learn_words
+    monkeypatch.setattr(store, "_learn_words", lambda words, *rest: (learned.extend(words), learn(words, *rest))[1])
+    for k in range(12):
+        rare = noise("abcdefghijklé\xa0", 150, 9, seed=k)
+        texts = ["the cat, été naïve. ñandú 12! " + w for w in rare]
+        found = store.of(pa.array(texts)).to_pylist()
+        assert [np.frombuffer(x, "<u4").tolist() for x in found] == [
+            library.encode(t, add_special_tokens=False).ids for t in texts]
+        assert len(store) + len(store._older) <= 2 * (200 + 170)
+    assert learned.count("cat") == learned.count("naïve") == 1
+    assert 2 * token_store.ChunkTokens.LIMIT <= 600_000  # entries of some 200 bytes, in each of a machine's workers
+
+
 @pytest.mark.parametrize("sizes", [[], [0], [1], [64], [65, 0, 1000], [5000, 4097, 63, 64, 1]])
 def test_blocks_decode_to_what_was_encoded(sizes):
     rng = np.random.default_rng(3)
