@@ -8,40 +8,50 @@ or one list of inner groups; their sizes follow from the levels chosen, not from
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
 _GROUP = "_group"  # the columns of a group as one struct: never NULL itself, NULL fields are equal
 
 
-def running_totals(df: DataFrame, keys: Sequence[str], levels: Sequence[str], measures: Sequence[str],
-                   inclusive: bool = True) -> DataFrame:
+def running_totals(df: DataFrame, keys: Sequence[str], levels: Sequence[str],
+                   measures: Sequence[str] | Mapping[str, Column], inclusive: bool = True) -> DataFrame:
     """Replace each measure by its running total along ``levels`` within ``keys``.
 
     Inclusive totals take in all peers, the rows equal in all levels. Exclusive ones stop before the
     row and need rows without peers. Measures must be exact (integers, decimals), so that totals do
     not depend on the order in which they are formed.
 
-    The window and the join with the carried-in totals share one partitioning by group.
+    The window and the join with the carried-in totals share one partitioning by group. A mapping gives measures as
+    expressions of the other columns, which must not be NULL; they are formed where the rows have moved to, so that the
+    rows move without them, and the columns that start with ``_`` end there.
     """
     *outer, last = levels
     group = [*keys, *outer]
-    grouped = df.withColumn(_GROUP, F.struct(*group))
+    kept = [c for c in df.columns if c not in measures]
+    grouped = df.withColumn(_GROUP, F.struct(*group)).drop(*group)
+    per_group = grouped.groupBy(_GROUP)
+    if isinstance(measures, Mapping):
+        kept = [c for c in kept if not c.startswith("_")]
+        per_group = per_group.agg(*[F.sum(c).alias(m) for m, c in measures.items()])
+        grouped = grouped.repartition(_GROUP).select(
+            _GROUP, *[c for c in kept if c not in group], *[c.alias(m) for m, c in measures.items()])
+    else:
+        per_group = per_group.agg(*[F.sum(m).alias(m) for m in measures])
     order = Window.partitionBy(_GROUP).orderBy(last)
     if inclusive:
         frame = order.rangeBetween(Window.unboundedPreceding, Window.currentRow)
     else:
         frame = order.rowsBetween(Window.unboundedPreceding, -1)
     local = grouped.withColumns({m: F.coalesce(F.sum(m).over(frame), F.lit(0)) for m in measures})
+    kept = [f"{_GROUP}.{c}" if c in group else c for c in kept]
     if not outer:
-        return local.drop(_GROUP)
-    per_group = grouped.groupBy(_GROUP).agg(*[F.sum(m).alias(m) for m in measures])
-    before = running_totals(per_group.select(f"{_GROUP}.*", *measures), keys, outer, measures, inclusive=False)
+        return local.select(*kept, *measures)
+    before = running_totals(per_group.select(f"{_GROUP}.*", *measures), keys, outer, list(measures), inclusive=False)
     before = before.select(F.struct(*group).alias(_GROUP), *[F.col(m).alias(f"_before_{m}") for m in measures])
-    kept = [c for c in df.columns if c not in measures]
     return local.join(before, _GROUP, "left").selectExpr(
         *kept, *[f"{m} + coalesce(_before_{m}, 0) as {m}" for m in measures])
 

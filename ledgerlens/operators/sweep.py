@@ -39,19 +39,26 @@ class TrailingDistinct:
     seconds: int
 
 
-def _additive_moves(df: DataFrame, key: str, second: str, frames: Mapping[str, Trailing]) -> DataFrame:
+def _additive_moves(df: DataFrame, key: str, second: str,
+                    frames: Mapping[str, Trailing]) -> tuple[DataFrame, dict[str, Column]]:
+    """An entry and an exit a length of frames for each second, with each value once however many frames it is in, and
+    what a move adds to each frame: ``_shift`` tells an entry (0) and the frames that an exit leaves."""
+    values = {id(t.value): t.value for t in frames.values()}
+    names = {k: f"_value_{n}" for n, k in enumerate(values)}
     per_second = df.groupBy(F.col(key), F.col(second).alias("at")).agg(
-        *[F.sum(t.value).alias(name) for name, t in frames.items()])
+        F.count(F.lit(1)).alias("_rows"), *[F.sum(v).alias(names[k]) for k, v in values.items()])
 
-    def step(shift: int, sign: str, active: set[str]) -> str:
-        parts = ", ".join(f"'{n}', {sign if n in active else '0 * '}{n}" for n in frames)
-        return f"named_struct('shift', {shift}L, {parts})"
+    def step(shift: int, sign: str, active: set[int]) -> str:
+        parts = "".join(f", '{n}', {sign if k in active else '0 * '}{n}" for k, n in names.items())
+        return f"named_struct('_shift', {shift}L{parts})"
 
     lengths = sorted({t.seconds for t in frames.values()})
-    steps = [step(0, "", set(frames))] + [
-        step(length + 1, "-", {n for n, t in frames.items() if t.seconds == length}) for length in lengths]
-    return per_second.selectExpr(key, "at", f"inline(array({', '.join(steps)}))").selectExpr(
-        key, "at + shift as at", "shift = 0 as is_row", *frames)
+    steps = [step(0, "", set(values))] + [
+        step(length + 1, "-", {id(t.value) for t in frames.values() if t.seconds == length}) for length in lengths]
+    moves = per_second.selectExpr(key, "at", f"inline(array({', '.join(steps)}))").withColumn(
+        "at", F.col("at") + F.col("_shift"))
+    return moves, {n: F.coalesce(F.when(F.col("_shift").isin(0, t.seconds + 1), F.col(names[id(t.value)])), F.lit(0))
+                   for n, t in frames.items()}
 
 
 def _distinct_moves(df: DataFrame, key: str, second: str, name: str, frame: TrailingDistinct) -> DataFrame:
@@ -78,7 +85,7 @@ def _distinct_moves(df: DataFrame, key: str, second: str, name: str, frame: Trai
                                          F.lit(-1).cast("long").alias(name)))))
     return (
         seen.withColumns({"enters": enters, "leaves": leaves}).select(key, F.explode(moves).alias("m"))
-        .select(key, F.col("m.at").alias("at"), F.lit(False).alias("is_row"), F.col(f"m.{name}").alias(name))
+        .select(key, F.col("m.at").alias("at"), F.lit(-1).cast("long").alias("_shift"), F.col(f"m.{name}").alias(f"_{name}"))
     )
 
 
@@ -91,14 +98,14 @@ def trailing_frames(df: DataFrame, key: str, second: str,
         for n, f in frames.items()]).withColumn(second, F.lit(None).cast(df.schema[second].dataType))
     df = df.where(F.col(second).isNotNull())
     sums = {n: f for n, f in frames.items() if isinstance(f, Trailing)}
-    moves = _additive_moves(df, key, second, {"_rows": Trailing(F.lit(1).cast("long"), 0), **sums})
+    moves, added = _additive_moves(df, key, second, sums)
     for name, frame in frames.items():
         if isinstance(frame, TrailingDistinct):
             moves = moves.unionByName(_distinct_moves(df, key, second, name, frame), allowMissingColumns=True)
+            added[name] = F.coalesce(F.col(f"_{name}"), F.lit(0))
     names = list(frames)
-    moves = moves.selectExpr(key, "at", "is_row", f"floor(at / {DAY}) as day",
-                             *[f"coalesce({n}, 0) as {n}" for n in names])
-    totals = running_totals(moves, [key], ["day", "at"], names)
+    moves = moves.withColumns({"is_row": F.col("_shift") == 0, "day": F.floor(F.col("at") / DAY)})
+    totals = running_totals(moves, [key], ["day", "at"], {n: added[n] for n in names})
     timed = totals.where("is_row").select(key, F.col("at").alias(second), *names)
     return timed.unionByName(peers.select(key, second, *[F.col(n).cast(timed.schema[n].dataType) for n in names]))
 

@@ -45,6 +45,15 @@ def test_trailing_frames_equal_range_windows(hot, seconds):
     assert ours.exceptAll(plain).count() == 0
 
 
+def test_moves_of_trailing_frames_carry_a_value_once(hot):
+    value = F.col("v")
+    frames = trailing_frames(hot, "k", "s", {f"total_{n}": Trailing(value, n) for n in (10, 3600, 86_400)})
+    plan = frames._jdf.queryExecution().executedPlan().toString()
+    moved = [line.split("Generate inline(")[1] for line in plan.splitlines() if "Generate inline(" in line][0]
+    # an entry and an exit for each of three lengths, with one value (before: two more exits' worth and three values)
+    assert moved.count("_shift,") == 4 and moved.count("_value_0,") == 4 and "_value_1" not in moved
+
+
 def test_trailing_max_equals_range_window(hot):
     values = hot.withColumn("v", F.col("v").cast("double")).where("k is not null")
     w = Window.partitionBy("k").orderBy("s").rangeBetween(-7 * 86_400, 0)
