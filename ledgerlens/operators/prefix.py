@@ -18,7 +18,8 @@ _GROUP = "_group"  # the columns of a group as one struct: never NULL itself, NU
 
 
 def running_totals(df: DataFrame, keys: Sequence[str], levels: Sequence[str],
-                   measures: Sequence[str] | Mapping[str, Column], inclusive: bool = True) -> DataFrame:
+                   measures: Sequence[str] | Mapping[str, Column], inclusive: bool = True,
+                   formed: Mapping[str, Column] | None = None) -> DataFrame:
     """Replace each measure by its running total along ``levels`` within ``keys``.
 
     Inclusive totals take in all peers, the rows equal in all levels. Exclusive ones stop before the
@@ -26,21 +27,25 @@ def running_totals(df: DataFrame, keys: Sequence[str], levels: Sequence[str],
     not depend on the order in which they are formed.
 
     The window and the join with the carried-in totals share one partitioning by group. A mapping gives measures as
-    expressions of the other columns, which must not be NULL; they are formed where the rows have moved to, so that the
-    rows move without them, and the columns that start with ``_`` end there.
+    expressions of the other columns, which must not be NULL; they are formed where the rows have moved to, as are the
+    columns ``formed``, so that the rows move without them, and the columns that start with ``_`` end there. The totals
+    of the groups then come from the moved rows, too; the last level must not be NULL.
     """
     *outer, last = levels
     group = [*keys, *outer]
     kept = [c for c in df.columns if c not in measures]
     grouped = df.withColumn(_GROUP, F.struct(*group)).drop(*group)
-    per_group = grouped.groupBy(_GROUP)
     if isinstance(measures, Mapping):
         kept = [c for c in kept if not c.startswith("_")]
-        per_group = per_group.agg(*[F.sum(c).alias(m) for m, c in measures.items()])
-        grouped = grouped.repartition(_GROUP).select(
-            _GROUP, *[c for c in kept if c not in group], *[c.alias(m) for m, c in measures.items()])
+        moved = grouped.repartition(_GROUP)
+        # asks for all that the window asks for, so that one exchange serves both
+        per_group = moved.groupBy(_GROUP).agg(
+            *[F.sum(c).alias(m) for m, c in measures.items()], F.max(last).alias("_last")).where("_last is not null")
+        added = {**(formed or {}), **measures}
+        grouped = moved.select(_GROUP, *[c for c in kept if c not in group], *[c.alias(n) for n, c in added.items()])
+        kept += list(formed or {})
     else:
-        per_group = per_group.agg(*[F.sum(m).alias(m) for m in measures])
+        per_group = grouped.groupBy(_GROUP).agg(*[F.sum(m).alias(m) for m in measures])
     order = Window.partitionBy(_GROUP).orderBy(last)
     if inclusive:
         frame = order.rangeBetween(Window.unboundedPreceding, Window.currentRow)

@@ -104,8 +104,9 @@ def trailing_frames(df: DataFrame, key: str, second: str,
             moves = moves.unionByName(_distinct_moves(df, key, second, name, frame), allowMissingColumns=True)
             added[name] = F.coalesce(F.col(f"_{name}"), F.lit(0))
     names = list(frames)
-    moves = moves.withColumns({"is_row": F.col("_shift") == 0, "day": F.floor(F.col("at") / DAY)})
-    totals = running_totals(moves, [key], ["day", "at"], {n: added[n] for n in names})
+    moves = moves.withColumn("day", F.floor(F.col("at") / DAY))
+    totals = running_totals(moves, [key], ["day", "at"], {n: added[n] for n in names},
+                            formed={"is_row": F.col("_shift") == 0})
     timed = totals.where("is_row").select(key, F.col("at").alias(second), *names)
     return timed.unionByName(peers.select(key, second, *[F.col(n).cast(timed.schema[n].dataType) for n in names]))
 

@@ -52,6 +52,13 @@ def test_moves_of_trailing_frames_carry_a_value_once(hot):
     moved = [line.split("Generate inline(")[1] for line in plan.splitlines() if "Generate inline(" in line][0]
     # an entry and an exit for each of three lengths, with one value (before: two more exits' worth and three values)
     assert moved.count("_shift,") == 4 and moved.count("_value_0,") == 4 and "_value_1" not in moved
+    run = hot.sparkSession.createDataFrame(hot.collect(), hot.schema)
+    frames = trailing_frames(run, "k", "s", {"total": Trailing(value, 10)})
+    query = frames._jdf.queryExecution()
+    query.toRdd().count()
+    final = query.executedPlan().toString().split("Initial Plan")[0]
+    # the totals of the days come from the rows as they were moved for the running totals
+    assert any("ReusedExchange" in line and "REPARTITION_BY_COL" in line for line in final.splitlines())
 
 
 def test_trailing_max_equals_range_window(hot):
