@@ -91,6 +91,11 @@ def spread(codes: np.ndarray, values: list[bytes], width: int) -> tuple[np.ndarr
     """The values of the codes one after the other, as items of ``width`` bytes, and the number of items of each."""
     sizes = np.fromiter(map(len, values), dtype=np.int64, count=len(values)) // width
     pool = np.frombuffer(b"".join(values), dtype=f"<u{width}")
+    return gather(codes, pool, sizes)
+
+
+def gather(codes: np.ndarray, pool: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The same for values that stand one after the other in ``pool``, ``sizes`` items each."""
     begins = np.cumsum(sizes) - sizes
     each = sizes[codes]
     ends = np.cumsum(each)

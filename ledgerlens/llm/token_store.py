@@ -17,7 +17,6 @@ one row a symbol of the vocabulary, which is why it may be collected and shipped
 
 from __future__ import annotations
 
-import operator
 import struct
 import unicodedata
 import zlib
@@ -32,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.arrow import binaries, plain, slices, spread, words
+from ledgerlens.llm.arrow import SLICE_BYTES, binaries, gather, plain, slices, spread, words
 
 LOW = np.uint64(1 << 31)  # states stay in [2**31, 2**63)
 HALF = np.uint64(32)
@@ -44,13 +43,14 @@ HEADER = struct.Struct("<4sIIIIQQIII")  # magic, table check, lanes, interval, d
 
 
 class ChunkTokens(dict):
-    """Token ids, as little-endian unsigned 32-bit bytes, of chunks without ASCII white space.
+    """Token ids, as little-endian unsigned 32-bit bytes, of chunks without ASCII white space, apart from their closing
+    punctuation.
 
     For tokenizers that lower-case, drop white space and never join pre-tokens across it, the ids of a text are those
-    of its white-space chunks one after the other. Chunks repeat, so each is encoded once and kept; texts for which
+    of its white-space chunks one after the other. Their parts repeat, so each is encoded once and kept; texts for which
     the shortcut does not hold are encoded whole.
 
-    A worker holds the store beside what later stages need, so when there are ``LIMIT`` chunks they become the older
+    A worker holds the store beside what later stages need, so when there are ``LIMIT`` parts they become the older
     half of the store, and those of the half before that did not come again are forgotten: some 120 MB for both.
     """
 
@@ -90,18 +90,12 @@ class ChunkTokens(dict):
         whole = self._whole(texts)
         easy = texts if whole is None else pc.if_else(pa.array(whole), pa.scalar(""), texts)
         found = words(pc.utf8_lower(easy))
-        values = list(map(self.get, found.vocabulary))
-        missing = [k for k, value in enumerate(values) if value is None]
-        if missing:
-            chunks = [found.vocabulary[k] for k in missing]
-            self._learn(chunks)
-            for k, ids in zip(missing, map(self.__getitem__, chunks)):
-                values[k] = ids
+        pool, sizes = self._ids(found.vocabulary)
         # one more code after the words of each text, for the close
-        values.append(close)
-        codes = np.full(len(found.codes) + len(texts), len(values) - 1, dtype=np.int64)
+        pool, sizes = np.concatenate([pool, np.frombuffer(close, "<u4")]), np.append(sizes, len(close) // 4)
+        codes = np.full(len(found.codes) + len(texts), len(sizes) - 1, dtype=np.int64)
         codes[np.arange(len(found.codes)) + found.rows] = found.codes
-        items, each = spread(codes, values, 4)
+        items, each = gather(codes, pool, sizes)
         ends = np.cumsum(each)[np.cumsum(found.counts + 1) - 1] if len(texts) else each
         out = binaries(items, np.diff(ends, prepend=0))
         if whole is not None:
@@ -119,23 +113,37 @@ class ChunkTokens(dict):
             hard[k] = hard[k] or not unicodedata.is_normalized("NFC", texts[k].as_py())
         return hard if hard.any() else None
 
-    def _learn(self, chunks: list[str]) -> None:
-        """Chunks of the older half move up. Closing punctuation after a letter or digit is a pre-token of its own, so
-        it is looked up apart."""
-        if self._older:
-            known = list(map(self._older.get, chunks))
-            self.update((w, ids) for w, ids in zip(chunks, known) if ids is not None)
-            chunks = [w for w, ids in zip(chunks, known) if ids is None]
+    def _ids(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the chunks one after the other, and how many each has. Closing punctuation after a letter or digit is
+        a pre-token of its own, so the parts are looked up, not the chunks: fewer strings are distinct."""
         column = pa.array(chunks, pa.string())
         cores = pc.utf8_rtrim(column, characters=self.TAIL)
         # a core may end in a digit or letter only
         apart = pc.and_(pc.match_substring_regex(cores, "[\\pL\\pN]$"), pc.not_equal(cores, column))
-        ends, cores = column.filter(apart), cores.filter(apart)
-        ends, cores = _strings(ends), _strings(cores)
-        tails = [w[len(core):] for w, core in zip(ends, cores)]
-        wanted = {*_strings(column.filter(pc.invert(apart))), *cores, *tails}
-        self._learn_words(list(wanted.difference(self)))
-        self.update(zip(ends, map(operator.add, map(self.__getitem__, cores), map(self.__getitem__, tails))))
+        tails = [w[len(core):] for w, core in zip(_strings(column.filter(apart)), _strings(cores.filter(apart)))]
+        coded = pa.concat_arrays([pc.if_else(apart, cores, column), pa.array(tails, pa.string())]).dictionary_encode()
+        parts, values = coded.indices.to_numpy(), self._looked_up(_strings(coded.dictionary))
+        two = apart.to_numpy(zero_copy_only=False)
+        heads = np.arange(len(chunks)) + np.cumsum(two) - two
+        order = np.empty(len(parts), dtype=np.int64)
+        order[heads], order[heads[two] + 1] = parts[: len(chunks)], parts[len(chunks):]
+        items, each = spread(order, values, 4)
+        return items, np.add.reduceat(each, heads) if len(chunks) else each
+
+    def _looked_up(self, parts: list[str]) -> list[bytes]:
+        """Id strings of distinct parts; those of the older half move up, and what is new is encoded."""
+        values = list(map(self.get, parts))
+        missing = [k for k, value in enumerate(values) if value is None]
+        wanted = [parts[k] for k in missing]
+        if self._older:
+            known = list(map(self._older.get, wanted))
+            self.update((w, ids) for w, ids in zip(wanted, known) if ids is not None)
+            self._learn_words([w for w, ids in zip(wanted, known) if ids is None])
+        else:
+            self._learn_words(wanted)
+        for k, ids in zip(missing, map(self.__getitem__, wanted)):
+            values[k] = ids
+        return values
 
     def _learn_words(self, wanted: list[str]) -> None:
         """Words of letters alone are one pre-token each, so many are encoded as one text."""
@@ -196,7 +204,7 @@ def token_ids(docs: DataFrame, vocabulary: str, end_id: int | None = None, width
 
     def encode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = chunk_tokens(vocabulary)
-        for batch in slices(batches):
+        for batch in slices(batches, limit=2 * SLICE_BYTES):  # a word is looked up once a slice
             ids = cache.of(batch.column("text"), close)
             if width == 2:
                 ids = narrow(ids)

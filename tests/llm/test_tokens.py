@@ -79,6 +79,16 @@ def test_the_chunk_store_stays_small_and_keeps_what_comes_again(monkeypatch):
     assert 2 * token_store.ChunkTokens.LIMIT <= 600_000  # entries of some 200 bytes, in each of a machine's workers
 
 
+def test_a_word_is_kept_once_whatever_closes_it():
+    library = Tokenizer.from_file(WORDS)
+    store = token_store.ChunkTokens(library)
+    texts = ["cat, cat. cat!", "", "?! cat", "ñandú. 12! ...", "cat,"]
+    found = store.of(pa.array(texts), b"\2\0\0\0").to_pylist()
+    assert [np.frombuffer(x, "<u4").tolist() for x in found] == [
+        library.encode(t, add_special_tokens=False).ids + [2] for t in texts]
+    assert sorted(w for w in store if w) == sorted(["cat", ",", ".", "!", "?!", "ñandú", "12", "..."])
+
+
 @pytest.mark.parametrize("sizes", [[], [0], [1], [64], [65, 0, 1000], [5000, 4097, 63, 64, 1]])
 def test_blocks_decode_to_what_was_encoded(sizes):
     rng = np.random.default_rng(3)
