@@ -60,8 +60,10 @@ class DayMap:
             found = (chunk if found is None else pd.concat([found, chunk])).groupby("second", as_index=False).sum()
         return found
 
-    def merge(self, arrived, reach: int):
-        """``arrived`` (one row a second) put into the state; returns all seconds that frames of ``reach`` days see."""
+    def merge(self, arrived, reach: int, lateness: int):
+        """``arrived`` (one row a second) put into the state; returns all seconds that frames of ``reach`` days see. The
+        state holds no days that neither a frame nor a row ``lateness`` seconds late can reach: of a micro-batch over many
+        days only the last ones are written."""
         import pandas as pd
 
         touched = sorted({int(s) // DAY for s in arrived["second"]})
@@ -75,20 +77,21 @@ class DayMap:
                 frame[c] = pd.Series([int(v) for v in frame[c]], dtype=object)
             frames.append(frame)
         merged = pd.concat(frames).groupby("second", as_index=False).sum()
-        days = merged["second"] // DAY
-        for day in touched:
+        days, kept = merged["second"] // DAY, self._kept(known | set(touched), reach, lateness)
+        for day in kept.intersection(touched):
             own = merged[days == day]
             self.state.updateValue((day,), tuple([int(v) for v in own[c]] for c in ("second", *self.plain)) + tuple(
                 [str(v) for v in own[c]] for c in self.exact))
-        return merged, known | set(touched)
+        for day in known - kept:
+            self.state.removeKey((day,))
+        return merged
 
-    def forget(self, known: set[int], reach: int, lateness: int) -> None:
-        """Remove the days that neither a frame nor a row ``lateness`` seconds late can reach."""
-        believable = [d for d in known if d * DAY <= time.time() + DAY]
-        latest = max(believable or known)
-        for day in known:
-            if day < latest - reach - -(-lateness // DAY):
-                self.state.removeKey((day,))
+    @staticmethod
+    def _kept(days: set[int], reach: int, lateness: int) -> set[int]:
+        """The days that a frame or a row ``lateness`` seconds late can reach."""
+        believable = [d for d in days if d * DAY <= time.time() + DAY]
+        latest = max(believable or days)
+        return {d for d in days if d >= latest - reach - -(-lateness // DAY)}
 
 
 def frames_over(merged, asked):
@@ -153,8 +156,8 @@ class Facts(Remembering):
         frame = pd.concat(list(rows)).sort_values(["second", "transaction_id"], kind="stable", ignore_index=True)
         second = frame["second"].to_numpy(np.int64)
         declined = frame["is_declined"].eq(True).to_numpy()
-        merged, known = self.days.merge(self.days.folded([pd.DataFrame({
-            "second": second, "n": frame["transaction_id"].notna().astype("int64"), "declines": declined.astype("int64")})]), 1)
+        merged = self.days.merge(self.days.folded([pd.DataFrame({
+            "second": second, "n": frame["transaction_id"].notna().astype("int64"), "declines": declined.astype("int64")})]), 1, self.lateness)
         over = frames_over(merged, second)
         before = self.last.get()[0] if self.last.exists() else None
         earlier = np.maximum.accumulate(np.concatenate([[second[0] if before is None else before], second]))
@@ -163,7 +166,6 @@ class Facts(Remembering):
         frame["declines_24h"] = pd.Series(over("declines", DAY)).where(declined).astype("Int64")
         frame["is_new_device"] = self._new(frame["device_id"], second, before is None)
         self.last.update((int(earlier[-1]),))
-        self.days.forget(known, 1, self.lateness)
         self.touch(frame["clock"].max())
         yield frame.drop(columns=["second", "clock", CLOCK], errors="ignore")
 

@@ -46,7 +46,7 @@ class Frames(history.Remembering):
                 yield chunk
 
         arrived = self.days.folded(noted())
-        merged, known = self.days.merge(arrived, WEEK // DAY)
+        merged = self.days.merge(arrived, WEEK // DAY, self.lateness)
         over = history.frames_over(merged, arrived["second"].to_numpy())
         n, total, squares = (over(c, WEEK) for c in ("amounts", "total", "squares"))
         unit = 10 ** amounts.DIGITS
@@ -60,7 +60,6 @@ class Frames(history.Remembering):
             "amount_stddev_7d": [(v / (int(a) * (int(a) - 1))) ** 0.5 / unit if a > 1 else None
                                  for a, v in zip(n, spread)],
         })
-        self.days.forget(known, WEEK // DAY, self.lateness)
         self.touch(pd.Series(clock).max())
 
 

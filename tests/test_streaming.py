@@ -5,6 +5,7 @@ from __future__ import annotations
 from fractions import Fraction
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -264,3 +265,33 @@ def test_a_future_row_leaves_other_frames_alone(spark):
             "account_id", "timestamp(m) as txn_datetime", "amount").coalesce(1).write.mode("append").parquet(path)
     frames, _ = land(spark, velocity.exact(ingest.follow(spark, path, schema, 1)))
     assert sorted(r.txn_count_1h for r in frames.collect()) == [1, 1, 2]
+
+
+def test_days_that_no_frame_can_reach_are_not_written():
+    """A micro-batch over a month writes the last days of an account only; the next one removes what it passes."""
+    class Days(dict):
+        written, updateValue = 0, lambda self, key, value: (self.__setitem__(key, value), setattr(self, "written", self.written + 1))
+        exists, getValue, removeKey = (lambda self: bool(self)), dict.__getitem__, dict.pop
+
+    class Handle:
+        days = Days()
+
+        def getMapState(self, *_):
+            return self.days
+
+        def getValueState(self, *_):
+            return None
+
+    frames, day = velocity.Frames(lateness=86_400, idle=0), 86_400
+    frames.init(Handle())
+
+    def put(days):
+        rows = pd.DataFrame({"second": [d * day + 5 for d in days], "n": 1, "amounts": 1, "total": "20000",
+                             "squares": "400000000", "clock": float("nan")})
+        return pd.concat(frames.handleInputRows(("a",), iter([rows]), None))
+
+    found = put(range(19_000, 19_031))
+    assert found["txn_count_7d"].tolist() == [*range(1, 8), *[8] * 24]
+    assert sorted(k[0] for k in Handle.days) == list(range(19_022, 19_031)) and Handle.days.written == 9
+    assert put([19_031])["txn_count_7d"].tolist() == [8]
+    assert sorted(k[0] for k in Handle.days) == list(range(19_023, 19_032)) and Handle.days.written == 10
