@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.measures import ratio, rounded
+from ledgerlens.operators.boosting import fit, tasks_at_once
 from ledgerlens.operators.prefix import positions
 from ledgerlens.plans import scorecard
 
@@ -95,13 +96,16 @@ def class_balance(rows: DataFrame) -> DataFrame:
 def train(rows: DataFrame, params: Boosting = Boosting()) -> PipelineModel:
     """Fit on the train part of ``matrix`` + ``split`` rows; positives weigh as much as negatives.
 
-    The trees are grown from per-partition histograms; no rows leave the executors. With ``stop_below`` rows held back
-    by a hash are followed and end the training early; ``follow`` gives the loss of each round on any rows.
+    The trees are grown from histograms by tasks that run side by side (``operators.boosting``), or by MLlib where
+    executors come and go; no rows leave the executors. With ``stop_below`` rows held back by a hash are followed and
+    end the training early; ``follow`` gives the loss of each round on any rows.
     """
-    weights = class_balance(rows.where("split = 'train'"))
-    weight = weights.select(F.coalesce("positive_weight", F.lit(1.0))).scalar()
+    balance = class_balance(rows.where("split = 'train'")).first()
+    if balance is None:
+        raise ValueError("there are no rows to train on")
+    weight = 1.0 if balance["positive_weight"] is None else float(balance["positive_weight"])
     weighted = rows.where("split = 'train'").withColumn(
-        "weight", F.when(_c(TARGET) == 1, weight).otherwise(F.lit(1.0))).withColumn(TARGET, _c(TARGET).cast("double"))
+        "weight", F.when(_c(TARGET) == 1, F.lit(weight)).otherwise(F.lit(1.0))).withColumn(TARGET, _c(TARGET).cast("double"))
     assembler = VectorAssembler(inputCols=list(FEATURES), outputCol="inputs")
     trees = GBTClassifier(
         featuresCol="inputs", labelCol=TARGET, weightCol="weight", maxIter=params.rounds, maxDepth=params.depth,
@@ -112,7 +116,10 @@ def train(rows: DataFrame, params: Boosting = Boosting()) -> PipelineModel:
         weighted = weighted.withColumn("held_back", aside)
         trees.set(trees.validationIndicatorCol, "held_back")
         trees.set(trees.validationTol, params.stop_below)
-    return Pipeline(stages=[assembler, trees]).fit(weighted)
+    if not tasks_at_once(rows.sparkSession):
+        return Pipeline(stages=[assembler, trees]).fit(weighted)
+    count = balance["negatives"] + balance["positives"]
+    return PipelineModel([assembler, fit(weighted, FEATURES, "transaction_id", count, weight, trees)])
 
 
 def signature() -> dict[str, str]:
