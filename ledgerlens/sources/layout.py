@@ -23,6 +23,11 @@ class Layout:
             raise ValueError(f"unknown layer {layer!r}, expected one of {LAYERS}")
         return f"{self.root.rstrip('/')}/{layer}/{table}"
 
+    @property
+    def _packed(self) -> dict[str, str]:
+        """Parquet files are read once or twice a run, so they may take longer to pack than Spark's default."""
+        return {"compression": "zstd"} if self.format == "parquet" else {}
+
     def read(self, spark: SparkSession, layer: str, table: str, schema: str | None = None) -> DataFrame:
         reader = spark.read.format(self.format)
         if schema:
@@ -40,7 +45,8 @@ class Layout:
         if partition_by:
             out = out.hint("rebalance", F.col(partition_by))
         out = out.observe(counted, F.count(F.lit(1)).alias("rows"))
-        writer = out.write.format(self.format).mode("overwrite").option("partitionOverwriteMode", "static")
+        writer = out.write.format(self.format).options(**self._packed).mode("overwrite").option(
+            "partitionOverwriteMode", "static")
         if partition_by:
             writer = writer.partitionBy(partition_by)
         writer.save(self.path(layer, table))
@@ -51,7 +57,7 @@ class Layout:
         counted = Observation(f"{layer}.{table}.dates")
         (df.hint("rebalance", F.col(partition_by))
            .observe(counted, F.count(F.lit(1)).alias("rows"))
-           .write.format(self.format).mode("overwrite")
+           .write.format(self.format).options(**self._packed).mode("overwrite")
            .option("partitionOverwriteMode", "dynamic")
            .partitionBy(partition_by).save(self.path(layer, table)))
         return counted.get["rows"]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -276,3 +277,29 @@ def test_refresh_equals_a_full_rebuild_and_leaves_other_days_alone(spark, folder
                            (before[1], after[1], set(days) - set(done.changed))):
         untouched = {p: t for p, t in old.items() if any(f"txn_date={d}/" in p for d in kept)}
         assert untouched and all(now.get(p) == t for p, t in untouched.items())
+
+
+def test_quantiles_move_only_the_slices_they_lie_in(spark):
+    from ledgerlens.operators.quantiles import exact_quantiles, held_slices
+
+    values = [float(v) for v in np.random.default_rng(4).lognormal(3, 2, 4000)] + [-1.5, 0.0, None, None]
+    rows = spark.createDataFrame([(v, 7) for v in values], "x double, same int")
+    shares = {"low": 0.1, "median": 0.5, "top": 1.0}
+    got = {r.feature: (r.low, r.median, r.top) for r in exact_quantiles(rows, ["x", "same"], shares).collect()}
+    known = [v for v in values if v is not None]
+    assert got["x"] == pytest.approx(tuple(np.quantile(known, list(shares.values()))), rel=1e-12)
+    assert got["same"] == (7.0, 7.0, 7.0)
+    valued = rows.where("x is not null").selectExpr(
+        "'x' as feature", "x as value", "floor(signum(x) * log1p(abs(x)) * 200) as slice")
+    held = held_slices(valued, shares, "feature")
+    assert held.count() <= 6 and valued.join(held, "slice").count() < 100
+
+
+def test_parquet_tables_are_packed_with_zstd(spark):
+    import pyarrow.parquet as pq
+
+    layout = Layout(shared_folder(spark, "packed"))
+    assert layout.write(spark.range(100), "gold", "gold_numbers") == 100
+    files = layout.read(spark, "gold", "gold_numbers").inputFiles()
+    groups = [pq.ParquetFile(f.removeprefix("file://")).metadata for f in files]
+    assert {g.row_group(0).column(0).compression for g in groups if g.num_rows} == {"ZSTD"}
