@@ -363,6 +363,8 @@ class _Grower:
         root = Node(counts[0][:, :self.width].sum(1), sums[0][:, :self.width].sum(1))
         level, leaves = [(root, inside, others, (counts[0], sums[0]))], []
         for depth in range(self.growth.depth):
+            if not level:
+                break
             self.split([n for n, *_ in level], [h for *_, h in level], self.columns(number, depth, len(level)))
             halves = []
             for node, inside, others, histogram in level:
@@ -371,7 +373,9 @@ class _Grower:
                     continue
                 bins = rows.bins[node.feature]
                 below, beside = bins.take(inside) <= node.cut, bins.take(others) <= node.cut
-                halves.append(((node.low, inside[below], others[beside]), (node.high, inside[~below], others[~beside]), histogram))
+                low, high = ((inside.take(np.flatnonzero(a)), others.take(np.flatnonzero(b)))
+                             for a, b in ((below, beside), (~below, ~beside)))
+                halves.append(((node.low, *low), (node.high, *high), histogram))
             level = []
             if depth + 1 == self.growth.depth:
                 leaves += [half for low, high, _ in halves for half in (low, high)]
@@ -529,7 +533,8 @@ def fit(rows: DataFrame, inputs: Sequence[str], key: str, count: int, positive_w
     ).mapInArrow(partial(_blocks, inputs=list(inputs), cuts=cuts), "bins binary, positive binary, mark binary, aside binary")
     parts = max(1, min(tasks_at_once(spark), -(-count // ROWS_A_TASK)))
     grown = blocks.repartition(parts).mapInArrow(partial(_grown, growth=growth), _NODES, barrier=True)
-    grown.write.parquet(f"{root}/model/data")
+    # Spark runs a failed barrier stage again if its result moves on to another one
+    grown.repartition(1).write.parquet(f"{root}/model/data")
     if folder:
         shutil.rmtree(folder, ignore_errors=True)
     number = spark.read.parquet(f"{root}/model/data").agg(F.max("treeID") + 1).first()[0]

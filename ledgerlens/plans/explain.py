@@ -20,7 +20,7 @@ def explanations(spark: SparkSession, model: PipelineModel, model_path: str, row
 
     ``only_flagged`` narrows it to rows the model predicts fraudulent, the ones that must be explained.
     """
-    scored = score(model, rows)
+    scored = score(model, rows.select("transaction_id", *FEATURES))
     if only_flagged:
         scored = scored.where(_c("fraud_probability") >= THRESHOLD)
     leaves = read_leaves(spark, model, model_path)

@@ -7,13 +7,13 @@ from dataclasses import dataclass
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.measures import ratio, rounded
 from ledgerlens.operators.boosting import fit, tasks_at_once
 from ledgerlens.operators.prefix import positions
+from ledgerlens.operators.scoring import with_probability
 from ledgerlens.plans import scorecard
 
 _c = F.col
@@ -150,13 +150,12 @@ def load(path: str) -> PipelineModel:
 
 def score(model: PipelineModel, rows: DataFrame) -> DataFrame:
     """All rows with the probability of fraud."""
-    return model.transform(rows).withColumn(
-        "fraud_probability", vector_to_array("probability")[1]).drop("inputs", "rawPrediction", "probability", "prediction")
+    return with_probability(model.stages[-1], rows, FEATURES, "fraud_probability")
 
 
 def model_predictions(model: PipelineModel, rows: DataFrame) -> DataFrame:
     """The prediction table: id, probability, 0/1 prediction, tier."""
-    return scorecard.predictions(score(model, rows))
+    return scorecard.predictions(score(model, rows.select("transaction_id", *FEATURES)))
 
 
 def follow(model: PipelineModel, rows: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ from urllib.parse import urlparse
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerlens.operators import boosting
 from ledgerlens.plans import model
@@ -42,6 +43,24 @@ def test_trees_equal_mllib_where_nothing_is_drawn(few, monkeypatch, stop_below):
     assert [a[k] for k in sorted(a)] == pytest.approx([b[k] for k in sorted(b)], abs=1e-6)
 
 
+def test_scores_equal_mllib(few):
+    fitted = model.train(few, model.Boosting(rounds=8, depth=5))
+    scored = model.score(fitted, few)
+    assert scored.columns == [*few.columns, "fraud_probability"]
+    assert "MapInArrow" in scored._jdf.queryExecution().toString()
+    library = {r.transaction_id: r.probability[1] for r in fitted.transform(few).collect()}
+    ours = {r.transaction_id: r.fraud_probability for r in scored.collect()}
+    assert [ours[k] for k in sorted(ours)] == pytest.approx([library[k] for k in sorted(library)], abs=1e-14)
+    with pytest.raises(Exception, match="NULL or not a number"):
+        model.score(fitted, few.withColumn("amount", F.lit(None).cast("double"))).collect()
+
+
+def test_a_model_of_a_single_leaf_scores_all_rows(few):
+    fitted = model.train(few.where("label = 0"), model.Boosting(rounds=2, depth=3))
+    assert [t.numNodes for t in fitted.stages[-1].trees] == [1, 1]
+    assert model.score(fitted, few).where("fraud_probability < 0.5").count() == few.count()
+
+
 def test_jobs_of_a_training_do_not_grow_with_its_rounds(spark, few):
     def jobs(rounds):
         group = f"training-{rounds}"
